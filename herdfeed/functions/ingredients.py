@@ -63,14 +63,25 @@ def compact_key(upper_text: Column) -> Column:
     return F.regexp_replace(upper_text, "[^A-Z0-9]", "")
 
 
+def _rules_literal() -> Column:
+    return F.array(*[
+        F.struct(F.lit(text).alias("phrase"), F.lit(re.sub("[^A-Z0-9]", "", text)).alias("compact"),
+                 F.lit(code).alias("code"))
+        for text, code in DEFAULT_INGREDIENT_CODE_RULES
+    ])
+
+
 def rule_code(upper_text: Column, compact: Column) -> Column:
-    """Alias lookups, phrase rules, then the first three characters."""
+    """Alias lookups, phrase rules, then the first three characters.
+
+    The phrase rules are one ``filter`` over a literal array of rules (first hit in rule
+    order), so the text columns are referenced once, not once per rule; this keeps the
+    expression small when the optimizer inlines it into pushed-down filters."""
     aliases = map_literal(DEFAULT_CODE_ALIASES, "string")
     first_three = F.substring(compact, 1, 3)
-    phrase = None
-    for text, code in DEFAULT_INGREDIENT_CODE_RULES:
-        hit = F.contains(upper_text, F.lit(text)) | F.contains(compact, F.lit(re.sub("[^A-Z0-9]", "", text)))
-        phrase = F.when(hit, F.lit(code)) if phrase is None else phrase.when(hit, F.lit(code))
+    hits = F.filter(_rules_literal(),
+                    lambda r: F.contains(upper_text, r["phrase"]) | F.contains(compact, r["compact"]))
+    phrase = F.try_element_at(hits, F.lit(1))["code"]
     return F.when(upper_text.isNotNull(), F.coalesce(
         F.try_element_at(aliases, compact),
         F.try_element_at(aliases, first_three),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_parts, clean_date, clean_timestamp, month_name_of
 from ..functions.groups import clean_group, month_number
-from ..functions.stats import add_t_interval, standard_error
+from ..functions.stats import add_t_interval, exact_mean, standard_error
 from ..functions.text import clean_id, to_double, whole_number
 from ..sources.files import _coalesce_same_names
 from ..sources.headers import find_first_existing, require_columns, snake_case
@@ -209,7 +209,7 @@ def agg_month_weight(weights: DataFrame) -> DataFrame:
     """A1: one row per animal-month: mean weight, latest weight date, most frequent
     group."""
     return (weights.groupBy(*ANIMAL_MONTH)
-            .agg(F.avg("weight").alias("weight"),
+            .agg(exact_mean("weight").alias("weight"),
                  F.max("weight_date").alias("weight_date"),
                  mode_lowest("weight_group").alias("weight_group"))
             .withColumn("month", month_name_of("year", "month_num")))
@@ -227,7 +227,7 @@ def agg_animal_month_group(afi: DataFrame) -> DataFrame:
     require_columns(afi, ["animal_id", "year", "month_num", "group", "dim"], "afi")
     return (afi.dropna(subset=ANIMAL_MONTH).groupBy(*ANIMAL_MONTH)
             .agg(mode_lowest("group").alias("group"),
-                 F.avg("dim").alias("avg_dim"),
+                 exact_mean("dim").alias("avg_dim"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day"),
                  F.countDistinct("day").alias("n_afi_days"))
@@ -284,8 +284,8 @@ def agg_group_day(afi: DataFrame) -> DataFrame:
     keys = ["day", "year", "month_num", "month", "group"]
     return (afi.dropna(subset=["day", "group", "daily_yield"]).dropna(subset=keys)
             .groupBy(*keys)
-            .agg(F.avg("dim").alias("avg_dim"),
-                 F.avg("daily_yield").alias("avg_daily_yield"),
+            .agg(exact_mean("dim").alias("avg_dim"),
+                 exact_mean("daily_yield").alias("avg_daily_yield"),
                  sd_samp("daily_yield").alias("yield_std"),
                  F.countDistinct("animal_id").alias("n_animals")))
 
@@ -310,9 +310,9 @@ def agg_animal_month(afi: DataFrame) -> DataFrame:
     keys = ["animal_id", "year", "month_num", "month", "group"]
     return (afi.dropna(subset=["animal_id", "group", "day", "daily_yield"]).dropna(subset=keys)
             .groupBy(*keys)
-            .agg(F.avg("daily_yield").alias("avg_monthly_yield"),
+            .agg(exact_mean("daily_yield").alias("avg_monthly_yield"),
                  F.countDistinct("day").alias("n_days"),
-                 F.avg("dim").alias("avg_dim"),
+                 exact_mean("dim").alias("avg_dim"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day")))
 
@@ -334,7 +334,7 @@ def agg_group_month(animal_month: DataFrame) -> DataFrame:
     keys = ["Year", "Month Num", "Month", "Group"]
     return (animal_month.dropna(subset=["Avg Monthly Yield", "Group"]).dropna(subset=keys)
             .groupBy(*keys)
-            .agg(F.avg("Avg Monthly Yield").alias("avg_monthly_yield"),
+            .agg(exact_mean("Avg Monthly Yield").alias("avg_monthly_yield"),
                  sd_samp("Avg Monthly Yield").alias("yield_std"),
                  F.countDistinct("Farm Animal ID").alias("n_animals")))
 
@@ -367,7 +367,7 @@ def agg_weight_group(cow_month_weight: DataFrame, assume_unique: bool = False) -
     base = dedupe_animal_month(cow_month_weight.dropna(subset=["group", "weight"]), assume_unique)
     return (base.dropna(subset=keys).groupBy(*keys)
             .agg(F.countDistinct("animal_id").alias("n_animals"),
-                 F.avg("weight").alias("avg_weight"),
+                 exact_mean("weight").alias("avg_weight"),
                  sd_samp("weight").alias("weight_std")))
 
 
@@ -388,14 +388,14 @@ def agg_per_animal(afi: DataFrame) -> DataFrame:
     yield, first/last day."""
     daily = (afi.dropna(subset=["animal_id", "day", "daily_yield"])
              .groupBy("animal_id", "day")
-             .agg(F.avg("daily_yield").alias("daily_yield"),
-                  F.avg("dim").alias("dim"),
+             .agg(exact_mean("daily_yield").alias("daily_yield"),
+                  exact_mean("dim").alias("dim"),
                   mode_lowest("group").alias("group")))
     return (daily.groupBy("animal_id")
             .agg(mode_lowest("group").alias("group"),
-                 F.avg("dim").alias("avg_dim"),
+                 exact_mean("dim").alias("avg_dim"),
                  F.count("day").alias("n_days"),
-                 F.avg("daily_yield").alias("avg_daily_yield"),
+                 exact_mean("daily_yield").alias("avg_daily_yield"),
                  sd_samp("daily_yield").alias("yield_std"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day")))

@@ -7,6 +7,8 @@ for the cleaning rules. Float columns are rounded to 6 decimals, as the Spark si
 
 from __future__ import annotations
 
+import re
+
 from herdfeed.functions.groups import DEFAULT_GROUP_MAPPING, MONTH_NAME_TO_NUM
 from herdfeed.functions.ingredients import DEFAULT_CODE_ALIASES, DEFAULT_INGREDIENT_CODE_RULES
 
@@ -110,6 +112,33 @@ def compact(up: str) -> str:
     return f"regexp_replace({up}, '[^A-Z0-9]', '', 'g')"
 
 
+def _units(x: str) -> str:
+    return f"CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT)"
+
+
+def fsum(x: str) -> str:
+    """Fixed-point (micro-unit) sum, as the engine accumulates."""
+    return f"(CAST(sum({_units(x)}) AS DOUBLE) / 1000000.0)"
+
+
+def fsum_over(x: str, window: str) -> str:
+    return f"(CAST(sum({_units(x)}) OVER {window} AS DOUBLE) / 1000000.0)"
+
+
+def mean(x: str) -> str:
+    return f"(CAST(sum({_units(x)}) AS DOUBLE) / 1000000.0 / count({x}))"
+
+
+_AVG = re.compile(r"(?<![\w])avg\(([^()]*)\)")
+_SUM = re.compile(r"(?<![\w])sum\(([^()]*)\)(?!\s*OVER)")
+
+
+def fixed_point(sql: str) -> str:
+    """Rewrite plain ``avg(x)`` / ``sum(x)`` into the fixed-point forms."""
+    sql = _AVG.sub(lambda m: mean(m.group(1)), sql)
+    return _SUM.sub(lambda m: fsum(m.group(1)), sql)
+
+
 def safe_pct(n: str, d: str) -> str:
     return f"(CASE WHEN {d} IS NOT NULL AND isfinite({d}) AND {d} <> 0 THEN ({n}) / {d} * 100.0 END)"
 
@@ -233,8 +262,8 @@ def feed_ctes(by_pen: bool, start: str | None = None, end: str | None = None) ->
   {clean_text('pen_name')} AS pen_name, dry_call_weight, dry_actual_weight FROM b_feed)""",
             f"""ff0 AS (SELECT feeding_date, recipe_display_name, ingredient_name_raw, {code_sql('up', 'cp')} AS ingredient_code,
   pen_name, dry_call_weight, dry_actual_weight FROM (SELECT *, {compact('up')} AS cp FROM fc) c)""",
-            f"""ff1 AS (SELECT *, coalesce(sum(dry_actual_weight) OVER w, 0.0) AS dry_actual_weight_sum,
-  coalesce(sum(dry_call_weight) OVER w, 0.0) AS dry_call_weight_sum FROM ff0
+            f"""ff1 AS (SELECT *, coalesce({fsum_over('dry_actual_weight', 'w')}, 0.0) AS dry_actual_weight_sum,
+  coalesce({fsum_over('dry_call_weight', 'w')}, 0.0) AS dry_call_weight_sum FROM ff0
   WHERE feeding_date IS NOT NULL AND recipe_display_name IS NOT NULL AND ingredient_code IS NOT NULL
   AND NOT (dry_call_weight IS NULL AND dry_actual_weight IS NULL){rng}
   WINDOW w AS (PARTITION BY {keys}))""",
@@ -540,4 +569,4 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (_herd(), _scalars(), _sources(), _feed()):
         out.update(part)
-    return out
+    return {k: fixed_point(v) for k, v in out.items()}
