@@ -61,10 +61,21 @@ def is_number_text(c: Column | str) -> Column:
     return col_of(c).rlike(NUMERIC_RE)
 
 
+# The expressions below reference each regex / parse exactly once: the optimizer inlines
+# cleaned columns into pushed-down filters, where common sub-expressions are not shared.
+_NUMBER_CAPTURE = r"^(" + NUMERIC_RE[1:-1] + r")$"
+# integer-valued text: optional sign, leading zeros, digits, optional ".000"
+_INT_TEXT = r"^([+-]?\d+)(?:\.0*)?$"
+# canonical integer text: "+5" -> "5", "0221" -> "221", "2201.0" -> "2201", "-0" -> "0"
+_ID_INT = r"^(?:\+|(-)(?=0*[1-9])|-)?0*(\d+)(?:\.0*)?$"
+# numbers written with an exponent (rare): decided by an exact decimal parse
+_EXPONENT = r"^[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d+$"
+
+
 def parse_number_text(c: Column | str) -> Column:
-    """Guarded text -> double: NULL unless the trimmed text is a plain decimal number."""
-    s = strip_ws(c)
-    return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
+    """Guarded text -> double: NULL unless the trimmed text is a plain decimal number
+    (one regex, one parse)."""
+    return F.regexp_extract(strip_ws(c), _NUMBER_CAPTURE, 1).try_cast("double")
 
 
 def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -76,7 +87,7 @@ def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:
         return c.cast("double")
     if dtype is not None and not isinstance(dtype, T.StringType):
         return F.lit(None).cast("double")
-    return nan_to_null(parse_number_text(c))
+    return parse_number_text(c)
 
 
 def clean_numeric(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -87,7 +98,7 @@ def clean_numeric(c: Column | str, dtype: T.DataType | None = None) -> Column:
     s = c.cast("string")
     for noise in NUMBER_NOISE:
         s = F.replace(s, F.lit(noise), F.lit(""))
-    return nan_to_null(parse_number_text(s))
+    return parse_number_text(s)
 
 
 def clean_text(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -99,23 +110,41 @@ def clean_text(c: Column | str, dtype: T.DataType | None = None) -> Column:
     return F.when((s != "") & ~F.lower(s).isin(*TEXT_MISSING), s)
 
 
+def _exponent_whole(s: Column, as_text: bool) -> Column:
+    """Exact decimal parse of exponent notation; integral values only."""
+    dec = s.try_cast("decimal(38,10)")
+    whole = dec.cast("decimal(38,0)")
+    value = whole.cast("string") if as_text else whole.try_cast("int")
+    return F.when(dec == F.floor(dec), value)
+
+
 def clean_id(c: Column | str, dtype: T.DataType | None = None) -> Column:
     """Numeric-looking ids become integer text (2201.0 -> 2201, 0221 -> 221,
     1e3 -> 1000); other ids are trimmed; '', 'nan', 'None', '<NA>' -> NULL.
     Fractional ids keep their text (pandas would raise here)."""
     c = col_of(c)
     if isinstance(dtype, _INTEGRAL_TYPES):
-        out = c.cast("string")
-    elif isinstance(dtype, _FRACTIONAL_TYPES):
+        return c.cast("string")
+    if isinstance(dtype, _FRACTIONAL_TYPES):
         d = nan_to_null(c.cast("double"))
         whole = F.when(d == F.floor(d), d.try_cast("decimal(38,0)").cast("string"))
-        out = F.coalesce(whole, d.cast("string"))
-    else:
-        s = strip_ws(c.cast("string"))
-        dec = F.when(s.rlike(NUMERIC_RE), s.try_cast("decimal(38,10)"))
-        whole = F.when(dec == F.floor(dec), dec.cast("decimal(38,0)").cast("string"))
-        out = F.coalesce(whole, s)
-    return F.when(~out.isin(*ID_MISSING), out)
+        return F.coalesce(whole, d.cast("string"))
+    s = strip_ws(c.cast("string"))
+    out = (F.when(s.rlike(_EXPONENT), F.coalesce(_exponent_whole(s, True), s))
+           .otherwise(F.regexp_replace(s, _ID_INT, "$1$2")))
+    # a normalised number is never one of the missing-value words, so test the text
+    return F.when(~s.isin(*ID_MISSING), out)
+
+
+def id_present(c: Column | str, dtype: T.DataType | None = None) -> Column:
+    """Cheap test equal to ``clean_id(c, dtype).isNotNull()``."""
+    c = col_of(c)
+    if isinstance(dtype, _INTEGRAL_TYPES):
+        return c.isNotNull()
+    if isinstance(dtype, _FRACTIONAL_TYPES):
+        return c.isNotNull() & ~F.isnan(c.cast("double"))
+    s = strip_ws(c.cast("string"))
+    return s.isNotNull() & ~s.isin(*ID_MISSING)
 
 
 def whole_number(c: Column | str, dtype: T.DataType | None = None) -> Column:
@@ -123,5 +152,11 @@ def whole_number(c: Column | str, dtype: T.DataType | None = None) -> Column:
     c = col_of(c)
     if isinstance(dtype, _INTEGRAL_TYPES):
         return c.cast("int")
-    d = to_double(c, dtype)
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    if is_numeric_type(dtype):
+        d = nan_to_null(c.cast("double"))
+        return F.when(d == F.floor(d), d.try_cast("int"))
+    if dtype is not None and not isinstance(dtype, T.StringType):
+        return F.lit(None).cast("int")
+    s = strip_ws(c.cast("string"))
+    plain = F.regexp_extract(s, _INT_TEXT, 1).try_cast("int")
+    return F.coalesce(plain, F.when(s.rlike(_EXPONENT), _exponent_whole(s, False)))

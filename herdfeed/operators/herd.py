@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_parts, clean_date, clean_timestamp, month_name_of
 from ..functions.groups import clean_group, month_number
 from ..functions.stats import add_t_interval, exact_mean, standard_error
-from ..functions.text import clean_id, to_double, whole_number
+from ..functions.text import clean_id, id_present, to_double, whole_number
 from ..sources.files import _coalesce_same_names
+from .partitioning import spread_small_input
 from ..sources.headers import find_first_existing, require_columns, snake_case
 
 # Fixed values that must equal the reference's behaviour: header synonyms (after
@@ -58,6 +59,24 @@ def sd_samp(c: Column | str) -> Column:
     return F.stddev_samp(c)
 
 
+# Column-metadata flag for columns a standardising step guarantees to be non-NULL. Later
+# null filters skip them: re-filtering would be pushed down to the scan with the
+# cleaning expressions inlined, evaluating them again for every row.
+NON_NULL = "herdfeed.non_null"
+
+
+def mark_non_null(df: DataFrame, cols) -> DataFrame:
+    for c in cols:
+        df = df.withMetadata(c, {**df.schema[c].metadata, NON_NULL: True})
+    return df
+
+
+def drop_missing(df: DataFrame, cols) -> DataFrame:
+    """``dropna(subset=cols)`` restricted to columns that may still hold NULLs."""
+    need = [c for c in cols if not df.schema[c].metadata.get(NON_NULL)]
+    return df.dropna(subset=need) if need else df
+
+
 def _dtype(df: DataFrame, name: str | None):
     return df.schema[name].dataType if name else None
 
@@ -77,7 +96,7 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
 
     ``date_fallback='dataset'`` (reference behaviour): the file-name date is used only
     when no date column exists at all. ``'row'``: per row, whichever is present."""
-    df = _snake(raw)
+    df = spread_small_input(_snake(raw))
     cols = df.columns
     found = {role: find_first_existing(cols, cands) for role, cands in DAILY_CANDIDATES.items()}
     for role, what in (("animal", "an animal ID"), ("group", "a group"), ("dim", "a DIM/days-in-milk")):
@@ -107,9 +126,14 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
                 if found["run_time"] else F.lit(None).cast("timestamp_ntz"))
     source = F.col("source_file").cast("string") if "source_file" in cols else F.lit(None).cast("string")
 
+    # F1 first, on predicates equal to "cleaned key is not NULL" but cheaper to evaluate;
+    # a filter on the cleaned columns would be pushed below the projection with the
+    # cleaning expressions inlined, evaluating them twice per row.
+    group = clean_group(found["group"], _dtype(df, found["group"]), group_mapping)
+    df = df.filter(id_present(found["animal"], _dtype(df, found["animal"])) & group.isNotNull() & day.isNotNull())
     out = df.select(
         clean_id(found["animal"], _dtype(df, found["animal"])).alias("animal_id"),
-        clean_group(found["group"], _dtype(df, found["group"]), group_mapping).alias("group"),
+        group.alias("group"),
         to_double(found["dim"], _dtype(df, found["dim"])).alias("dim"),
         daily_yield.alias("daily_yield"),
         day.alias("day"),
@@ -117,15 +141,14 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
         source.alias("source_file"),
     )
     out = out.withColumns(calendar_parts("day"))
-    out = drop_missing_keys(out)
     if start_date:
         out = filter_start(out, start_date)
-    return out.select(AFI_COLUMNS)
+    return mark_non_null(out.select(AFI_COLUMNS), ["animal_id", "group", "day", "year", "month_num", "month"])
 
 
 def drop_missing_keys(afi: DataFrame, keys=("animal_id", "group", "day")) -> DataFrame:
     """drop rows missing any analysis key."""
-    return afi.dropna(subset=list(keys))
+    return drop_missing(afi, list(keys))
 
 
 def filter_start(afi: DataFrame, start_date: str, col: str = "day") -> DataFrame:
@@ -172,7 +195,7 @@ def standardize_weights(raw: DataFrame, afi: DataFrame | None = None, weight_yea
                         group_mapping: Mapping[str, int] | None = None) -> DataFrame:
     """Weight records -> ``animal_id, weight, weight_date, year, month_num,
     weight_group`` with rows missing animal, weight, year or month dropped."""
-    df = _snake(raw)
+    df = spread_small_input(_snake(raw))
     cols = df.columns
     found = {role: find_first_existing(cols, cands) for role, cands in WEIGHT_CANDIDATES.items()}
     if found["animal"] is None:
@@ -194,15 +217,18 @@ def standardize_weights(raw: DataFrame, afi: DataFrame | None = None, weight_yea
             year = F.lit(resolve_weight_year(afi, weight_year))
     group = (clean_group(found["group"], _dtype(df, found["group"]), group_mapping)
              if found["group"] else F.lit(None).cast("int"))
+    weight = to_double(found["weight"], _dtype(df, found["weight"]))
+    df = df.filter(id_present(found["animal"], _dtype(df, found["animal"])) & weight.isNotNull()
+                   & year.isNotNull() & month_num.isNotNull())
     out = df.select(
         clean_id(found["animal"], _dtype(df, found["animal"])).alias("animal_id"),
-        to_double(found["weight"], _dtype(df, found["weight"])).alias("weight"),
+        weight.alias("weight"),
         weight_date.alias("weight_date"),
         year.cast("int").alias("year"),
         month_num.cast("int").alias("month_num"),
         group.alias("weight_group"),
     )
-    return out.dropna(subset=["animal_id", "weight", "year", "month_num"])
+    return mark_non_null(out, ["animal_id", "weight", "year", "month_num"])
 
 
 def agg_month_weight(weights: DataFrame) -> DataFrame:
@@ -225,7 +251,7 @@ def agg_animal_month_group(afi: DataFrame) -> DataFrame:
     """A2: one row per animal-month from the daily data: most frequent group, mean DIM,
     first/last day and number of distinct days."""
     require_columns(afi, ["animal_id", "year", "month_num", "group", "dim"], "afi")
-    return (afi.dropna(subset=ANIMAL_MONTH).groupBy(*ANIMAL_MONTH)
+    return (drop_missing(afi, ANIMAL_MONTH).groupBy(*ANIMAL_MONTH)
             .agg(mode_lowest("group").alias("group"),
                  exact_mean("dim").alias("avg_dim"),
                  F.min("day").alias("first_day"),
@@ -282,7 +308,7 @@ def agg_group_day(afi: DataFrame) -> DataFrame:
     """A3: per day and group: mean DIM, mean/sd of daily yield, distinct animals."""
     require_columns(afi, ["animal_id", "day", "month", "group", "dim", "daily_yield"], "afi")
     keys = ["day", "year", "month_num", "month", "group"]
-    return (afi.dropna(subset=["day", "group", "daily_yield"]).dropna(subset=keys)
+    return (drop_missing(afi, ["day", "group", "daily_yield"] + keys)
             .groupBy(*keys)
             .agg(exact_mean("dim").alias("avg_dim"),
                  exact_mean("daily_yield").alias("avg_daily_yield"),
@@ -308,7 +334,7 @@ def agg_animal_month(afi: DataFrame) -> DataFrame:
     """A4: per animal, month and group: mean daily yield, distinct days, mean DIM,
     first/last day."""
     keys = ["animal_id", "year", "month_num", "month", "group"]
-    return (afi.dropna(subset=["animal_id", "group", "day", "daily_yield"]).dropna(subset=keys)
+    return (drop_missing(afi, ["animal_id", "group", "day", "daily_yield"] + keys)
             .groupBy(*keys)
             .agg(exact_mean("daily_yield").alias("avg_monthly_yield"),
                  F.countDistinct("day").alias("n_days"),
@@ -332,7 +358,7 @@ def agg_group_month(animal_month: DataFrame) -> DataFrame:
     require_columns(animal_month, ["Farm Animal ID", "Year", "Month Num", "Month", "Group",
                                    "Avg Monthly Yield"], "animal_month_yield")
     keys = ["Year", "Month Num", "Month", "Group"]
-    return (animal_month.dropna(subset=["Avg Monthly Yield", "Group"]).dropna(subset=keys)
+    return (drop_missing(animal_month, ["Avg Monthly Yield", "Group"] + keys)
             .groupBy(*keys)
             .agg(exact_mean("Avg Monthly Yield").alias("avg_monthly_yield"),
                  sd_samp("Avg Monthly Yield").alias("yield_std"),
@@ -364,8 +390,8 @@ def agg_weight_group(cow_month_weight: DataFrame, assume_unique: bool = False) -
     require_columns(cow_month_weight, ["animal_id", "year", "month_num", "month", "group", "weight"],
                     "cow_month_weight")
     keys = ["year", "month_num", "month", "group"]
-    base = dedupe_animal_month(cow_month_weight.dropna(subset=["group", "weight"]), assume_unique)
-    return (base.dropna(subset=keys).groupBy(*keys)
+    base = dedupe_animal_month(drop_missing(cow_month_weight, ["group", "weight"]), assume_unique)
+    return (drop_missing(base, keys).groupBy(*keys)
             .agg(F.countDistinct("animal_id").alias("n_animals"),
                  exact_mean("weight").alias("avg_weight"),
                  sd_samp("weight").alias("weight_std")))
@@ -386,7 +412,7 @@ def agg_per_animal(afi: DataFrame) -> DataFrame:
     """Duplicate animal-days collapsed first (mean yield, mean DIM, most frequent
     group), then per animal: most frequent group, mean DIM, days, mean/sd of daily
     yield, first/last day."""
-    daily = (afi.dropna(subset=["animal_id", "day", "daily_yield"])
+    daily = (drop_missing(afi, ["animal_id", "day", "daily_yield"])
              .groupBy("animal_id", "day")
              .agg(exact_mean("daily_yield").alias("daily_yield"),
                   exact_mean("dim").alias("dim"),
