@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin ``repartition`` when the input has fewer files than the cluster has
-    cores, so the row-by-row cleaning that follows is not left to one task per file (a
-    Parquet row group is never split). With many input files, the normal case at
-    scale, the frame is returned unchanged and no shuffle is added. The explicit
-    partition count is kept by AQE (it only coalesces shuffles it introduced itself)."""
+    """Hash ``repartition`` on all columns when the input has fewer files than the
+    cluster has cores, so the row-by-row cleaning that follows is not left to one task
+    per file (a Parquet row group is never split). Hashing every column spreads rows
+    evenly and, unlike round-robin, needs no local sort to stay deterministic when a
+    task is retried. With many input files, the normal case at scale, the frame is
+    returned unchanged and no shuffle is added. The explicit partition count is kept
+    by AQE (it only coalesces shuffles it introduced itself)."""
     target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
     try:
         n_files = len(df.inputFiles())
     except Exception:  # noqa: BLE001 - streaming or non-file sources: leave as is
         return df
     if 0 < n_files < target:
-        return df.repartition(target)
+        return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
     return df
