@@ -46,7 +46,9 @@ def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = N
     """Daily Parquet files (+ optional weights CSV) -> the herd tables.
 
     Returns the output DataFrames; with ``output_dir`` also writes them (one directory
-    per table) plus ``run_summary.json``."""
+    per table) plus ``run_summary.json``. ``sort_outputs`` orders the written files like
+    the reference (a range-partitioned global sort per table); turn it off for very
+    large runs where file order does not matter."""
     if not 0.0 < confidence_level < 1.0:
         raise ValueError("confidence_level must be between 0 and 1, e.g. 0.80")
     raw = scan_daily(spark, daily_dir, recursive=recursive)
@@ -104,7 +106,8 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
                  end_date: str | None = None, group_by_pen: bool = False,
                  formats: Sequence[str] = ("csv",), jdbc: Mapping[str, str] | None = None,
                  jdbc_if_exists: str = "replace", jdbc_schema: str | None = None,
-                 catalog_database: str | None = None, keep: str = "persist") -> dict[str, DataFrame]:
+                 catalog_database: str | None = None, keep: str = "persist",
+                 sort_outputs: bool = True) -> dict[str, DataFrame]:
     """Feed-intake files + nutrient table (+ optional mapping) -> the feed tables.
 
     ``jdbc`` = {"url": ..., "user": ..., "password": ..., "driver": ...} writes every
@@ -133,7 +136,7 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
         "nutrient_error_by_formula": feed.nutrient_error_by_formula(delivery, group_by_pen=group_by_pen),
     }
     if output_dir:
-        write_tables(tables, output_dir, formats, sort_keys=FEED_SORT)
+        write_tables(tables, output_dir, formats, sort_keys=FEED_SORT if sort_outputs else None)
     if jdbc:
         props = {k: v for k, v in jdbc.items() if k != "url"}
         for name, df in tables.items():

@@ -1,0 +1,27 @@
+import os
+
+import pandas as pd
+
+from herdfeed.streaming import start_daily_ingest
+
+
+def write_day(folder, name, ids):
+    pd.DataFrame({"Cow ID": ids, "Grp": ["G1"] * len(ids), "DIM": [10.0] * len(ids),
+                  "Yield": [20.0] * len(ids)}).to_parquet(os.path.join(folder, name), index=False)
+
+
+def test_incremental_ingest_exactly_once(spark, tmp_dir):
+    src, table, ckpt = (os.path.join(tmp_dir, d) for d in ("in", "table", "ckpt"))
+    os.makedirs(src)
+    write_day(src, "afi_20240501.parquet", ["1", "2"])
+    schema = spark.read.parquet(src).schema
+    q = start_daily_ingest(spark, src, schema, table, ckpt)
+    q.awaitTermination()
+    assert spark.read.parquet(table).count() == 2
+    # a new day arrives; the restarted query only reads the new file
+    write_day(src, "afi_20240502.parquet", ["1", "3", ""])
+    q = start_daily_ingest(spark, src, schema, table, ckpt)
+    q.awaitTermination()
+    out = spark.read.parquet(table)
+    assert out.count() == 4
+    assert sorted(str(r.day) for r in out.select("day").distinct().collect()) == ["2024-05-01", "2024-05-02"]
