@@ -7,6 +7,7 @@ writes each output table. All outputs stay lazy DataFrames until their sink.
 
 from __future__ import annotations
 
+import json
 import logging
 import os
 from collections.abc import Mapping, Sequence
@@ -77,18 +78,29 @@ def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = N
         tables["table_3_5_weight_group"] = herd.weight_group(cow_month_weight, assume_unique=True)
 
     if output_dir:
-        write_tables(tables, output_dir, formats, sort_keys=HERD_SORT if sort_outputs else None)
+        written = write_tables(tables, output_dir, formats, sort_keys=HERD_SORT if sort_outputs else None)
+        count = {name: df.count() for name, df in tables.items()}
         summary = {
-            "afi_dir": daily_dir, "start_date": start_date, "confidence_level": confidence_level,
+            "afi_dir": daily_dir, "output_dir": output_dir, "start_date": start_date,
+            "confidence_level": confidence_level,
+            "yield_and_dim_rows": count["table_3_1_yield_and_dim"],
+            "yield_group_day_rows": count["table_3_3_yield_group_day"],
+            "animal_month_yield_rows": count["animal_month_yield"],
+            "yield_group_month_rows": count["table_3_4_yield_group_month"],
+            "per_cow_rows": count["per_cow_daily_yield_summary"],
             "weights_csv_used": bool(weights_path),
         }
-        counts = {f"{name}_rows": spark.read.option("header", True).csv(os.path.join(output_dir, name)).count()
-                  for name in tables} if "csv" in formats else {}
+        if weights_path:
+            summary.update({
+                "weights_csv": weights_path,
+                "weight_rows_after_cleaning": weights.count(),
+                "dim_weight_daily_rows": count["table_3_2_dim_weights_merged"],
+                "cow_month_weight_rows": count["cow_month_weight"],
+                "weight_group_rows": count["table_3_5_weight_group"],
+            })
+        summary["output_files"] = written
         out = write_profile_json(profile, os.path.join(output_dir, "run_summary.json"))
         out.update(summary)
-        out.update(counts)
-        import json
-
         with open(os.path.join(output_dir, "run_summary.json"), "w", encoding="utf-8") as fh:
             json.dump(out, fh, indent=2, default=str)
     return tables

@@ -32,7 +32,8 @@ def test_herd_job_end_to_end(spark, tmp_dir):
     n_rows = sum(1 for _ in tables["table_3_1_yield_and_dim"].collect())
     assert summary["clean_afi_rows"] == n_rows > 0
     assert summary["afi_start_day"] == str(days[0].replace(year=days[0].year + 30))
-    assert summary["table_3_1_yield_and_dim_rows"] == n_rows
+    assert summary["yield_and_dim_rows"] == n_rows and summary["weights_csv_used"] is True
+    assert summary["per_cow_rows"] == tables["per_cow_daily_yield_summary"].count()
     assert set(summary["unique_groups"]) <= {1, 2, 15}
     ygd = spark.read.option("header", True).csv(os.path.join(out, "table_3_3_yield_group_day"))
     assert ygd.count() == tables["table_3_3_yield_group_day"].count()
@@ -58,3 +59,24 @@ def test_feed_job_and_loader(spark, tmp_dir):
     assert all(abs(r.s - 100.0) < 1e-6 for r in shares)
     written = load_outputs(spark, None, out, lambda df, name: None)
     assert "chapter4_nutrient_error_by_formula" in written and len(written) == 6
+
+
+def test_herd_job_with_dated_files_and_weights(spark, tmp_dir):
+    daily = os.path.join(tmp_dir, "afi")
+    os.makedirs(os.path.join(daily, "1996"))
+    b = B.b_daily(spark, SF_SMALL).filter(F.col("file_date").between("1996-01-01", "1996-03-31"))
+    pdf = b.withColumnRenamed("file_date", "Date").toPandas()
+    half = len(pdf) // 2
+    pdf.iloc[:half].to_parquet(os.path.join(daily, "part_a.parquet"), index=False, coerce_timestamps="us")
+    pdf.iloc[half:].to_parquet(os.path.join(daily, "1996", "part_b.parquet"), index=False, coerce_timestamps="us")
+    weights = os.path.join(tmp_dir, "weights.csv")
+    B.b_weights(spark, SF_SMALL).toPandas().to_csv(weights, index=False)
+    flat = run_herd_job(spark, daily, None, weights_path=weights)
+    deep = run_herd_job(spark, daily, None, weights_path=weights, recursive=True)
+    assert flat["table_3_1_yield_and_dim"].count() == half          # S2: top level only
+    assert deep["table_3_1_yield_and_dim"].count() == len(pdf)
+    assert deep["cow_month_weight"].count() > 0
+    wg = deep["table_3_5_weight_group"].collect()
+    assert wg and all(r["N Animals"] >= 1 for r in wg)
+    # one weight per animal-month: the daily join never multiplies daily rows
+    assert deep["table_3_2_dim_weights_merged"].count() <= len(pdf)
