@@ -17,7 +17,7 @@ from ..functions.dates import calendar_parts, clean_date, clean_timestamp, month
 from ..functions.groups import clean_group, month_number
 from ..functions.stats import add_t_interval, exact_mean, standard_error
 from ..functions.text import clean_id, id_present, to_double, whole_number
-from ..sources.files import _coalesce_same_names
+from ..sources.files import merge_header_spellings
 from .partitioning import spread_small_input
 from ..sources.headers import find_first_existing, require_columns, snake_case
 
@@ -82,7 +82,7 @@ def _dtype(df: DataFrame, name: str | None):
 
 
 def _snake(df: DataFrame) -> DataFrame:
-    return _coalesce_same_names(df, snake_case)
+    return merge_header_spellings(df, snake_case)
 
 
 # --------------------------------------------------------------------------- T1

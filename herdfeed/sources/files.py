@@ -120,7 +120,7 @@ def read_feed_files(spark: SparkSession, path: str, txt_sep: str | None = None)
     return union_by_name(frames, snake=False)
 
 
-def _coalesce_same_names(df: DataFrame, rename) -> DataFrame:
+def merge_header_spellings(df: DataFrame, rename) -> DataFrame:
     """Rename columns with ``rename``; columns that land on the same name are merged
     with ``coalesce`` (they came from different files, so at most one is set)."""
     groups: dict[str, list[T.StructField]] = {}
@@ -150,7 +150,7 @@ def union_by_name(frames: Sequence[DataFrame], snake: bool = True) -> DataFrame:
     """Snake-case each frame, widen conflicting column types (numbers -> double,
     otherwise text), then ``unionByName(allowMissingColumns=True)``."""
     rename = snake_case if snake else (lambda n: n)
-    frames = [_coalesce_same_names(df, rename) for df in frames]
+    frames = [merge_header_spellings(df, rename) for df in frames]
     seen: dict[str, list[T.DataType]] = {}
     for df in frames:
         for f in df.schema.fields:
@@ -193,7 +193,7 @@ def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) ->
     try:
         merged = reader().option("mergeSchema", True).parquet(directory)
         merged.schema  # noqa: B018 - forces the schema merge now
-        out = _coalesce_same_names(with_provenance(merged), snake_case)
+        out = merge_header_spellings(with_provenance(merged), snake_case)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             raise FileNotFoundError(f"No parquet files found in {directory}") from exc

@@ -135,3 +135,23 @@ def test_ingredient_map_last_wins_and_join(spark):
     feed_rows = spark.createDataFrame([("corn silage",), ("mix-7",), ("Haylage",), ("--",)], "name string")
     got = {r.name: r.code for r in apply_ingredient_map(feed_rows, "name", "code", m).collect()}
     assert got == {"corn silage": "LONGCODEVA", "mix-7": "M7", "Haylage": "HLG", "--": None}
+
+
+def test_catalog_writer_creates_database(spark):
+    from herdfeed.sinks import write_catalog
+
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    name = write_catalog(df, "chapter4_error_by_weight", "replace", "herd_out")
+    write_catalog(df, "chapter4_error_by_weight", "append", "herd_out")
+    assert spark.table(name).count() == 2
+    with pytest.raises(ValueError):
+        write_catalog(df, "t", "replace", "bad-name;")
+
+
+def test_check_has_dates(spark):
+    from herdfeed.operators.herd import check_has_dates
+
+    df = spark.createDataFrame([(None,), (None,)], "day date")
+    with pytest.raises(ValueError):
+        check_has_dates(df)
+    check_has_dates(spark.createDataFrame([(dt.date(2024, 1, 1),)], "day date"))
