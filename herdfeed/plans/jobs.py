@@ -103,6 +103,7 @@ def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = N
         out.update(summary)
         with open(os.path.join(output_dir, "run_summary.json"), "w", encoding="utf-8") as fh:
             json.dump(out, fh, indent=2, default=str)
+        release(afi, *([weights] if weights_path else []))
     return tables
 
 
@@ -156,9 +157,19 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
     if catalog_database:
         for name, df in tables.items():
             write_catalog(df, TABLE_NAMES.get(name, name), jdbc_if_exists, catalog_database)
+    if output_dir or jdbc or catalog_database:
+        release(filtered)
     return tables
 
 
+def release(*frames: DataFrame) -> None:
+    """Drop cached blocks once every output is written (checkpointed data stays in
+    ``spark.checkpoint.dir`` and is cleaned by Spark's context cleaner when enabled)."""
+    for df in frames:
+        if df.is_cached:
+            df.unpersist()
+
+
 def load_outputs(spark: SparkSession, herd_dir: str | None, feed_dir: str | None, write,
                  herd_prefix: str = "chapter3", feed_prefix: str = "chapter4") -> list[str]:
     """K6: load the CSV output directories of both jobs into tables with prefixed names
