@@ -51,3 +51,15 @@ def test_distinct_count_is_two_level_aggregation_not_expand(spark):
     afi = herd.standardize_daily(B.b_daily(spark, SF_SMALL))
     plan = plan_of(herd.agg_group_day(afi))
     assert "Expand" not in plan and plan.count("HashAggregate") >= 4
+
+
+@pytest.mark.parametrize("key", ["standard_daily", "coerce_dates", "clean_date"])
+def test_results_do_not_depend_on_session_time_zone(spark, key):
+    seen = []
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            seen.append(sorted(map(str, RAW_QUERIES[key](spark, SF_SMALL).collect())))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seen[0] == seen[1] == seen[2]
