@@ -57,7 +57,7 @@ def clean_group(c: Column | str, dtype: T.DataType | None = None,
     c = col_of(c)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         labelled = F.try_element_at(map_literal(mapping, "int"), c.cast("string"))
-        return F.coalesce(labelled, c.cast("int"))
+        return F.coalesce(labelled, c.try_cast("int"))
     labelled = F.try_element_at(map_literal(mapping, "int"), c.cast("string"))
     return F.coalesce(labelled, whole_number(c, dtype))
 

@@ -151,7 +151,7 @@ def whole_number(c: Column | str, dtype: T.DataType | None = None) -> Column:
     """Integer value of a column, NULL when missing, non-numeric or fractional."""
     c = col_of(c)
     if isinstance(dtype, _INTEGRAL_TYPES):
-        return c.cast("int")
+        return c.try_cast("int")
     if is_numeric_type(dtype):
         d = nan_to_null(c.cast("double"))
         return F.when(d == F.floor(d), d.try_cast("int"))

@@ -174,7 +174,9 @@ def _footer_signatures(batches: Iterable) -> Iterable:
         for uri in pdf["path"]:
             fs, p = pafs.FileSystem.from_uri(uri)
             schema = pq.read_schema(p, filesystem=fs)
-            sigs.append(json.dumps([[snake_case(f.name), str(f.type)] for f in schema]))
+            # exact names and types: a group is read without schema merging, so files
+            # whose headers differ only in spelling must not share a group
+            sigs.append(json.dumps([[f.name, str(f.type)] for f in schema]))
         yield pd.DataFrame({"path": pdf["path"], "sig": sigs})
 
 

@@ -155,3 +155,16 @@ def test_check_has_dates(spark):
     with pytest.raises(ValueError):
         check_has_dates(df)
     check_has_dates(spark.createDataFrame([(dt.date(2024, 1, 1),)], "day date"))
+
+
+def test_scan_daily_fallback_keeps_every_spelling(spark, tmp_dir):
+    # a type conflict forces the per-schema fallback; "Cow ID" and "cow_id" files must
+    # not be read as one group (that would drop one spelling's values)
+    pd.DataFrame({"Cow ID": [1], "Grp": ["G1"], "DIM": [1.0], "Yield": [1.0]}).to_parquet(
+        os.path.join(tmp_dir, "a_20240101.parquet"), index=False)
+    pd.DataFrame({"cow_id": [2], "grp": ["G1"], "dim": [1.0], "yield": [1.0]}).to_parquet(
+        os.path.join(tmp_dir, "b_20240102.parquet"), index=False)
+    pd.DataFrame({"cow_id": ["X3"], "grp": ["G1"], "dim": [1.0], "yield": [1.0]}).to_parquet(
+        os.path.join(tmp_dir, "c_20240103.parquet"), index=False)
+    df = scan_daily(spark, tmp_dir)
+    assert sorted(r.cow_id for r in df.collect()) == ["1", "2", "X3"]
