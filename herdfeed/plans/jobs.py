@@ -128,8 +128,13 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
     mapping = ingredient_map(read_table_file(spark, ingredient_map_path)) if ingredient_map_path else None
     raw_feed = (read_feed_files(spark, feed_path) if not os.path.splitext(feed_path)[1]
                 else read_table_file(spark, feed_path))
-    filtered = materialize(feed.prepare_feed_intake(raw_feed, ingredient_mapping=mapping, start_date=start_date,
-                                                    end_date=end_date, group_by_pen=group_by_pen), keep)
+    # cache the cleaned rows (read twice by the totals), then the final table (read by
+    # every output); the first cache is dropped once the second is filled
+    cleaned = materialize(feed.clean_feed_intake(raw_feed, mapping, start_date, end_date), keep)
+    filtered = materialize(feed.add_formula_totals(cleaned, group_by_pen), keep)
+    if keep == "persist":
+        filtered.count()
+        release(cleaned)
     nutrient = feed.prepare_nutrient_table(read_table_file(spark, nutrient_path).drop("source_file"),
                                            ingredient_mapping=mapping)
     delivery = feed.nutrient_delivery(filtered, nutrient)
