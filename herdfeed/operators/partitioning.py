@@ -14,10 +14,10 @@ def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame
     task is retried. With many input files, the normal case at scale, the frame is
     returned unchanged and no shuffle is added. The explicit partition count is kept
     by AQE (it only coalesces shuffles it introduced itself)."""
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
     try:
+        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
         n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - streaming or non-file sources: leave as is
+    except Exception:  # noqa: BLE001 - streaming, non-file sources or no SparkContext: leave as is
         return df
     if 0 < n_files < target:
         return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
