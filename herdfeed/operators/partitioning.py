@@ -5,20 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def _split_bytes(spark) -> int:
+    value = str(spark.conf.get("spark.sql.files.maxPartitionBytes", str(DEFAULT_SPLIT_BYTES))).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    num = value.rstrip("bkmgt")
+    mult = next((u for s, u in units.items() if value.rstrip("b").endswith(s)), 1)
+    try:
+        return int(float(num) * mult)
+    except ValueError:
+        return DEFAULT_SPLIT_BYTES
+
 
 def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Hash ``repartition`` on all columns when the input has fewer files than the
-    cluster has cores, so the row-by-row cleaning that follows is not left to one task
-    per file (a Parquet row group is never split). Hashing every column spreads rows
-    evenly and, unlike round-robin, needs no local sort to stay deterministic when a
-    task is retried. With many input files, the normal case at scale, the frame is
-    returned unchanged and no shuffle is added. The explicit partition count is kept
-    by AQE (it only coalesces shuffles it introduced itself)."""
+    """Hash ``repartition`` on all columns when the input is *small and in few files*:
+    fewer files than the cluster has cores, and fewer bytes than one wave of scan tasks
+    (cores x ``spark.sql.files.maxPartitionBytes``). Then each file is at most a task or
+    two (a Parquet row group is never split) and the row-by-row cleaning that follows
+    would run on a handful of cores.
+
+    Large inputs are returned unchanged, whatever their file count: their files split
+    into many scan tasks already, and a shuffle of the whole input would cost far more
+    than it gains. The byte count comes from a file listing (``binaryFile`` with only the
+    ``length`` column, no contents read) and is only taken in the few-files case.
+    Hashing every column spreads rows evenly and, unlike round-robin, needs no local sort
+    to stay deterministic when a task is retried; AQE keeps the explicit partition
+    count."""
     try:
-        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-        n_files = len(df.inputFiles())
+        spark = df.sparkSession
+        target = min_tasks or spark.sparkContext.defaultParallelism
+        files = df.inputFiles()
     except Exception:  # noqa: BLE001 - streaming, non-file sources or no SparkContext: leave as is
         return df
-    if 0 < n_files < target:
-        return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
-    return df
+    if not 0 < len(files) < target:
+        return df
+    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    if total >= target * _split_bytes(spark):
+        return df
+    return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])

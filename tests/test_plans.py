@@ -63,3 +63,18 @@ def test_results_do_not_depend_on_session_time_zone(spark, key):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert seen[0] == seen[1] == seen[2]
+
+
+def test_spread_only_for_small_few_file_inputs(spark):
+    from herdfeed.operators.partitioning import spread_small_input
+
+    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    spread = lambda d: "RepartitionByExpression" in d._jdf.queryExecution().logical().toString()
+    assert spread(spread_small_input(df))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")   # the same file now counts as large
+        assert not spread(spread_small_input(df))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert not spread(spread_small_input(df, min_tasks=1))          # as many files as tasks
