@@ -19,6 +19,21 @@ def _split_bytes(spark) -> int:
         return DEFAULT_SPLIT_BYTES
 
 
+def _total_bytes(files: list[str]) -> int | None:
+    """Sum of file sizes from file-system metadata (a handful of files only); ``None``
+    when the file system cannot be reached from here."""
+    try:
+        import pyarrow.fs as pafs
+
+        total = 0
+        for uri in files:
+            fs, path = pafs.FileSystem.from_uri(uri)
+            total += fs.get_file_info(path).size or 0
+        return total
+    except Exception:  # noqa: BLE001 - unknown file system: do not spread
+        return None
+
+
 def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     """Hash ``repartition`` on all columns when the input is *small and in few files*:
     fewer files than the cluster has cores, and fewer bytes than one wave of scan tasks
@@ -28,8 +43,8 @@ def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame
 
     Large inputs are returned unchanged, whatever their file count: their files split
     into many scan tasks already, and a shuffle of the whole input would cost far more
-    than it gains. The byte count comes from a file listing (``binaryFile`` with only the
-    ``length`` column, no contents read) and is only taken in the few-files case.
+    than it gains. The byte count comes from file-system metadata of those few files
+    (no job, no contents read); when it cannot be read the input is left as is.
     Hashing every column spreads rows evenly and, unlike round-robin, needs no local sort
     to stay deterministic when a task is retried; AQE keeps the explicit partition
     count."""
@@ -41,7 +56,7 @@ def spread_small_input(df: DataFrame, min_tasks: int | None = None) -> DataFrame
         return df
     if not 0 < len(files) < target:
         return df
-    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
-    if total >= target * _split_bytes(spark):
+    total = _total_bytes(files)
+    if total is None or total >= target * _split_bytes(spark):
         return df
     return df.repartition(target, *[F.col(f"`{c}`") for c in df.columns])
