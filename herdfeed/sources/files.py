@@ -180,6 +180,24 @@ def _footer_signatures(batches: Iterable) -> Iterable:
         yield pd.DataFrame({"path": pdf["path"], "sig": sigs})
 
 
+def _files_by_schema(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Group files by exact Parquet schema. Footers are read by executors (pyarrow, one
+    task per batch of files); if the executors cannot open the file system that way,
+    each footer is read through Spark's own reader instead (metadata only, no data)."""
+    try:
+        paths = spark.createDataFrame([(p,) for p in files], "path string")
+        groups = (paths.repartition(max(1, min(len(files) // 64, 1024)))
+                  .mapInPandas(_footer_signatures, "path string, sig string")
+                  .groupBy("sig").agg(F.collect_list("path").alias("paths")).collect())
+        return [list(g["paths"]) for g in groups]
+    except Exception:  # noqa: BLE001 - e.g. no pyarrow access to this file system
+        by_sig: dict[str, list[str]] = {}
+        for path in files:
+            sig = spark.read.parquet(path).schema.json()
+            by_sig.setdefault(sig, []).append(path)
+        return list(by_sig.values())
+
+
 def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """Every ``*.parquet`` file of a directory as one DataFrame with
     snake-cased headers plus ``source_file`` and ``source_file_date``.
@@ -206,10 +224,6 @@ def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) ->
         out = None
     if out is None:
         files = reader().parquet(directory).inputFiles()
-        paths = spark.createDataFrame([(p,) for p in files], "path string")
-        groups = (paths.repartition(max(1, min(len(files) // 64, 1024)))
-                  .mapInPandas(_footer_signatures, "path string, sig string")
-                  .groupBy("sig").agg(F.collect_list("path").alias("paths")).collect())
-        frames = [with_provenance(spark.read.parquet(*g["paths"])) for g in groups]
+        frames = [with_provenance(spark.read.parquet(*paths)) for paths in _files_by_schema(spark, files)]
         out = union_by_name(frames)
     return out.withColumn("source_file_date", date_from_filename(F.col("source_file")))

@@ -168,3 +168,17 @@ def test_scan_daily_fallback_keeps_every_spelling(spark, tmp_dir):
         os.path.join(tmp_dir, "c_20240103.parquet"), index=False)
     df = scan_daily(spark, tmp_dir)
     assert sorted(r.cow_id for r in df.collect()) == ["1", "2", "X3"]
+
+
+def test_schema_grouping_fallback_without_pyarrow_fs(spark, tmp_dir, monkeypatch):
+    import herdfeed.sources.files as files_mod
+
+    def broken(batches):
+        raise OSError("file system not reachable")
+        yield  # pragma: no cover
+
+    monkeypatch.setattr(files_mod, "_footer_signatures", broken)
+    pd.DataFrame({"cow_id": [1], "grp": ["G1"]}).to_parquet(os.path.join(tmp_dir, "a.parquet"), index=False)
+    pd.DataFrame({"cow_id": ["X"], "grp": ["G2"]}).to_parquet(os.path.join(tmp_dir, "b.parquet"), index=False)
+    df = scan_daily(spark, tmp_dir)
+    assert sorted(r.cow_id for r in df.collect()) == ["1", "X"]
