@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import feed, herd
 from ..session import materialize
 from ..sinks import (
-    TABLE_NAMES, load_csv_directory, run_profile, write_catalog, write_jdbc, write_profile_json,
+    TABLE_NAMES, ensure_jdbc_schema, load_csv_directory, run_profile, write_catalog, write_jdbc, write_profile_json,
     write_tables,
 )
 from ..sources.files import read_delimited, read_feed_files, read_table_file, scan_daily
@@ -157,6 +157,8 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
         write_tables(tables, output_dir, formats, sort_keys=FEED_SORT if sort_outputs else None)
     if jdbc:
         props = {k: v for k, v in jdbc.items() if k != "url"}
+        if jdbc_schema:
+            ensure_jdbc_schema(spark, jdbc["url"], jdbc_schema, props)
         for name, df in tables.items():
             write_jdbc(df, jdbc["url"], TABLE_NAMES.get(name, name), jdbc_if_exists, jdbc_schema, properties=props)
     if catalog_database:

@@ -182,3 +182,19 @@ def test_schema_grouping_fallback_without_pyarrow_fs(spark, tmp_dir, monkeypatch
     pd.DataFrame({"cow_id": ["X"], "grp": ["G2"]}).to_parquet(os.path.join(tmp_dir, "b.parquet"), index=False)
     df = scan_daily(spark, tmp_dir)
     assert sorted(r.cow_id for r in df.collect()) == ["1", "X"]
+
+
+def test_jdbc_schema_created_before_write(spark):
+    from herdfeed.sinks import ensure_jdbc_schema
+
+    url = "jdbc:derby:memory:herdfeed_schema;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    ensure_jdbc_schema(spark, url, "HERD", props, ddl="CREATE SCHEMA HERD",
+                       probe_query="SELECT 1 AS one FROM SYSIBM.SYSDUMMY1")
+    with pytest.raises(Exception):  # the statement really ran: Derby refuses a second CREATE SCHEMA
+        ensure_jdbc_schema(spark, url, "HERD", props, ddl="CREATE SCHEMA HERD",
+                           probe_query="SELECT 1 AS one FROM SYSIBM.SYSDUMMY1")
+    df = spark.createDataFrame([(1,)], "k int")
+    write_jdbc(df, url, "T1", "replace", schema="HERD", properties=props)
+    back = spark.read.format("jdbc").option("url", url).option("dbtable", "HERD.T1").options(**props).load()
+    assert back.count() == 1
