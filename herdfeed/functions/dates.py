@@ -23,7 +23,7 @@ EXCEL_SERIAL_MIN, EXCEL_SERIAL_MAX = 20000, 80000
 # its shape: Spark's lenient parsers read '45000' as the year 45000. ``None`` means
 # Spark's ISO reader (date, optional time, optional 'T').
 DEFAULT_DATE_FORMATS: tuple[tuple[str, str | None], ...] = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?$", None),
+    (r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?$", None),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
     (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:m:s"),
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
@@ -41,11 +41,17 @@ def _try_ts(s: Column, fmt: str | None) -> Column:
     return F.try_to_timestamp(s) if fmt is None else F.try_to_timestamp(s, F.lit(fmt))
 
 
+# A trailing UTC offset of ISO text: the wall-clock time written before it is kept (the
+# date a pandas parse floors to), so results do not depend on the session time zone.
+_ISO_OFFSET = r"(?<=\d)(Z|[+-]\d{2}:?\d{2})$"
+
+
 def parse_timestamp_text(c: Column | str,
                          formats: Sequence[tuple[str, str | None]] = DEFAULT_DATE_FORMATS) -> Column:
-    """Text -> timestamp by the first format whose shape matches and parses."""
+    """Text -> timestamp (wall clock) by the first format whose shape matches and parses."""
     s = strip_ws(col_of(c).cast("string"))
-    return F.coalesce(*[F.when(s.rlike(shape), _try_ts(s, fmt)) for shape, fmt in formats])
+    wall = F.regexp_replace(s, _ISO_OFFSET, "")
+    return F.coalesce(*[F.when(s.rlike(shape), _try_ts(wall if fmt is None else s, fmt)) for shape, fmt in formats])
 
 
 def excel_serial_date(x: Column) -> Column:

@@ -133,3 +133,11 @@ def test_t_value_large_df_series_continuity(spark):
 def test_t_value_rejects_bad_level():
     with pytest.raises(ValueError):
         t_value(F.lit(3), 1.2)
+
+
+def test_iso_offsets_keep_wall_clock(spark):
+    from herdfeed.functions import clean_timestamp
+
+    vals = ["2024-01-02T23:30:00+02:00", "2024-01-02T23:30:00Z", "2024-01-02 23:30:00-0500", "2024-01-02"]
+    assert one_col(spark, vals, clean_date) == [dt.date(2024, 1, 2)] * 4
+    assert one_col(spark, vals[:1], clean_timestamp) == [dt.datetime(2024, 1, 2, 23, 30)]
