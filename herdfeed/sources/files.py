@@ -66,7 +66,9 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",
                    na_values: Sequence[str] | None = CSV_NA_VALUES) -> DataFrame:
     """Header CSV or delimited text, every column read as text (no inference
     pass); cleaning functions type the columns afterwards."""
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    # quotes inside quoted fields are doubled ("a ""b"" c"), as CSV writers such as pandas do
+    reader = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"'))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:

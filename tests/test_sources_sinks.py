@@ -198,3 +198,10 @@ def test_jdbc_schema_created_before_write(spark):
     write_jdbc(df, url, "T1", "replace", schema="HERD", properties=props)
     back = spark.read.format("jdbc").option("url", url).option("dbtable", "HERD.T1").options(**props).load()
     assert back.count() == 1
+
+
+def test_csv_doubled_quotes(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "q.csv")
+    pd.DataFrame({"Ingredient": ['Corn "premium" silage', "a,b"], "w": [1, 2]}).to_csv(p, index=False)
+    got = sorted(r.Ingredient for r in read_table_file(spark, p).collect())
+    assert got == ['Corn "premium" silage', "a,b"]
