@@ -205,3 +205,10 @@ def test_csv_doubled_quotes(spark, tmp_dir):
     pd.DataFrame({"Ingredient": ['Corn "premium" silage', "a,b"], "w": [1, 2]}).to_csv(p, index=False)
     got = sorted(r.Ingredient for r in read_table_file(spark, p).collect())
     assert got == ['Corn "premium" silage', "a,b"]
+
+
+def test_csv_writer_doubles_quotes(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "w")
+    write_table(spark.createDataFrame([('say "hi"', 1)], "s string, k int"), out, "csv", single_file=True)
+    part = [f for f in os.listdir(out) if f.endswith(".csv")][0]
+    assert pd.read_csv(os.path.join(out, part))["s"].tolist() == ['say "hi"']
