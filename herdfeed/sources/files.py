@@ -74,6 +74,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     df = reader.csv(path if isinstance(path, str) else list(path))
+    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])  # a byte-order mark is not part of a header
     df = with_provenance(df)
     return null_na_strings(df, na_values) if na_values else df
 

@@ -212,3 +212,10 @@ def test_csv_writer_doubles_quotes(spark, tmp_dir):
     write_table(spark.createDataFrame([('say "hi"', 1)], "s string, k int"), out, "csv", single_file=True)
     part = [f for f in os.listdir(out) if f.endswith(".csv")][0]
     assert pd.read_csv(os.path.join(out, part))["s"].tolist() == ['say "hi"']
+
+
+def test_csv_byte_order_mark_dropped(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "bom.csv")
+    with open(p, "w", encoding="utf-8-sig") as fh:
+        fh.write("Cow,BW\n1,600\n")
+    assert read_table_file(spark, p).columns[:2] == ["Cow", "BW"]
