@@ -37,14 +37,29 @@ MONTH_NAME_TO_NUM: dict[str, int] = {
 }
 
 
+def sql_literal(value: object) -> str:
+    """A Python scalar as Spark SQL literal text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        text = repr(value)
+        if "e" in text or "n" in text:  # exponent, inf or nan: spell through a cast
+            return f"CAST('{text}' AS DOUBLE)"
+        return text + "D"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def map_literal(mapping: Mapping[str, object], value_type: str) -> Column:
-    """A small fixed dictionary as a ``MAP`` literal (evaluated once per task)."""
-    items: list[Column] = []
-    for key, value in mapping.items():
-        items += [F.lit(str(key)), F.lit(value).cast(value_type)]
-    if not items:
-        return F.create_map().cast(f"map<string,{value_type}>")
-    return F.create_map(*items)
+    """A small fixed dictionary as a ``MAP`` literal, built from one SQL expression (a
+    single call into the JVM, however many entries)."""
+    if not mapping:
+        return F.expr(f"CAST(map() AS map<string,{value_type}>)")
+    body = ", ".join(f"{sql_literal(str(k))}, {sql_literal(v)}" for k, v in mapping.items())
+    return F.expr(f"CAST(map({body}) AS map<string,{value_type}>)")
 
 
 def clean_group(c: Column | str, dtype: T.DataType | None = None,

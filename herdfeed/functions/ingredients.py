@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .groups import map_literal
+from .groups import map_literal, sql_literal
 from .text import clean_text, col_of
 
 # Fixed values that must equal the reference's behaviour: ordered phrase rules
@@ -64,11 +64,11 @@ def compact_key(upper_text: Column) -> Column:
 
 
 def _rules_literal() -> Column:
-    return F.array(*[
-        F.struct(F.lit(text).alias("phrase"), F.lit(re.sub("[^A-Z0-9]", "", text)).alias("compact"),
-                 F.lit(code).alias("code"))
-        for text, code in DEFAULT_INGREDIENT_CODE_RULES
-    ])
+    structs = ", ".join(
+        f"named_struct('phrase', {sql_literal(text)}, 'compact', {sql_literal(re.sub('[^A-Z0-9]', '', text))}, "
+        f"'code', {sql_literal(code)})"
+        for text, code in DEFAULT_INGREDIENT_CODE_RULES)
+    return F.expr(f"array({structs})")
 
 
 def rule_code(upper_text: Column, compact: Column) -> Column:

@@ -16,6 +16,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .groups import sql_literal
 from .text import col_of
 
 TABLE_MAX = 300
@@ -130,7 +131,7 @@ def t_value(n: Column | str, confidence_level: float = 0.80) -> Column:
     z, g1, g2, g3, g4 = _cornish_fisher_coefficients(p)
     dof = (n - 1).cast("double")
     series = F.lit(z) + F.lit(g1) / dof + F.lit(g2) / dof**2 + F.lit(g3) / dof**3 + F.lit(g4) / dof**4
-    lookup = F.element_at(F.array(*[F.lit(v) for v in table]), (n - 1).cast("int"))
+    lookup = F.element_at(F.expr("array(" + ", ".join(sql_literal(v) for v in table) + ")"), (n - 1).cast("int"))
     return F.when(n >= 2, F.when(n - 1 <= len(table), lookup).otherwise(series))
 
 
