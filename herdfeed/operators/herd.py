@@ -66,9 +66,13 @@ NON_NULL = "herdfeed.non_null"
 
 
 def mark_non_null(df: DataFrame, cols) -> DataFrame:
-    for c in cols:
-        df = df.withMetadata(c, {**df.schema[c].metadata, NON_NULL: True})
-    return df
+    """Flag ``cols`` as non-NULL in their column metadata (one projection)."""
+    flagged = set(cols)
+    return df.select([
+        F.col(f"`{f.name}`").alias(f.name, metadata={**f.metadata, NON_NULL: True}) if f.name in flagged
+        else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ])
 
 
 def drop_missing(df: DataFrame, cols) -> DataFrame:
