@@ -151,3 +151,16 @@ def test_date_fallback_dataset_vs_row(spark):
                                 "cow string, grp string, dim double, milk double, date date, source_file_date date")
     assert herd.standardize_daily(raw).count() == 1
     assert herd.standardize_daily(raw, date_fallback="row").count() == 2
+
+
+def test_materialize_modes(spark):
+    from herdfeed.session import materialize
+
+    afi = afi_rows(spark, [("1", "G1", 10.0, 20.0, D(2024, 5, 1)), ("2", "G2", 11.0, 21.0, D(2024, 5, 2))])
+    assert spark.sparkContext.getCheckpointDir()  # set from the session (tests: a scratch folder)
+    ck = materialize(afi, "checkpoint")
+    assert ck.count() == 2 and "LogicalRDD" in ck._jdf.queryExecution().optimizedPlan().toString()
+    p = materialize(afi, "persist")
+    assert p.is_cached and p.count() == 2
+    p.unpersist()
+    assert materialize(afi, "none") is afi
