@@ -164,3 +164,16 @@ def test_materialize_modes(spark):
     assert p.is_cached and p.count() == 2
     p.unpersist()
     assert materialize(afi, "none") is afi
+
+
+def test_weight_year_needs_explicit_year_when_daily_spans_years(spark):
+    import pytest
+
+    afi = afi_rows(spark, [("1", "G1", 10.0, 20.0, D(2023, 12, 31)), ("1", "G1", 10.0, 20.0, D(2024, 1, 1))])
+    raw = spark.createDataFrame([("1", "600", "Jan")], "cow string, weight string, month string")
+    with pytest.raises(ValueError):
+        herd.monthly_weights(raw, afi=afi)
+    r = herd.monthly_weights(raw, afi=afi, weight_year=2024).first()
+    assert (r.year, r.month_num, r.weight) == (2024, 1, 600.0)
+    with_year = spark.createDataFrame([("1", "600", "Jan", "2023")], "cow string, weight string, month string, yr string")
+    assert herd.monthly_weights(with_year, afi=afi).first().year == 2023
