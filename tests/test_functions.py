@@ -141,3 +141,11 @@ def test_iso_offsets_keep_wall_clock(spark):
     vals = ["2024-01-02T23:30:00+02:00", "2024-01-02T23:30:00Z", "2024-01-02 23:30:00-0500", "2024-01-02"]
     assert one_col(spark, vals, clean_date) == [dt.date(2024, 1, 2)] * 4
     assert one_col(spark, vals[:1], clean_timestamp) == [dt.datetime(2024, 1, 2, 23, 30)]
+
+
+def test_user_map_keys_with_quotes_and_backslashes(spark):
+    mapping = {"it's": 3, "a\\b": 4, "x'); DROP TABLE t; --": 5}
+    vals = ["it's", "a\\b", "x'); DROP TABLE t; --", "ab"]
+    assert one_col(spark, vals, lambda c: clean_group(c, None, mapping)) == [3, 4, 5, None]
+    codes = one_col(spark, ["o'brien mix"], lambda c: ingredient_code(c, None, {"O'BRIEN MIX": "ob'1"}))
+    assert codes == ["OB'1"]
