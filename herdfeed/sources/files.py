@@ -109,10 +109,18 @@ def read_feed_files(spark: SparkSession, path: str, txt_sep: str | None = None)
     Spark's file index), one reader per format, unioned by name with drift handling."""
     frames: list[DataFrame] = []
     for suffix in ("parquet", "pq"):
-        df = _try_read(lambda s=suffix: spark.read.option("recursiveFileLookup", True)
-                       .option("pathGlobFilter", _ci_glob(s)).option("mergeSchema", True).parquet(path))
-        if df is not None:
-            frames.append(with_provenance(df))
+        def reader(s=suffix):  # a fresh reader each time: .option() mutates the reader
+            return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _ci_glob(s))
+        try:
+            df = _try_read(lambda: reader().option("mergeSchema", True).parquet(path))
+            if df is not None:
+                df.schema  # noqa: B018 - forces the schema merge now
+                frames.append(with_provenance(df))
+        except Exception as exc:  # noqa: BLE001 - type conflict between files: one read per schema
+            if "merg" not in str(exc).lower():
+                raise
+            files = reader().parquet(path).inputFiles()
+            frames += [with_provenance(spark.read.parquet(*group)) for group in _files_by_schema(spark, files)]
     for suffix, sep in (("csv", ","), ("tsv", "\t"), ("txt", txt_sep)):
         df = _try_read(lambda s=suffix, p=sep: read_delimited(
             spark, path, p or ",", glob=_ci_glob(s), recursive=True))
@@ -222,7 +230,7 @@ def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) ->
             raise FileNotFoundError(f"No parquet files found in {directory}") from exc
         out = None
     except Exception as exc:  # noqa: BLE001 - schema merge conflict surfaces as a Spark error
-        if "merge" not in str(exc).lower() and "CANNOT_MERGE" not in str(exc):
+        if "merg" not in str(exc).lower():
             raise
         out = None
     if out is None:

@@ -219,3 +219,14 @@ def test_csv_byte_order_mark_dropped(spark, tmp_dir):
     with open(p, "w", encoding="utf-8-sig") as fh:
         fh.write("Cow,BW\n1,600\n")
     assert read_table_file(spark, p).columns[:2] == ["Cow", "BW"]
+
+
+def test_feed_parquet_type_conflict(spark, tmp_dir):
+    base = {"Feeding Date": ["2024-05-01"], "Recipe": ["R1"], "Ingredient": ["Salt"], "Dry Call Weight": [10.0],
+            "Dry Actual Weight": [9.0]}
+    pd.DataFrame(base).to_parquet(os.path.join(tmp_dir, "a.parquet"), index=False)
+    text = dict(base, **{"Dry Call Weight": ["1,000"]})
+    pd.DataFrame(text).to_parquet(os.path.join(tmp_dir, "b.parquet"), index=False)
+    from herdfeed.operators import feed
+    ff = feed.prepare_feed_intake(read_feed_files(spark, tmp_dir))
+    assert sorted(r.dry_call_weight for r in ff.collect()) == [10.0, 1000.0]
