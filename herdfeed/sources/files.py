@@ -106,7 +106,8 @@ def _try_read(read) -> DataFrame | None:
 
 def read_feed_files(spark: SparkSession, path: str, txt_sep: str | None = None) -> DataFrame:
     """S3: every supported file under a directory (recursive, hidden files skipped by
-    Spark's file index), one reader per format, unioned by name with drift handling."""
+    Spark's file index), one reader per format, unioned by name with drift handling.
+    The ``.txt`` separator is ``txt_sep``, else sniffed from the first ``.txt`` file."""
     frames: list[DataFrame] = []
     for suffix in ("parquet", "pq"):
         def reader(s=suffix):  # a fresh reader each time: .option() mutates the reader
@@ -121,6 +122,11 @@ def read_feed_files(spark: SparkSession, path: str, txt_sep: str | None = None)
                 raise
             files = reader().parquet(path).inputFiles()
             frames += [with_provenance(spark.read.parquet(*group)) for group in _files_by_schema(spark, files)]
+    if txt_sep is None:  # sniffed from the first .txt file (one bounded read)
+        txt_files = _try_read(lambda: spark.read.option("recursiveFileLookup", True)
+                              .option("pathGlobFilter", _ci_glob("txt")).text(path))
+        first = sorted(txt_files.inputFiles())[:1] if txt_files is not None else []
+        txt_sep = sniff_separator(spark, first[0]) if first else ","
     for suffix, sep in (("csv", ","), ("tsv", "\t"), ("txt", txt_sep)):
         df = _try_read(lambda s=suffix, p=sep: read_delimited(
             spark, path, p or ",", glob=_ci_glob(s), recursive=True))

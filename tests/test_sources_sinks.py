@@ -59,7 +59,7 @@ def test_feed_directory_all_formats(spark, tmp_dir):
     pd.DataFrame(base).to_parquet(os.path.join(tmp_dir, "d.parquet"), index=False)
     pd.DataFrame(base).to_csv(os.path.join(tmp_dir, ".hidden.csv"), index=False)
     assert sniff_separator(spark, os.path.join(sub, "c.txt")) == ";"
-    raw = read_feed_files(spark, tmp_dir, txt_sep=";")
+    raw = read_feed_files(spark, tmp_dir)  # ';' sniffed from the .txt file
     assert raw.count() == 4
     assert sorted(r.source_file for r in raw.collect()) == ["a.csv", "b.TSV", "c.txt", "d.parquet"]
     from herdfeed.operators import feed
