@@ -6,12 +6,21 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of this package (pickled by value); read it with :func:`shared`."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(handle: Broadcast):
+    return cloudpickle.loads(handle.value)
+
+
 SLICE = 1 << 14  # counters a row of a partial count array holds
 FAN_IN = 64
 

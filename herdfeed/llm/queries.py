@@ -7,19 +7,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracle
 from .common import read_table
+from .decontam import contamination
 from .ngram_join import ngram_jaccard_join
+from .quality_rules import quality_rules
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_ngram_jaccard_join": oracle.OP6,
+    "op8_quality_rules": oracle.OP8,
+    "op10_decontamination": oracle.OP10,
+}
 
 
 def oracle_sql() -> dict[str, str]:
