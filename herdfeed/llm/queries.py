@@ -8,10 +8,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
-from .common import read_table
+from .common import read_table, shared_path
 from .decontam import contamination
+from .packing import pack_documents
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import quality_rules
+from .tokenbin import read_token_files, write_token_files
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_path())
+    return read_token_files(spark, path)
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
