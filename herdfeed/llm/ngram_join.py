@@ -83,25 +83,27 @@ def shingle_counters(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, counters) -> DataFrame:
-    """``(doc_id, n_shingles, cls, text_hash, prefix)`` of each row; ``cls`` NULL if empty."""
+    """``(doc_id, n_shingles, cls, text_hash, prefix, parts)`` of each row; ``cls`` NULL if
+    empty, ``parts`` the set's counts by hash part."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
     def reduce(batches):
         order = counters.value
         for batch in batches:
-            sizes, keys, prefixes = [], [], []
+            sizes, keys, prefixes, parts = [], [], [], []
             for s in _sets(batch.column(1), width):
                 n = len(s)
                 sizes.append(n)
                 keys.append(_set_key(s) if n else None)
                 length = n - (percent * n + 99) // 100 + 1 if n else 0
                 prefixes.append(s[np.lexsort((s, order[_counter(s)]))[:length]])
+                parts.append(np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS).astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), batch.column(2), _lists(prefixes)],
-                names=["doc_id", "n_shingles", "cls", "text_hash", "prefix"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), batch.column(2), _lists(prefixes),
+                 pa.array(parts, pa.binary())], names=["doc_id", "n_shingles", "cls", "text_hash", "prefix", "parts"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(reduce, f"doc_id {kind}, n_shingles long, cls binary, text_hash long, prefix array<long>")
+    return rows.mapInArrow(reduce, f"doc_id {kind}, n_shingles long, cls binary, text_hash long, prefix array<long>, parts binary")
 
 
 def _whole_sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
@@ -132,30 +134,41 @@ def _whole_sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -
     return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
+def _suffix_filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose overlap can suffice: equal shingles fall in equal parts of
+    the hash range, so the overlap is at most the sum of the smaller counts of each part."""
+    parts = classes.select("node", "parts")
+    both = (pairs.join(parts.select(F.col("node").alias("a"), F.col("parts").alias("pa")), "a")
+            .join(parts.select(F.col("node").alias("b"), F.col("parts").alias("pb")), "b").select("a", "b", "pa", "pb"))
+
+    def judge(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<i4").reshape(-1, SUFFIX_PARTS).astype(np.int64) for k in (2, 3))
+            bound, total = np.minimum(x, y).sum(axis=1), x.sum(axis=1) + y.sum(axis=1)
+            yield batch.select([0, 1]).filter(pa.array((100 + percent) * bound >= percent * total))
+
+    return both.mapInArrow(judge, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of classes that are linked, by whole sets."""
-    both = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
-            .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b"))
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
 
     def verify(batches):
         for batch in batches:
             keep = []
             left, right = batch.column(2), batch.column(3)
             for i in range(batch.num_rows):
-                x = left[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                y = right[i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                total = len(x) + len(y)
-                part = [np.bincount((s & np.uint64(SUFFIX_PARTS - 1)).astype(np.int64), minlength=SUFFIX_PARTS) for s in (x, y)]
-                bound = int(np.minimum(*part).sum())
-                if (100 + percent) * bound < percent * total:
-                    continue
+                x = left[i].values.to_numpy(zero_copy_only=False)
+                y = right[i].values.to_numpy(zero_copy_only=False)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= percent * (total - shared):
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
                     keep.append(i)
             if keep:
                 yield batch.select([0, 1]).take(pa.array(keep))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(verify, "a binary, b binary")
+    return both.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
@@ -172,41 +185,50 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counters = spark.sparkContext.broadcast(shingle_counters(docs, text_col, width))
     rows = written(_prefixes(docs, id_col, text_col, width, percent, counters), "ngram-rows")
     classes = written(rows.filter("n_shingles > 0").groupBy("cls").agg(
-        F.first("n_shingles").alias("n"), F.first("text_hash").alias("text_hash"), F.first("prefix").alias("prefix")), "ngram-classes")
-
-    # A rank puts the class that reaches the shingle earliest first; ties go by the class key.
-    held = classes.select("cls", "n", F.posexplode("prefix").alias("pos", "token"))
-    held = held.withColumn("rank", F.shiftleft(F.col("pos").cast("long"), 32) + F.pmod(F.xxhash64("cls"), F.lit(1 << 32)))
-    shared = held.groupBy("token").agg(F.count("*").alias("held"), F.min("rank").alias("centre")).filter("held > 1")
-    lists = written(held.join(shared.select("token", "centre"), "token"), "ngram-lists")
+        F.first("n_shingles").alias("n"), F.first("text_hash").alias("text_hash"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
+        .withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
+
+    # A rank puts the class that reaches the shingle earliest first; ties go by the class's hash.
+    # A list of two is kept only if its one pair passes the length and positional filters.
+    held = classes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    rank = F.expr("shiftleft(cast(pos AS long), 31) + pmod(hash(node), 2147483647)")
+    shared = held.groupBy("token").agg(
+        F.count("*").alias("held"), F.sum("n").alias("total"), F.min("n").alias("least_n"), F.min(F.col("n") - F.col("pos")).alias("least_rest"),
+        F.min(rank).alias("centre"))
+    shared = shared.filter(
+        f"held > 2 OR (held = 2 AND 100 * least_n >= {percent} * (total - least_n) AND {100 + percent} * least_rest >= {percent} * total)")
+    lists = written(held.join(shared.select("token", "centre"), "token").withColumn("inner", rank == F.col("centre")).drop("centre"), "ngram-lists")
 
     length = f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"
     position = f"{100 + percent} * least(x.n - x.pos, y.n - y.pos) >= {percent} * (x.n + y.n)"
 
     def pairs_of(x: DataFrame, y: DataFrame, also: str) -> DataFrame:
-        near = x.alias("x").join(y.alias("y"), F.expr(f"x.token = y.token AND x.cls != y.cls AND {length} AND {position} AND {also}"))
-        return near.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
+        near = x.alias("x").join(y.alias("y"), F.expr(f"x.token = y.token AND x.node != y.node AND {length} AND {position} AND {also}"))
+        return near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "text_hash"), "cls")
-        return written(_verified(pairs, _whole_sets(docs, text_col, width, wanted), percent), "ngram-links")
+        near = written(_suffix_filtered(pairs, classes, percent), "ngram-near")
+        wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "cls", "text_hash"), "node")
+        wanted = written(wanted, "ngram-wanted")
+        sets = _whole_sets(docs, text_col, width, wanted).join(wanted.select("cls", "node"), "cls").select("node", "shingles")
+        return written(_verified(near, sets, percent), "ngram-links")
 
-    tried = written(pairs_of(lists, lists.filter("rank = centre"), "true"), "ngram-pairs")
+    tried = written(pairs_of(lists, lists.filter("inner"), "true"), "ngram-pairs")
     links = links_of(tried)
     roots = connected_components(links, "ngram-components")
 
-    placed = lists.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    placed = lists.drop("inner").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     per_root = placed.groupBy("token", "root").agg(F.count("*").alias("members"))
     largest = per_root.groupBy("token").agg(F.count("*").alias("roots"), F.max(F.struct("members", "root")).alias("largest"))
     open_lists = written(placed.join(largest.filter("roots > 1"), "token")
-                         .select("token", "cls", "n", "pos", "root", (F.col("root") == F.col("largest.root")).alias("inner")), "ngram-open")
-    rest = pairs_of(open_lists.filter("NOT inner"), open_lists, "x.root != y.root AND (y.inner OR x.cls < y.cls)")
+                         .select("token", "node", "n", "pos", "root", (F.col("root") == F.col("largest.root")).alias("inner")), "ngram-open")
+    rest = pairs_of(open_lists.filter("NOT inner"), open_lists, "x.root != y.root AND (y.inner OR x.node < y.node)")
     rest = written(rest.join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
     links = links.union(links_of(rest))
     roots = connected_components(links, "ngram-components")
 
     least = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("doc_id").alias("least_id"))
-    grouped = least.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    grouped = least.join(classes.select("cls", "node"), "cls").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     component = grouped.join(grouped.groupBy("root").agg(F.min("least_id").alias("component_id")), "root").select("cls", "component_id")
     return (rows.select("doc_id", "n_shingles", "cls").join(component, "cls", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
