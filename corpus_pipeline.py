@@ -1,15 +1,73 @@
-"""Corpus pipeline over ``documents`` (see STAGES)."""
+"""Corpus pipeline over ``documents``: toxicity, language ID, n-gram Jaccard join, benchmark
+decontamination, packing.
+
+``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)`` and returns a
+DataFrame, which is written as Parquet and read again as the next one's ``docs``. All but the
+last return the columns of ``documents``. Every stage learns from and works on all its input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from herdfeed.llm import langid, toxicity
+from herdfeed.llm.common import id_remainder, read_table, written
+from herdfeed.llm.decontam import decontaminate
+from herdfeed.llm.ngram_join import ngram_jaccard_join
+from herdfeed.llm.packing import pack_documents
+from herdfeed.llm.queries import tokenizer_path
+
+#: A text is rejected if its language is undetermined or told with a lower score.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier calls toxic."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents whose language can't be told."""
+    return langid.keep_known(docs, langid.train(docs, id_remainder("doc_id", 4) != 2), MIN_LANGUAGE_SCORE)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: the one with the smallest id, one row of it. Rows
+    without an id can't be named by a component and stay."""
+    first = ngram_jaccard_join(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.filter("doc_id IS NULL"))
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the passages of test items; ``n_chars`` follows the text."""
+    clean = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language ID", drop_unknown_language),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", cut_benchmark),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: The classifiers and the tokenizer are not expressible in SQL; tests/llm holds the stages
+#: against brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, "pipeline")
     return docs

@@ -226,18 +226,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", width: int = WINDOW,
-                  max_coverage: float = 0.8, min_span: int = WINDOW) -> DataFrame:
+                  max_coverage: float = 0.8) -> DataFrame:
     """``docs`` with spans that repeat test items cut out of the text; columns are unchanged.
 
-    Hit words that follow each other form a span; spans of ``min_span`` words or more (or a
-    whole window of a shorter item) are cut from their first to their last character. A row of
-    which more than ``max_coverage`` of the words are hit is removed. Rows without a hit keep
+    Hit words that follow each other form a span, at least a window long, which is cut from its
+    first to its last character; if the words around a cut form a window, that is cut too. A row
+    of which more than ``max_coverage`` of the words are hit is removed. Rows without a hit keep
     their text byte for byte; NULL texts stay NULL.
     """
     handle = item_index(benchmark, width=width)
     schema = docs.schema
     at = docs.columns.index(text_col)
 
+    def cut(raw, start, end, mask) -> bytes:
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
+        kept, since = [], 0
+        for a, b in zip(edge[::2], edge[1::2]):
+            kept.append(raw[since:start[a]].tobytes())
+            since = end[b - 1]
+        return b"".join([*kept, raw[since:].tobytes()])
+
     def clean(batches):
         index = shared(handle)
         for batch in batches:
@@ -250,14 +258,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 if mask.mean() > max_coverage:
                     dropped.append(row)
                     continue
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
-                kept, since = [], 0
-                for a, b in zip(edge[::2], edge[1::2]):
-                    if b - a >= min(min_span, index.sizes[0]):
-                        kept.append(raw[since:start[a]].tobytes())
-                        since = end[b - 1]
-                kept.append(raw[since:].tobytes())
-                changed[row] = b"".join(kept).decode()
+                # Words that a cut brings together can form a window again.
+                while mask is not None and mask.any():
+                    changed[row] = cut(raw, start, end, mask).decode()
+                    _, raw, start, end, mask, _ = next(_chunks(index, pa.array([changed[row]], pa.large_string())))
             if changed:
                 texts = column.to_pylist()
                 for row, text in changed.items():

@@ -52,6 +52,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND ({_rule_sql()}) AS kept FROM b
 """
 
+_CONFLICT = r"(contains(t, '<s>') OR contains(t, '</s>') OR contains(t, '[INST]') OR contains(t, '[/INST]') OR contains(t, '<<') OR contains(t, '<\') OR contains(t, '[\') OR contains(t, '\\'))"
+
+OP7 = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+s AS (SELECT *, length(t) + CASE WHEN {_CONFLICT} THEN len(regexp_extract_all(t, '[<\[\\]')) ELSE 0 END
+  + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 ELSE 18 END AS shown FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(shown))::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+"""
+
 OP10 = rf"""
 WITH iw AS (SELECT DISTINCT item_id::VARCHAR AS item, regexp_extract_all({_LOWER.format('text')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
   FROM benchmark WHERE item_id IS NOT NULL),

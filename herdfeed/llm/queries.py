@@ -7,12 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle
-from .common import read_table, shared_path
+from . import langid, oracle, rule_ensemble, toxicity
+from .chat import format_conversations, read_back
+from .common import id_remainder, read_table, shared_path
 from .decontam import contamination
 from .packing import pack_documents
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import quality_rules
+from .url_filter import Rules, filter_urls
 from .tokenbin import read_token_files, write_token_files
 
 
@@ -32,15 +34,51 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+#: The query contract's rules.
+URL_RULES = Rules((("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = langid.train(docs, ~held_out)
+    return langid.predict(docs, model).withColumn("held_out", held_out)
+
+
+def op5_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 5) == 0
+    model = rule_ensemble.train(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return rule_ensemble.score(docs, model).withColumn("held_out", held_out)
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(rows.union(extra)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 3) == 1
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 ORACLE = {
     "op6_ngram_jaccard_join": oracle.OP6,
+    "op7_chat_format": oracle.OP7,
     "op8_quality_rules": oracle.OP8,
     "op10_decontamination": oracle.OP10,
 }
