@@ -6,7 +6,6 @@ Entry points:
 * ``herdfeed.operators.herd`` / ``herdfeed.operators.feed`` — the individual tables
 * ``herdfeed.functions`` — Column -> Column cleaning and statistics rules
 * ``herdfeed.sources`` / ``herdfeed.sinks`` — readers and writers
-* ``herdfeed.streaming.start_daily_ingest`` — incremental ingest of new daily files
 """
 
 __version__ = "0.1.0"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import calendar
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -103,9 +105,15 @@ def date_from_filename(name: Column | str) -> Column:
     )
 
 
+def _name_of_month(number: Column) -> Column:
+    """English name of a month number 1-12; NULL otherwise. A lookup in a literal array: no
+    date formatting per row."""
+    return F.get(F.split(F.lit(",".join(calendar.month_name[1:])), ","), number - 1)
+
+
 def month_name(day: Column | str) -> Column:
     """English month name of a date."""
-    return F.date_format(col_of(day), "MMMM")
+    return _name_of_month(F.month(col_of(day)))
 
 
 def calendar_parts(day: Column | str) -> dict[str, Column]:
@@ -117,5 +125,4 @@ def calendar_parts(day: Column | str) -> dict[str, Column]:
 def month_name_of(year: Column | str, month_num: Column | str) -> Column:
     """Month name from year and month integers; invalid -> NULL."""
     y, m = col_of(year), col_of(month_num)
-    ok = y.between(1, 9999) & m.between(1, 12)
-    return F.when(ok, F.date_format(F.make_date(y, m, F.lit(1)), "MMMM"))
+    return F.when(y.between(1, 9999), _name_of_month(m))

@@ -162,26 +162,3 @@ def safe_percent(numerator: Column | str, denominator: Column | str) -> Column:
     """C11: ``num / den * 100``; NULL when the denominator is 0, missing or infinite."""
     num, den = col_of(numerator), col_of(denominator)
     return F.when(is_finite(den) & (den != 0), num / den * 100.0)
-
-
-# Sums and means of measured quantities are accumulated in fixed point (integer
-# micro-units, exact 64-bit sums), so results do not depend on how rows are split across
-# tasks: floating-point sums change in the last bits with partitioning, which flips
-# rounded outputs from run to run on a cluster. 1e-6 kg resolution; inputs with up to six
-# decimals are summed exactly. A sum beyond 9.2e12 raises (ANSI overflow), never wraps.
-FIXED_SCALE = 1_000_000.0
-
-
-def fixed_units(c: Column | str) -> Column:
-    """Value in integer micro-units (half-to-even on the binary value)."""
-    return F.rint(col_of(c) * FIXED_SCALE).cast("long")
-
-
-def exact_sum(c: Column | str) -> Column:
-    """Order-independent sum (NULL when every value is NULL)."""
-    return F.sum(fixed_units(c)).cast("double") / FIXED_SCALE
-
-
-def exact_mean(c: Column | str) -> Column:
-    """Order-independent mean of the non-NULL values."""
-    return F.sum(fixed_units(c)).cast("double") / FIXED_SCALE / F.count(col_of(c))

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import calendar_parts, clean_date, clean_timestamp, month_name_of
 from ..functions.groups import clean_group, month_number
-from ..functions.stats import add_t_interval, exact_mean, standard_error
+from ..functions.stats import add_t_interval, standard_error
 from ..functions.text import clean_id, id_present, to_double, whole_number
 from ..sources.files import merge_header_spellings
-from .partitioning import spread_small_input
 from ..sources.headers import find_first_existing, require_columns, snake_case
 
 # Fixed values that must equal the reference's behaviour: header synonyms (after
@@ -100,12 +99,12 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
 
     ``date_fallback='dataset'`` (reference behaviour): the file-name date is used only
     when no date column exists at all. ``'row'``: per row, whichever is present."""
-    df = spread_small_input(_snake(raw))
+    df = _snake(raw)
     cols = df.columns
     found = {role: find_first_existing(cols, cands) for role, cands in DAILY_CANDIDATES.items()}
-    for role, what in (("animal", "an animal ID"), ("group", "a group"), ("dim", "a DIM/days-in-milk")):
-        if found[role] is None:
-            raise ValueError(f"Could not find {what} column in the daily files.")
+    absent = [role for role in ("animal", "group", "dim") if found[role] is None]
+    if absent:
+        raise ValueError(f"daily records: no column plays the role {', '.join(absent)}; headers are {cols}")
 
     if found["daily_yield"] is not None:
         daily_yield = to_double(found["daily_yield"], _dtype(df, found["daily_yield"]))
@@ -114,7 +113,7 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
         daily_yield = (F.coalesce(to_double(s1, _dtype(df, s1)), F.lit(0.0))
                        + F.coalesce(to_double(s2, _dtype(df, s2)), F.lit(0.0)))
     else:
-        raise ValueError("Could not find daily_yield/yield or yield_s_1 + yield_s_2 columns in the daily files.")
+        raise ValueError(f"daily records: neither a daily yield nor two session yields among {cols}")
 
     file_day = F.to_date(F.col("source_file_date")) if "source_file_date" in cols else F.lit(None).cast("date")
     if found["date"] is not None:
@@ -164,8 +163,7 @@ def filter_start(afi: DataFrame, start_date: str, col: str = "day") -> DataFrame
 def check_has_dates(afi_raw_days: DataFrame, col: str = "day") -> None:
     """H9: raise when no row has a date (one aggregate action)."""
     if afi_raw_days.agg(F.max(col)).first()[0] is None:
-        raise ValueError("Could not determine observation dates. Add a date column or use "
-                         "file names with YYYYMMDD/YYYY-MM-DD.")
+        raise ValueError("daily records: every date is missing, both in the rows and in the file names")
 
 
 def yield_and_dim(afi: DataFrame) -> DataFrame:
@@ -191,28 +189,26 @@ def resolve_weight_year(afi: DataFrame | None, weight_year: int | None) -> int:
         years = [r[0] for r in afi.select("year").dropna().distinct().limit(2).collect()]
         if len(years) == 1:
             return int(years[0])
-    raise ValueError("Weight data has Month but no Date/Year. Pass weight_year because the "
-                     "daily data span several years.")
+    raise ValueError("weights: months without years, and the daily records don't fall in one year; give weight_year")
 
 
 def standardize_weights(raw: DataFrame, afi: DataFrame | None = None, weight_year: int | None = None,
                         group_mapping: Mapping[str, int] | None = None) -> DataFrame:
     """Weight records -> ``animal_id, weight, weight_date, year, month_num,
     weight_group`` with rows missing animal, weight, year or month dropped."""
-    df = spread_small_input(_snake(raw))
+    df = _snake(raw)
     cols = df.columns
     found = {role: find_first_existing(cols, cands) for role, cands in WEIGHT_CANDIDATES.items()}
-    if found["animal"] is None:
-        raise ValueError("Could not find a cow/animal ID column in the weight data.")
-    if found["weight"] is None:
-        raise ValueError("Could not find a Weight/body-weight column in the weight data.")
+    absent = [role for role in ("animal", "weight") if found[role] is None]
+    if absent:
+        raise ValueError(f"weights: no column plays the role {', '.join(absent)}; headers are {cols}")
 
     if found["date"] is not None:
         d = clean_date(found["date"], _dtype(df, found["date"]))
         weight_date, year, month_num = d, F.year(d), F.month(d)
     else:
         if found["month"] is None:
-            raise ValueError("Weight data need either a Date column or a Month column.")
+            raise ValueError(f"weights: neither a date nor a month among {cols}")
         weight_date = F.lit(None).cast("date")
         month_num = month_number(found["month"], _dtype(df, found["month"]))
         if found["year"] is not None:
@@ -239,7 +235,7 @@ def agg_month_weight(weights: DataFrame) -> DataFrame:
     """A1: one row per animal-month: mean weight, latest weight date, most frequent
     group."""
     return (weights.groupBy(*ANIMAL_MONTH)
-            .agg(exact_mean("weight").alias("weight"),
+            .agg(F.avg("weight").alias("weight"),
                  F.max("weight_date").alias("weight_date"),
                  mode_lowest("weight_group").alias("weight_group"))
             .withColumn("month", month_name_of("year", "month_num")))
@@ -257,7 +253,7 @@ def agg_animal_month_group(afi: DataFrame) -> DataFrame:
     require_columns(afi, ["animal_id", "year", "month_num", "group", "dim"], "afi")
     return (drop_missing(afi, ANIMAL_MONTH).groupBy(*ANIMAL_MONTH)
             .agg(mode_lowest("group").alias("group"),
-                 exact_mean("dim").alias("avg_dim"),
+                 F.avg("dim").alias("avg_dim"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day"),
                  F.countDistinct("day").alias("n_afi_days"))
@@ -311,13 +307,14 @@ def dim_weights_merged(dim_weights_daily: DataFrame) -> DataFrame:
 def agg_group_day(afi: DataFrame) -> DataFrame:
     """A3: per day and group: mean DIM, mean/sd of daily yield, distinct animals."""
     require_columns(afi, ["animal_id", "day", "month", "group", "dim", "daily_yield"], "afi")
-    keys = ["day", "year", "month_num", "month", "group"]
-    return (drop_missing(afi, ["day", "group", "daily_yield"] + keys)
-            .groupBy(*keys)
-            .agg(exact_mean("dim").alias("avg_dim"),
-                 exact_mean("daily_yield").alias("avg_daily_yield"),
-                 sd_samp("daily_yield").alias("yield_std"),
-                 F.countDistinct("animal_id").alias("n_animals")))
+    # Year and month follow from the day, so only the day and the group are shuffled.
+    out = (drop_missing(afi, ["day", "group", "daily_yield"]).groupBy("day", "group")
+           .agg(F.avg("dim").alias("avg_dim"),
+                F.avg("daily_yield").alias("avg_daily_yield"),
+                sd_samp("daily_yield").alias("yield_std"),
+                F.countDistinct("animal_id").alias("n_animals")))
+    return out.withColumns(calendar_parts("day")).select(
+        "day", "year", "month_num", "month", "group", "avg_dim", "avg_daily_yield", "yield_std", "n_animals")
 
 
 def yield_group_day(afi: DataFrame, confidence_level: float = 0.80) -> DataFrame:
@@ -337,14 +334,15 @@ def yield_group_day(afi: DataFrame, confidence_level: float = 0.80) -> DataFrame
 def agg_animal_month(afi: DataFrame) -> DataFrame:
     """A4: per animal, month and group: mean daily yield, distinct days, mean DIM,
     first/last day."""
-    keys = ["animal_id", "year", "month_num", "month", "group"]
-    return (drop_missing(afi, ["animal_id", "group", "day", "daily_yield"] + keys)
-            .groupBy(*keys)
-            .agg(exact_mean("daily_yield").alias("avg_monthly_yield"),
-                 F.countDistinct("day").alias("n_days"),
-                 exact_mean("dim").alias("avg_dim"),
-                 F.min("day").alias("first_day"),
-                 F.max("day").alias("last_day")))
+    keys = [*ANIMAL_MONTH, "group"]
+    out = (drop_missing(afi, ["day", "daily_yield"] + keys).groupBy(*keys)
+           .agg(F.avg("daily_yield").alias("avg_monthly_yield"),
+                F.countDistinct("day").alias("n_days"),
+                F.avg("dim").alias("avg_dim"),
+                F.min("day").alias("first_day"),
+                F.max("day").alias("last_day")))
+    return out.withColumn("month", month_name_of("year", "month_num")).select(
+        *ANIMAL_MONTH, "month", "group", "avg_monthly_yield", "n_days", "avg_dim", "first_day", "last_day")
 
 
 def animal_month_yield(afi: DataFrame) -> DataFrame:
@@ -356,22 +354,25 @@ def animal_month_yield(afi: DataFrame) -> DataFrame:
     return a.select([F.col(c).alias(n) for c, n in names.items()])
 
 
-def agg_group_month(animal_month: DataFrame) -> DataFrame:
+def agg_group_month(animal_month: DataFrame, assume_unique: bool = False) -> DataFrame:
     """A5: second stage over animal means: mean/sd of the animal means and distinct
-    animals per year, month and group (input uses display names)."""
+    animals per year, month and group (input uses display names). ``assume_unique``: each
+    animal has one row a month and group, as from :func:`animal_month_yield`, so animals are
+    counted as rows, without the second shuffle of a distinct count."""
     require_columns(animal_month, ["Farm Animal ID", "Year", "Month Num", "Month", "Group",
                                    "Avg Monthly Yield"], "animal_month_yield")
-    keys = ["Year", "Month Num", "Month", "Group"]
-    return (drop_missing(animal_month, ["Avg Monthly Yield", "Group"] + keys)
-            .groupBy(*keys)
-            .agg(exact_mean("Avg Monthly Yield").alias("avg_monthly_yield"),
-                 sd_samp("Avg Monthly Yield").alias("yield_std"),
-                 F.countDistinct("Farm Animal ID").alias("n_animals")))
+    keys = ["Year", "Month Num", "Group"]
+    out = (drop_missing(animal_month, ["Avg Monthly Yield"] + keys).groupBy(*keys)
+           .agg(F.avg("Avg Monthly Yield").alias("avg_monthly_yield"),
+                sd_samp("Avg Monthly Yield").alias("yield_std"),
+                (F.count if assume_unique else F.countDistinct)("Farm Animal ID").alias("n_animals")))
+    return out.withColumn("Month", month_name_of("Year", F.col("Month Num"))).select(
+        "Year", "Month Num", "Month", "Group", "avg_monthly_yield", "yield_std", "n_animals")
 
 
-def yield_group_month(animal_month: DataFrame, confidence_level: float = 0.80) -> DataFrame:
+def yield_group_month(animal_month: DataFrame, confidence_level: float = 0.80, assume_unique: bool = False) -> DataFrame:
     """T7b (table 3.4): monthly group yield with Student-t confidence interval."""
-    g = agg_group_month(animal_month).withColumn("se", standard_error("yield_std", "n_animals"))
+    g = agg_group_month(animal_month, assume_unique).withColumn("se", standard_error("yield_std", "n_animals"))
     g = add_t_interval(g, "avg_monthly_yield", "se", "n_animals", confidence_level)
     return g.select(
         "Year", "Month Num", "Month", "Group",
@@ -393,12 +394,13 @@ def agg_weight_group(cow_month_weight: DataFrame, assume_unique: bool = False) -
     """Per year, month and group: distinct animals, mean/sd weight."""
     require_columns(cow_month_weight, ["animal_id", "year", "month_num", "month", "group", "weight"],
                     "cow_month_weight")
-    keys = ["year", "month_num", "month", "group"]
-    base = dedupe_animal_month(drop_missing(cow_month_weight, ["group", "weight"]), assume_unique)
-    return (drop_missing(base, keys).groupBy(*keys)
-            .agg(F.countDistinct("animal_id").alias("n_animals"),
-                 exact_mean("weight").alias("avg_weight"),
-                 sd_samp("weight").alias("weight_std")))
+    keys = ["year", "month_num", "group"]
+    base = dedupe_animal_month(drop_missing(cow_month_weight, [*keys, "weight"]), assume_unique)
+    # One row an animal, month and group by now: animals are counted as rows.
+    out = base.groupBy(*keys).agg(F.count("animal_id").alias("n_animals"), F.avg("weight").alias("avg_weight"),
+                                  sd_samp("weight").alias("weight_std"))
+    return out.withColumn("month", month_name_of("year", "month_num")).select(
+        "year", "month_num", "month", "group", "n_animals", "avg_weight", "weight_std")
 
 
 def weight_group(cow_month_weight: DataFrame, assume_unique: bool = False) -> DataFrame:
@@ -418,14 +420,14 @@ def agg_per_animal(afi: DataFrame) -> DataFrame:
     yield, first/last day."""
     daily = (drop_missing(afi, ["animal_id", "day", "daily_yield"])
              .groupBy("animal_id", "day")
-             .agg(exact_mean("daily_yield").alias("daily_yield"),
-                  exact_mean("dim").alias("dim"),
+             .agg(F.avg("daily_yield").alias("daily_yield"),
+                  F.avg("dim").alias("dim"),
                   mode_lowest("group").alias("group")))
     return (daily.groupBy("animal_id")
             .agg(mode_lowest("group").alias("group"),
-                 exact_mean("dim").alias("avg_dim"),
+                 F.avg("dim").alias("avg_dim"),
                  F.count("day").alias("n_days"),
-                 exact_mean("daily_yield").alias("avg_daily_yield"),
+                 F.avg("daily_yield").alias("avg_daily_yield"),
                  sd_samp("daily_yield").alias("yield_std"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day")))

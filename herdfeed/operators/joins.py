@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and null-safe equi-joins."""
+"""Join helper: null-safe equi-joins."""
 
 from __future__ import annotations
 
@@ -7,19 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables (nutrient composition, ingredient maps) are broadcast only when a
-# bounded count proves they stay below this many rows; otherwise the join is left to
-# AQE, which still converts it to a broadcast join when the shuffled side turns out
-# small at run time.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows (checked with a
-    ``limit(max_rows + 1).count()`` job), else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match NULL keys (``<=>``); output carries the left

@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def b_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily milk records: 100 animals, three group labels, duplicate animal-days and
+    """Daily milk records: an animal per supplier, three group labels, duplicate animal-days and
     some missing yields."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        (F.col("l_suppkey") % 100).cast("string").alias("animal_id"),
+        F.col("l_suppkey").cast("string").alias("animal_id"),
         F.when(F.col("l_returnflag") == "A", "G1").when(F.col("l_returnflag") == "N", "G2")
         .otherwise("pack").alias("grp"),
         (F.col("l_partkey") % 400).cast("double").alias("dim"),
@@ -36,7 +36,7 @@ def b_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Body weights: about two weighings per animal-month, group as digit text."""
     o = table(spark, sf_dir, "orders")
     return o.select(
-        (F.col("o_custkey") % 100).cast("string").alias("cow_id"),
+        F.col("o_custkey").cast("string").alias("cow_id"),
         (F.col("o_totalprice") / 100.0).alias("weight"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.substring("o_orderpriority", 1, 1).alias("pen"),
@@ -62,12 +62,13 @@ def b_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b_nutrient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nutrient table: many rows per code, undated rows, an all-null code and one code
-    absent."""
+    """Nutrient table: many rows per code, undated rows, an all-null code, and one code of the
+    feed absent (its rows are spelt otherwise)."""
     p = table(spark, sf_dir, "part")
     red = F.col("p_name").like("red%")
-    return p.filter(~F.col("p_name").like("blue%")).select(
-        F.col("p_name").alias("ingredient"),
+    name = F.col("p_name")
+    return p.select(
+        F.when(name.like("blue%"), F.concat(F.lit("x"), name)).otherwise(name).alias("ingredient"),
         F.when(red | (F.col("p_size") > 40), None).otherwise(F.col("p_size").cast("double")).alias("protein_pct"),
         F.when(red, None).otherwise(
             F.col("p_retailprice") - F.lit(10.0) * F.floor(F.col("p_retailprice") / 10.0)).alias("andfom_pct"),

@@ -19,7 +19,7 @@ from ..functions import (
 from ..functions.dates import calendar_parts
 from ..functions.stats import add_t_interval
 from ..operators import feed, herd
-from ..sinks import coerce_dates, round_floats, run_profile, sort_nulls_last
+from ..sinks import coerce_dates, round_floats, run_profile, sort_nulls_last, with_position
 from ..sources.files import scan_daily, union_by_name, with_provenance
 from ..sources.headers import find_column, find_first_existing, snake_case_columns
 from ..sources.mapping import apply_ingredient_map, ingredient_map
@@ -30,15 +30,18 @@ CONFIDENCE = 0.80
 
 
 def round_for_check(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns half away from zero on the binary value (DuckDB's rule);
-    -0.0 becomes 0.0."""
-    scale = float(10 ** digits)
+    """Round double columns half away from zero (DuckDB's rule), first three digits finer,
+    so that the last bits of a sum can't tip a tie; -0.0 becomes 0.0. The oracle rounds the
+    same way; the library's own results are not rounded."""
+    def half_away(c, places):
+        y = c * float(10 ** places)
+        return F.when(F.abs(y - F.rint(y)) == 0.5, y + F.signum(y) * 0.5).otherwise(F.rint(y)) / float(10 ** places)
+
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            y = c.cast("double") * scale
-            r = F.when(F.abs(y - F.rint(y)) == 0.5, y + F.signum(y) * 0.5).otherwise(F.rint(y)) / scale
+            r = half_away(half_away(c.cast("double"), digits + 3), digits)
             c = F.when(r == 0, F.lit(0.0)).otherwise(r)
         cols.append(c.alias(f.name))
     return df.select(cols)
@@ -58,6 +61,11 @@ def _ff(spark, sf, by_pen=False, **kw) -> DataFrame:
     return feed.prepare_feed_intake(B.b_feed(spark, sf), group_by_pen=by_pen, **kw)
 
 
+def _fc(spark, sf) -> DataFrame:
+    """Cleaned feed rows without formula totals: all that the aggregates and joins read."""
+    return feed.clean_feed_intake(B.b_feed(spark, sf))
+
+
 def _nt(spark, sf, nulls="win") -> DataFrame:
     return feed.prepare_nutrient_table(B.b_nutrient(spark, sf), ordinal_col="ordinal", nulls=nulls)
 
@@ -94,7 +102,7 @@ def q_agg_animal_month(spark, sf):
 
 
 def q_yield_group_month(spark, sf):
-    return herd.yield_group_month(herd.animal_month_yield(_afi(spark, sf)), CONFIDENCE)
+    return herd.yield_group_month(herd.animal_month_yield(_afi(spark, sf)), CONFIDENCE, assume_unique=True)
 
 
 def q_agg_group_month(spark, sf):
@@ -140,7 +148,9 @@ def q_dim_weights_merged(spark, sf):
 
 
 def q_dedupe_animal_month(spark, sf):
-    return herd.dedupe_animal_month(_cmw(spark, sf))
+    """Daily rows: an animal has one for each day of a month."""
+    daily = herd.join_daily_weight(_afi(spark, sf), _weights(spark, sf))
+    return herd.dedupe_animal_month(daily.select("animal_id", "year", "month_num", "month", "group", "weight"))
 
 
 def q_agg_weight_group(spark, sf):
@@ -169,7 +179,7 @@ def q_weight_year(spark, sf):
     of the (session) daily data."""
     sessions = herd.standardize_daily(B.b_sessions(spark, sf), group_mapping=B.SESSION_GROUPS)
     o = B.table(spark, sf, "orders")
-    raw = o.select((F.col("o_custkey") % 100).cast("string").alias("animal"),
+    raw = o.select(F.col("o_custkey").cast("string").alias("animal"),
                    (F.col("o_totalprice") / 100.0).alias("bw"),
                    F.date_format("o_orderdate", "MMMM").alias("month"))
     return herd.monthly_weights(raw, afi=sessions)
@@ -435,20 +445,20 @@ def q_weight_difference_ing(spark, sf):
 
 
 def q_agg_formula_weight(spark, sf):
-    return feed.agg_formula_weight(_ff(spark, sf, by_pen=True), feed.formula_keys(True))
+    return feed.agg_formula_weight(_fc(spark, sf), feed.formula_keys(True))
 
 
 def q_error_by_weight(spark, sf):
-    return feed.error_by_weight(_ff(spark, sf), group_by_pen=False)
+    return feed.error_by_weight(_fc(spark, sf), group_by_pen=False)
 
 
 def q_error_by_weight_pen(spark, sf):
-    return feed.error_by_weight(_ff(spark, sf, by_pen=True), group_by_pen=True)
+    return feed.error_by_weight(_fc(spark, sf), group_by_pen=True)
 
 
 def q_sort_nulls_last(spark, sf):
-    e = feed.error_by_weight(_ff(spark, sf, by_pen=True), group_by_pen=True)
-    return sort_nulls_last(e, ["feeding_date", "recipe_display_name", "pen_name"])
+    e = feed.error_by_weight(_fc(spark, sf), group_by_pen=True)
+    return with_position(sort_nulls_last(e, ["feeding_date", "recipe_display_name", "pen_name"]))
 
 
 def q_nutrient_table(spark, sf):
@@ -460,36 +470,36 @@ def q_latest_per_key(spark, sf):
 
 
 def q_join_nutrient(spark, sf):
-    return feed.join_nutrient(_ff(spark, sf), _nt(spark, sf)).select(
+    return feed.join_nutrient(_fc(spark, sf), _nt(spark, sf)).select(
         "feeding_date", "recipe_display_name", "ingredient_code", "pen_name", "dry_call_weight",
         "protein_pct", "andfom_pct", "starch_pct", "nutrient_date")
 
 
 def q_nutrient_delivery(spark, sf):
-    return feed.nutrient_delivery(_ff(spark, sf), _nt(spark, sf))
+    return feed.nutrient_delivery(_fc(spark, sf), _nt(spark, sf))
 
 
 def q_missing_nutrients(spark, sf):
-    return feed.missing_nutrients(feed.nutrient_delivery(_ff(spark, sf), _nt(spark, sf)))
+    return feed.missing_nutrients(feed.nutrient_delivery(_fc(spark, sf), _nt(spark, sf)))
 
 
 def q_agg_nutrient_sum(spark, sf):
-    nd = feed.nutrient_delivery(_ff(spark, sf, by_pen=True), _nt(spark, sf))
+    nd = feed.nutrient_delivery(_fc(spark, sf), _nt(spark, sf))
     return feed.agg_nutrient_sum(nd, feed.formula_keys(True))
 
 
 def q_nutrient_error(spark, sf):
-    nd = feed.nutrient_delivery(_ff(spark, sf), _nt(spark, sf))
+    nd = feed.nutrient_delivery(_fc(spark, sf), _nt(spark, sf))
     return feed.nutrient_error_by_formula(nd, group_by_pen=False)
 
 
 def q_nutrient_error_pen(spark, sf):
-    nd = feed.nutrient_delivery(_ff(spark, sf, by_pen=True), _nt(spark, sf))
+    nd = feed.nutrient_delivery(_fc(spark, sf), _nt(spark, sf))
     return feed.nutrient_error_by_formula(nd, group_by_pen=True)
 
 
 def q_join_null_safe(spark, sf):
-    ff = _ff(spark, sf, by_pen=True)
+    ff = _fc(spark, sf)
     nd = feed.nutrient_delivery(ff, _nt(spark, sf))
     return feed.nutrient_error_by_formula(nd, feed.error_by_weight(ff, group_by_pen=True), group_by_pen=True)
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.groups import map_literal
 from ..functions.ingredients import MAP_CODE_MAX_LEN, compact_key, name_key, normalise_map_key, rule_code
 from ..functions.text import clean_text
-from ..operators.joins import bounded_broadcast
 from .headers import find_column
 
 MAP_RAW_CANDIDATES = ("raw", "raw ingredient", "ingredient", "ingredient name", "ingredient_name")
@@ -44,8 +43,8 @@ def apply_ingredient_map(df: DataFrame, source_col: str, out_col: str = "ingredi
 
     The upper-cased and compact keys are projected once as columns (the optimizer does
     not collapse projections that would duplicate them), so the rule chain only reads
-    attributes and stays inside whole-stage codegen. A mapping table is broadcast only
-    when its size is checked to be small; otherwise two shuffle joins.
+    attributes and stays inside whole-stage codegen. Spark broadcasts a mapping table whose
+    measured size is under the session's threshold; otherwise two shuffle joins.
 
     ``drop_missing`` drops rows whose code would be NULL. It filters on the equivalent
     cheap test (a user-map hit or a non-empty compact key) *before* the rule chain is
@@ -59,7 +58,7 @@ def apply_ingredient_map(df: DataFrame, source_col: str, out_col: str = "ingredi
         out = keyed.filter(has_key) if drop_missing else keyed
         out = out.withColumn(out_col, rules)
     elif isinstance(mapping, DataFrame):
-        m = bounded_broadcast(mapping.select("map_key", "map_code"))
+        m = mapping.select("map_key", "map_code")
         m1 = m.select(F.col("map_key").alias("__k1"), F.col("map_code").alias("__c1"))
         m2 = m.select(F.col("map_key").alias("__k2"), F.col("map_code").alias("__c2"))
         out = (keyed.join(m1, keyed["__upper"] == m1["__k1"], "left")

@@ -7,13 +7,20 @@ for the cleaning rules. Float columns are rounded to 6 decimals, as the Spark si
 
 from __future__ import annotations
 
-import re
-
-from herdfeed.functions.groups import DEFAULT_GROUP_MAPPING, MONTH_NAME_TO_NUM
-from herdfeed.functions.ingredients import DEFAULT_CODE_ALIASES, DEFAULT_INGREDIENT_CODE_RULES
-
 from .tvalues import t_sql, t_table_cte
 
+# Fixed values, written out here so that the oracle shares none with the library.
+GROUP_LABELS = {"pack": 15, "Pack": 15, "PACK": 15, "g1": 1, "G1": 1, "g2": 2, "G2": 2, "g3": 3, "G3": 3, "g4": 4, "G4": 4}
+MONTHS = {"january": 1, "jan": 1, "february": 2, "feb": 2, "march": 3, "mar": 3, "april": 4, "apr": 4, "may": 5,
+          "june": 6, "jun": 6, "july": 7, "jul": 7, "august": 8, "aug": 8, "september": 9, "sep": 9, "sept": 9,
+          "october": 10, "oct": 10, "november": 11, "nov": 11, "december": 12, "dec": 12}
+CODE_ALIASES = {"CSL": "CSL", "HLG": "HLG", "TCL": "TCL", "TRI": "TCL", "SBM": "SBM", "SOY": "SOY", "MOL": "MOL",
+                "SMX": "SMX", "SUP": "SMX", "PRO": "PRO", "LAC": "LAC", "DCW": "DCW"}
+CODE_PHRASES = (("CORN SILAGE", "CSL"), ("HAYLAGE", "HLG"), ("TRITICALE", "TCL"), ("SOYBEAN MEAL", "SBM"),
+                ("SOY MEAL", "SBM"), ("SOY HULL", "SOY"), ("SOYHULL", "SOY"), ("MOLASSES", "MOL"),
+                ("SUPER MIX", "SMX"), ("SUPERMIX", "SMX"), ("PROTEIN MIX", "PRO"), ("DRY COW SUPPLEMENT", "LAC"),
+                ("DRYCOW SUPPLEMENT", "LAC"), ("DRY COW MIX", "DCW"), ("DRYCOW MIX", "DCW"))
+
 NUM = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
 CONF = 0.80
 
@@ -26,7 +33,8 @@ def rounded(sql: str, floats: list[str]) -> str:
     if not floats:
         return sql
     rep = ", ".join(
-        f'CASE WHEN round("{c}", 6) = 0 THEN CAST(0.0 AS DOUBLE) ELSE round("{c}", 6) END AS "{c}"' for c in floats)
+        f'CASE WHEN round(round("{c}", 9), 6) = 0 THEN CAST(0.0 AS DOUBLE) ELSE round(round("{c}", 9), 6) END AS "{c}"'
+        for c in floats)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS rq"
 
 
@@ -49,14 +57,14 @@ def clean_id(x: str) -> str:
 
 
 def clean_group(x: str, extra: dict | None = None) -> str:
-    mapping = dict(DEFAULT_GROUP_MAPPING)
+    mapping = dict(GROUP_LABELS)
     mapping.update(extra or {})
     whens = " ".join(f"WHEN {q(k)} THEN {v}" for k, v in mapping.items())
     return f"coalesce(CASE {x} {whens} END, {whole(x)})"
 
 
 def month_num(x: str) -> str:
-    whens = " ".join(f"WHEN {q(k)} THEN {v}" for k, v in MONTH_NAME_TO_NUM.items())
+    whens = " ".join(f"WHEN {q(k)} THEN {v}" for k, v in MONTHS.items())
     return f"coalesce({whole(x)}, CASE lower(trim({x})) {whens} END)"
 
 
@@ -91,7 +99,7 @@ def date_from_name(x: str) -> str:
 
 
 def _alias(x: str) -> str:
-    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in DEFAULT_CODE_ALIASES.items())
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in CODE_ALIASES.items())
     return f"(CASE {x} {whens} END)"
 
 
@@ -99,7 +107,7 @@ def code_sql(up: str = "up", cp: str = "cp") -> str:
     """Ingredient code from the upper-cased collapsed text ``up`` and compact ``cp``."""
     rules = " ".join(
         f"WHEN contains({up}, {q(p)}) OR contains({cp}, {q(''.join(ch for ch in p if ch.isalnum()))}) THEN {q(c)}"
-        for p, c in DEFAULT_INGREDIENT_CODE_RULES)
+        for p, c in CODE_PHRASES)
     return (f"(CASE WHEN {up} IS NULL THEN NULL ELSE coalesce({_alias(cp)}, {_alias(f'left({cp}, 3)')}, "
             f"CASE {rules} END, nullif(left({cp}, 3), '')) END)")
 
@@ -112,46 +120,19 @@ def compact(up: str) -> str:
     return f"regexp_replace({up}, '[^A-Z0-9]', '', 'g')"
 
 
-def _units(x: str) -> str:
-    return f"CAST(round_even(({x}) * 1000000.0, 0) AS BIGINT)"
-
-
-def fsum(x: str) -> str:
-    """Fixed-point (micro-unit) sum, as the engine accumulates."""
-    return f"(CAST(sum({_units(x)}) AS DOUBLE) / 1000000.0)"
-
-
-def fsum_over(x: str, window: str) -> str:
-    return f"(CAST(sum({_units(x)}) OVER {window} AS DOUBLE) / 1000000.0)"
-
-
-def mean(x: str) -> str:
-    return f"(CAST(sum({_units(x)}) AS DOUBLE) / 1000000.0 / count({x}))"
-
-
-_AVG = re.compile(r"(?<![\w])avg\(([^()]*)\)")
-_SUM = re.compile(r"(?<![\w])sum\(([^()]*)\)(?!\s*OVER)")
-
-
-def fixed_point(sql: str) -> str:
-    """Rewrite plain ``avg(x)`` / ``sum(x)`` into the fixed-point forms."""
-    sql = _AVG.sub(lambda m: mean(m.group(1)), sql)
-    return _SUM.sub(lambda m: fsum(m.group(1)), sql)
-
-
 def safe_pct(n: str, d: str) -> str:
     return f"(CASE WHEN {d} IS NOT NULL AND isfinite({d}) AND {d} <> 0 THEN ({n}) / {d} * 100.0 END)"
 
 
 # ------------------------------------------------------------------ bindings
 
-B_DAILY = """b_daily AS (SELECT CAST(l_suppkey % 100 AS VARCHAR) AS animal_id,
+B_DAILY = """b_daily AS (SELECT CAST(l_suppkey AS VARCHAR) AS animal_id,
   CASE l_returnflag WHEN 'A' THEN 'G1' WHEN 'N' THEN 'G2' ELSE 'pack' END AS grp,
   CAST(l_partkey % 400 AS DOUBLE) AS dim,
   CASE WHEN l_linenumber = 7 AND l_discount = 0.0 THEN NULL ELSE l_quantity END AS daily_yield,
   CAST(l_shipdate AS DATE) AS file_date, l_shipdate AS run_date_time FROM lineitem)"""
 
-B_WEIGHTS = """b_weights AS (SELECT CAST(o_custkey % 100 AS VARCHAR) AS cow_id, o_totalprice / 100.0 AS weight,
+B_WEIGHTS = """b_weights AS (SELECT CAST(o_custkey AS VARCHAR) AS cow_id, o_totalprice / 100.0 AS weight,
   CAST(o_orderdate AS DATE) AS date, substring(o_orderpriority, 1, 1) AS pen FROM orders)"""
 
 B_FEED = """b_feed AS (SELECT CAST(l_shipdate AS DATE) AS feeding_date,
@@ -161,12 +142,12 @@ B_FEED = """b_feed AS (SELECT CAST(l_shipdate AS DATE) AS feeding_date,
   CASE WHEN l_discount = 0.1 THEN NULL ELSE l_quantity * (1 + l_tax - l_discount) END AS dry_actual_weight
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
-B_NUTRIENT = """b_nutrient AS (SELECT p_name AS ingredient,
+B_NUTRIENT = """b_nutrient AS (SELECT CASE WHEN p_name LIKE 'blue%' THEN 'x' || p_name ELSE p_name END AS ingredient,
   CASE WHEN p_name LIKE 'red%' OR p_size > 40 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS protein_pct,
   CASE WHEN p_name LIKE 'red%' THEN NULL ELSE p_retailprice - 10.0 * floor(p_retailprice / 10.0) END AS andfom_pct,
   CASE WHEN p_name LIKE 'red%' THEN NULL ELSE CAST(p_size % 7 AS DOUBLE) END AS starch_pct,
   CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(p_partkey % 90 AS INTEGER) END AS nutrient_date,
-  p_partkey AS ordinal FROM part WHERE p_name NOT LIKE 'blue%')"""
+  p_partkey AS ordinal FROM part)"""
 
 B_SESSIONS = """b_sessions AS (SELECT CAST(user_id AS VARCHAR) AS cow, event_type AS grp,
   CAST(event_id % 300 AS DOUBLE) AS days_in_milk,
@@ -262,8 +243,8 @@ def feed_ctes(by_pen: bool, start: str | None = None, end: str | None = None) ->
   {clean_text('pen_name')} AS pen_name, dry_call_weight, dry_actual_weight FROM b_feed)""",
             f"""ff0 AS (SELECT feeding_date, recipe_display_name, ingredient_name_raw, {code_sql('up', 'cp')} AS ingredient_code,
   pen_name, dry_call_weight, dry_actual_weight FROM (SELECT *, {compact('up')} AS cp FROM fc) c)""",
-            f"""ff1 AS (SELECT *, coalesce({fsum_over('dry_actual_weight', 'w')}, 0.0) AS dry_actual_weight_sum,
-  coalesce({fsum_over('dry_call_weight', 'w')}, 0.0) AS dry_call_weight_sum FROM ff0
+            f"""ff1 AS (SELECT *, coalesce(sum(dry_actual_weight) OVER w, 0.0) AS dry_actual_weight_sum,
+  coalesce(sum(dry_call_weight) OVER w, 0.0) AS dry_call_weight_sum FROM ff0
   WHERE feeding_date IS NOT NULL AND recipe_display_name IS NOT NULL AND ingredient_code IS NOT NULL
   AND NOT (dry_call_weight IS NULL AND dry_actual_weight IS NULL){rng}
   WINDOW w AS (PARTITION BY {keys}))""",
@@ -402,7 +383,7 @@ def _herd() -> dict[str, str]:
         ["sd_yield"])
     s["monthly_weights"] = rounded(with_ctes(WEIGHTS, "SELECT * FROM mw"), ["weight"])
     s["agg_month_weight"] = s["monthly_weights"]
-    s["weight_year"] = rounded(with_ctes([f"""wy AS (SELECT * FROM (SELECT {clean_id("CAST(o_custkey % 100 AS VARCHAR)")}
+    s["weight_year"] = rounded(with_ctes([f"""wy AS (SELECT * FROM (SELECT {clean_id("CAST(o_custkey AS VARCHAR)")}
   AS animal_id, o_totalprice / 100.0 AS weight, {month_num('monthname(o_orderdate)')} AS month_num,
   (SELECT CAST(min(year(ts)) AS INTEGER) FROM events) AS year FROM orders) s
   WHERE animal_id IS NOT NULL AND weight IS NOT NULL AND month_num IS NOT NULL)"""],
@@ -411,7 +392,8 @@ def _herd() -> dict[str, str]:
   GROUP BY animal_id, year, month_num"""), ["weight"])
     cmw_floats = ["avg_dim", "weight"]
     s["join_month_weight"] = rounded(with_ctes(CMW, "SELECT * FROM cmw"), cmw_floats)
-    s["dedupe_animal_month"] = s["join_month_weight"]
+    s["dedupe_animal_month"] = rounded(with_ctes(DWD, """SELECT DISTINCT animal_id, year, month_num, month, "group", weight
+  FROM dwd"""), ["weight"])
     s["cow_month_weight"] = rounded(with_ctes(CMW, """SELECT animal_id AS "Farm Animal ID", year AS "Year",
   month_num AS "Month Num", "group" AS "Group", avg_dim AS "Avg DIM", first_day AS "First AFI Day",
   last_day AS "Last AFI Day", n_afi_days AS "N AFI Days", month AS "Month", weight AS "Weight",
@@ -539,9 +521,8 @@ def _feed() -> dict[str, str]:
     ebw_floats = ["dry_actual_weight_sum", "dry_call_weight_sum", "error_by_weight_pct"]
     s["error_by_weight"] = rounded(with_ctes(feed_ctes(False), ebw_sql(False)), ebw_floats)
     s["error_by_weight_pen"] = rounded(with_ctes(feed_ctes(True), ebw_sql(True)), ebw_floats)
-    s["sort_nulls_last"] = rounded(with_ctes(feed_ctes(True), ebw_sql(True)
-                                             + " ORDER BY feeding_date, recipe_display_name, pen_name NULLS LAST"),
-                                   ebw_floats)
+    s["sort_nulls_last"] = rounded(with_ctes(feed_ctes(True) + [f"e AS ({ebw_sql(True)})"], """SELECT *,
+  row_number() OVER (ORDER BY feeding_date, recipe_display_name, pen_name NULLS LAST) - 1 AS position FROM e"""), ebw_floats)
     s["agg_formula_weight"] = rounded(with_ctes(feed_ctes(True), """SELECT feeding_date, recipe_display_name,
   pen_name, coalesce(sum(dry_actual_weight), 0.0) AS dry_actual_weight_sum,
   coalesce(sum(dry_call_weight), 0.0) AS dry_call_weight_sum FROM ff
@@ -569,4 +550,4 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (_herd(), _scalars(), _sources(), _feed()):
         out.update(part)
-    return {k: fixed_point(v) for k, v in out.items()}
+    return out
