@@ -90,6 +90,24 @@ def _snake(df: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- T1
 
+def _observation_day(df: DataFrame, date_col: str | None, date_fallback: str) -> Column:
+    """Day of a daily record: from its date column or, without one, from the file's name."""
+    if date_fallback not in ("dataset", "row"):
+        raise ValueError("date_fallback must be 'dataset' or 'row'")
+    named = F.to_date(F.col("source_file_date")) if "source_file_date" in df.columns else F.lit(None).cast("date")
+    if date_col is None:
+        return named
+    own = clean_date(date_col, _dtype(df, date_col))
+    return F.coalesce(own, named) if date_fallback == "row" else own
+
+
+def observation_days(raw: DataFrame, date_fallback: str = "dataset") -> DataFrame:
+    """``day`` of every raw daily record, none dropped (for :func:`check_has_dates`)."""
+    df = _snake(raw)
+    found = find_first_existing(df.columns, DAILY_CANDIDATES["date"])
+    return df.select(_observation_day(df, found, date_fallback).alias("day"))
+
+
 def standardize_daily(raw: DataFrame, start_date: str | None = None,
                       group_mapping: Mapping[str, int] | None = None,
                       date_fallback: str = "dataset") -> DataFrame:
@@ -115,15 +133,7 @@ def standardize_daily(raw: DataFrame, start_date: str | None = None,
     else:
         raise ValueError(f"daily records: neither a daily yield nor two session yields among {cols}")
 
-    file_day = F.to_date(F.col("source_file_date")) if "source_file_date" in cols else F.lit(None).cast("date")
-    if found["date"] is not None:
-        day = clean_date(found["date"], _dtype(df, found["date"]))
-        if date_fallback == "row":
-            day = F.coalesce(day, file_day)
-        elif date_fallback != "dataset":
-            raise ValueError("date_fallback must be 'dataset' or 'row'")
-    else:
-        day = file_day
+    day = _observation_day(df, found["date"], date_fallback)
 
     run_time = (clean_timestamp(found["run_time"], _dtype(df, found["run_time"]))
                 if found["run_time"] else F.lit(None).cast("timestamp_ntz"))

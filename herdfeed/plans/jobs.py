@@ -7,26 +7,24 @@ writes each output table. All outputs stay lazy DataFrames until their sink.
 
 from __future__ import annotations
 
-import json
 import logging
-import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import feed, herd
 from ..session import materialize
 from ..sinks import (
-    TABLE_NAMES, ensure_jdbc_schema, load_csv_directory, run_profile, write_catalog, write_jdbc, write_profile_json,
-    write_tables,
+    TABLE_NAMES, ensure_jdbc_schema, load_csv_directory, profile_values, run_profile, write_catalog, write_jdbc,
+    write_json, write_tables,
 )
-from ..sources.files import read_delimited, read_feed_files, read_table_file, scan_daily
+from ..sources.files import is_folder, read_feed_files, read_table_file, scan_daily
 from ..sources.mapping import ingredient_map
 
 LOG = logging.getLogger(__name__)
 
-# Output sort orders (applied only at the sink).
+# Sort orders of the outputs (applied only at the sink, if asked for).
 HERD_SORT = {
     "table_3_1_yield_and_dim": ["Date", "Grp", "Farm Animal ID"],
     "table_3_2_dim_weights_merged": ["Farm Animal ID", "File Date"],
@@ -36,6 +34,30 @@ HERD_SORT = {
     "table_3_5_weight_group": ["Year", "Month Num", "Group"],
     "per_cow_daily_yield_summary": ["Group", "Farm Animal ID"],
 }
+FEED_SORT = {
+    "filtered_feed_intake": ["feeding_date", "recipe_display_name", "ingredient_code"],
+    "error_by_weight": ["feeding_date", "recipe_display_name"],
+    "nutrient_error_by_formula": ["feeding_date", "recipe_display_name"],
+}
+# Names of row counts in the run summary.
+ROW_COUNTS = {
+    "table_3_1_yield_and_dim": "yield_and_dim_rows",
+    "table_3_3_yield_group_day": "yield_group_day_rows",
+    "animal_month_yield": "animal_month_yield_rows",
+    "table_3_4_yield_group_month": "yield_group_month_rows",
+    "per_cow_daily_yield_summary": "per_cow_rows",
+    "table_3_2_dim_weights_merged": "dim_weight_daily_rows",
+    "cow_month_weight": "cow_month_weight_rows",
+    "table_3_5_weight_group": "weight_group_rows",
+}
+#: Table of the codes without any nutrient value (J5), written like the others.
+MISSING_CODES = "missing_nutrient_codes"
+
+
+def _counted(tables: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """The tables with a row counter on each, filled when the table is written."""
+    counters = {name: Observation(name) for name in tables}
+    return {name: df.observe(counters[name], F.count(F.lit(1)).alias("rows")) for name, df in tables.items()}, counters
 
 
 def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = None,
@@ -43,34 +65,33 @@ def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = N
                  confidence_level: float = 0.80, weight_year: int | None = None,
                  recursive: bool = False, formats: Sequence[str] = ("csv",),
                  group_mapping: Mapping[str, int] | None = None, keep: str = "persist",
-                 sort_outputs: bool = True) -> dict[str, DataFrame]:
+                 sort_outputs: bool = False) -> dict[str, DataFrame]:
     """Daily Parquet files (+ optional weights CSV) -> the herd tables.
 
     Returns the output DataFrames; with ``output_dir`` also writes them (one directory
-    per table) plus ``run_summary.json``. ``sort_outputs`` orders the written files like
-    the reference (a range-partitioned global sort per table); turn it off for very
-    large runs where file order does not matter."""
+    per table) plus ``run_summary.json`` (see :func:`herdfeed.sinks.write_json`), any file
+    system Spark reaches. ``sort_outputs`` orders the written files by the tables' usual sort
+    keys (a range-partitioned global sort per table)."""
     if not 0.0 < confidence_level < 1.0:
-        raise ValueError("confidence_level must be between 0 and 1, e.g. 0.80")
+        raise ValueError(f"confidence_level {confidence_level} is not between 0 and 1")
     raw = scan_daily(spark, daily_dir, recursive=recursive)
     afi = materialize(herd.standardize_daily(raw, start_date=start_date, group_mapping=group_mapping), keep)
 
-    profile = run_profile(raw, afi)
-    prof = profile.first().asDict()
-    if not prof["clean_afi_rows"]:
-        raise ValueError("No daily rows remain after cleaning/filtering. Check start_date and source files.")
+    profile = run_profile(raw, afi).first().asDict()
+    if not profile["clean_afi_rows"]:
+        herd.check_has_dates(herd.observation_days(raw))
+        raise ValueError(f"no daily row of {daily_dir} has an animal, a group and a day from {start_date or 'any date'} on")
 
     animal_month = herd.animal_month_yield(afi)
     tables: dict[str, DataFrame] = {
         "table_3_1_yield_and_dim": herd.yield_and_dim(afi),
         "table_3_3_yield_group_day": herd.yield_group_day(afi, confidence_level),
         "animal_month_yield": animal_month,
-        "table_3_4_yield_group_month": herd.yield_group_month(animal_month, confidence_level),
+        "table_3_4_yield_group_month": herd.yield_group_month(animal_month, confidence_level, assume_unique=True),
         "per_cow_daily_yield_summary": herd.per_cow_yield(afi, confidence_level),
     }
     if weights_path:
-        raw_w = read_table_file(spark, weights_path) if not weights_path.endswith("/") else read_delimited(
-            spark, weights_path)
+        raw_w = read_feed_files(spark, weights_path) if is_folder(spark, weights_path) else read_table_file(spark, weights_path)
         weights = materialize(herd.monthly_weights(raw_w.drop("source_file"), afi, weight_year, group_mapping), keep)
         daily_w, cow_month_weight = herd.merge_dim_weights(afi, weights)
         tables["table_3_2_dim_weights_merged"] = herd.dim_weights_merged(daily_w)
@@ -78,56 +99,33 @@ def run_herd_job(spark: SparkSession, daily_dir: str, output_dir: str | None = N
         tables["table_3_5_weight_group"] = herd.weight_group(cow_month_weight, assume_unique=True)
 
     if output_dir:
-        written = write_tables(tables, output_dir, formats, sort_keys=HERD_SORT if sort_outputs else None)
-        count = {name: df.count() for name, df in tables.items()}
-        summary = {
+        counted, counters = _counted(tables)
+        written = write_tables(counted, output_dir, formats, sort_keys=HERD_SORT if sort_outputs else None)
+        summary = profile_values(profile) | {
             "afi_dir": daily_dir, "output_dir": output_dir, "start_date": start_date,
-            "confidence_level": confidence_level,
-            "yield_and_dim_rows": count["table_3_1_yield_and_dim"],
-            "yield_group_day_rows": count["table_3_3_yield_group_day"],
-            "animal_month_yield_rows": count["animal_month_yield"],
-            "yield_group_month_rows": count["table_3_4_yield_group_month"],
-            "per_cow_rows": count["per_cow_daily_yield_summary"],
-            "weights_csv_used": bool(weights_path),
-        }
+            "confidence_level": confidence_level, "weights_csv_used": bool(weights_path),
+        } | {ROW_COUNTS[name]: counters[name].get["rows"] for name in tables}
         if weights_path:
-            summary.update({
-                "weights_csv": weights_path,
-                "weight_rows_after_cleaning": weights.count(),
-                "dim_weight_daily_rows": count["table_3_2_dim_weights_merged"],
-                "cow_month_weight_rows": count["cow_month_weight"],
-                "weight_group_rows": count["table_3_5_weight_group"],
-            })
-        summary["output_files"] = written
-        out = write_profile_json(profile, os.path.join(output_dir, "run_summary.json"))
-        out.update(summary)
-        with open(os.path.join(output_dir, "run_summary.json"), "w", encoding="utf-8") as fh:
-            json.dump(out, fh, indent=2, default=str)
+            summary |= {"weights_csv": weights_path, "weight_rows_after_cleaning": weights.count()}
+        write_json(spark, summary | {"output_files": written}, f"{output_dir.rstrip('/')}/run_summary.json")
         release(afi, *([weights] if weights_path else []))
     return tables
 
 
-FEED_SORT = {
-    "filtered_feed_intake": ["feeding_date", "recipe_display_name", "ingredient_code"],
-    "error_by_weight": ["feeding_date", "recipe_display_name"],
-    "nutrient_error_by_formula": ["feeding_date", "recipe_display_name"],
-}
-
-
 def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output_dir: str | None = None,
                  ingredient_map_path: str | None = None, start_date: str | None = None,
                  end_date: str | None = None, group_by_pen: bool = False,
                  formats: Sequence[str] = ("csv",), jdbc: Mapping[str, str] | None = None,
                  jdbc_if_exists: str = "replace", jdbc_schema: str | None = None,
                  catalog_database: str | None = None, keep: str = "persist",
-                 sort_outputs: bool = True) -> dict[str, DataFrame]:
-    """Feed-intake files + nutrient table (+ optional mapping) -> the feed tables.
+                 sort_outputs: bool = False) -> dict[str, DataFrame]:
+    """Feed-intake files + nutrient table (+ optional mapping) -> the feed tables, and
+    the codes that have no nutrient value at all as a table of their own.
 
     ``jdbc`` = {"url": ..., "user": ..., "password": ..., "driver": ...} writes every
     table through JDBC (K4); ``catalog_database`` writes them as catalog tables."""
-    mapping = ingredient_map(read_table_file(spark, ingredient_map_path)) if ingredient_map_path else None
-    raw_feed = (read_feed_files(spark, feed_path) if not os.path.splitext(feed_path)[1]
-                else read_table_file(spark, feed_path))
+    mapping = ingredient_map(read_table_file(spark, ingredient_map_path, order_col="__at"), "__at") if ingredient_map_path else None
+    raw_feed = read_feed_files(spark, feed_path) if is_folder(spark, feed_path) else read_table_file(spark, feed_path)
     # cache the cleaned rows (read twice by the totals), then the final table (read by
     # every output); the first cache is dropped once the second is filled
     cleaned = materialize(feed.clean_feed_intake(raw_feed, mapping, start_date, end_date), keep)
@@ -135,15 +133,12 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
     if keep == "persist":
         filtered.count()
         release(cleaned)
-    nutrient = feed.prepare_nutrient_table(read_table_file(spark, nutrient_path).drop("source_file"),
-                                           ingredient_mapping=mapping)
+    nutrient = feed.prepare_nutrient_table(read_table_file(spark, nutrient_path, order_col="__at").drop("source_file"),
+                                           ingredient_mapping=mapping, ordinal_col="__at")
     delivery = feed.nutrient_delivery(filtered, nutrient)
-
     missing = feed.missing_nutrients(delivery)
-    sample = [r[0] for r in missing.orderBy("ingredient_code").limit(50).collect()]
-    if sample:
-        LOG.warning("Ingredient code(s) missing all nutrient values (first %d shown): %s", len(sample),
-                    ", ".join(sample))
+    if n_missing := missing.count():
+        LOG.warning("%d ingredient code(s) have no nutrient value; the table %s names all of them", n_missing, MISSING_CODES)
 
     tables = {
         "filtered_feed_intake": filtered,
@@ -152,6 +147,7 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
         "error_by_weight": feed.error_by_weight(filtered, group_by_pen=group_by_pen),
         "nutrient_delivery_by_ingredient": delivery,
         "nutrient_error_by_formula": feed.nutrient_error_by_formula(delivery, group_by_pen=group_by_pen),
+        MISSING_CODES: missing,
     }
     if output_dir:
         write_tables(tables, output_dir, formats, sort_keys=FEED_SORT if sort_outputs else None)
@@ -187,7 +183,3 @@ def load_outputs(spark: SparkSession, herd_dir: str | None, feed_dir: str | None
             written += load_csv_directory(spark, directory, prefix, write)
     return written
 
-
-def count_rows(tables: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row count per output (one job each)."""
-    return {name: df.select(F.lit(1)).count() for name, df in tables.items()}

@@ -19,8 +19,11 @@ from ..functions import (
 from ..functions.dates import calendar_parts
 from ..functions.stats import add_t_interval
 from ..operators import feed, herd
-from ..sinks import coerce_dates, round_floats, run_profile, sort_nulls_last, with_position
-from ..sources.files import scan_daily, union_by_name, with_provenance
+from ..session import scratch_path
+from ..sinks import (
+    coerce_dates, load_csv_directory, round_floats, run_profile, sort_nulls_last, with_position, write_tables,
+)
+from ..sources.files import read_feed_files, read_table_file, scan_daily, union_by_name, with_provenance
 from ..sources.headers import find_column, find_first_existing, snake_case_columns
 from ..sources.mapping import apply_ingredient_map, ingredient_map
 from . import bindings as B
@@ -406,6 +409,67 @@ def q_union_by_name_drift(spark, sf):
     return union_by_name([a, b])
 
 
+def q_feed_files_drift(spark, sf):
+    """Delimited files of one folder that differ in suffix, separator, column order and
+    columns, with quotes and line breaks inside quoted fields."""
+    path = scratch_path(spark, "feed-files")
+    li = B.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("line"), F.concat(F.lit("by "), F.col("l_returnflag")).alias("mode"),
+        F.concat(F.lit('say "'), F.col("l_returnflag"), F.lit('", then'), F.lit("\n"), F.col("l_linestatus")).alias("note"))
+    forms = (("csv", ",", ["order", "line", "mode"]), ("csv", ",", ["mode", "order", "line", "note"]),
+             ("txt", ";", ["line", "order"]), ("txt", "|", ["order", "line", "note"]), ("tsv", "\t", ["line", "mode", "order"]))
+    for k, (suffix, sep, columns) in enumerate(forms):
+        (li.filter(F.col("line") % len(forms) == k).select(columns).write.option("header", True).option("sep", sep)
+         .option("escape", '"').option("extension", suffix).csv(f"{path}/{k}"))
+    read = read_feed_files(spark, path)
+    return read.select(F.col("order").cast("long").alias("order"), F.col("line").cast("long").alias("line"), "mode", "note")
+
+
+def q_daily_files_drift(spark, sf):
+    """Nested Parquet files whose id column is int, bigint or text."""
+    path = scratch_path(spark, "daily-files")
+    li = B.table(spark, sf, "lineitem")
+    key = F.col("l_orderkey") + F.lit(982000123456000000)
+    forms = (("", key, "bigint"), ("/late", F.col("l_orderkey"), "int"), ("/late/text", key, "string"))
+    for k, (folder, value, kind) in enumerate(forms):
+        (li.filter(F.col("l_linenumber") % len(forms) == k).select(value.cast(kind).alias("Animal ID"), F.col("l_quantity").alias("Yield"))
+         .write.mode("append").parquet(f"{path}{folder}"))
+    return scan_daily(spark, path, recursive=True).select("animal_id", F.col("yield").alias("daily_yield"))
+
+
+def q_csv_tables_loaded(spark, sf):
+    """Tables written as CSV folders, listed, typed and loaded."""
+    path = scratch_path(spark, "csv-tables")
+    o = B.table(spark, sf, "orders")
+    write_tables({"Open Orders": o.filter("o_orderstatus = 'O'").select("o_orderkey", F.to_date("o_orderdate").alias("order_date")),
+                  "2 other": o.filter("o_orderstatus <> 'O'").select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))}, path)
+    loaded: dict[str, DataFrame] = {}
+    load_csv_directory(spark, path, "own", lambda df, name: loaded.__setitem__(name, df))
+    parts = [df.select(F.lit(name).alias("table_name"), F.col("o_orderkey").cast("long").alias("o_orderkey"), "order_date")
+             for name, df in sorted(loaded.items())]
+    return parts[0].unionByName(parts[1])
+
+
+def q_parquet_table_round_trip(spark, sf):
+    """One table written as Parquet, rounded, and read as a table file."""
+    path = scratch_path(spark, "tables")
+    write_tables({"prices": B.table(spark, sf, "part").select("p_partkey", (F.col("p_retailprice") / 8).alias("eighth"))}, path,
+                 ("parquet",), round_digits=2)
+    return read_table_file(spark, f"{path}/prices.parquet").select("p_partkey", "eighth")
+
+
+def q_user_map_codes(spark, sf):
+    """A user's map, whose keys are found by the upper-case text or by the compact text,
+    before the built-in rules."""
+    p = B.table(spark, sf, "part")
+    names = p.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(
+        F.concat(F.upper("p_brand"), F.lit(" -"))).alias("ingredient"))
+    raw = p.filter("p_size > 25").select(
+        F.when(F.col("p_partkey") % 2 == 0, F.lower("p_name")).otherwise(F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")).alias("raw"),
+        F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("code"), F.col("p_partkey").alias("at"))
+    return apply_ingredient_map(names, "ingredient", mapping=ingredient_map(raw, ordinal_col="at"))
+
+
 # ----------------------------------------------------------------- feed
 
 def q_filtered_feed(spark, sf):

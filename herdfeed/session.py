@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
     """Materialise a DataFrame that several outputs share.
 

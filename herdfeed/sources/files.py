@@ -7,11 +7,13 @@ only driver-side loop is over *distinct schemas*, never over rows.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Sequence
+import csv
+import re
+from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,8 @@ CSV_NA_VALUES = (
 
 SUPPORTED_SUFFIXES = ("csv", "txt", "tsv", "parquet", "pq")
 SNIFF_SEPARATORS = (",", "\t", ";", "|")
+# Separator by suffix; None: each file's own.
+SEPARATORS = {"csv": ",", "tsv": "\t", "txt": None}
 
 
 def _ci_glob(suffix: str) -> str:
@@ -37,7 +41,9 @@ def _ci_glob(suffix: str) -> str:
 def with_provenance(df: DataFrame, file_col: str = "source_file", date_col: str | None = None) -> DataFrame:
     """File name of every row (from the scan's hidden metadata) and, optionally,
     the date encoded in that name (C3)."""
-    df = df.withColumn(file_col, F.col("_metadata.file_name"))
+    # The scan gives the name as part of a URI: %20 for a blank, but + for itself.
+    name = F.col("_metadata.file_name")
+    df = df.withColumn(file_col, F.when(F.contains(name, F.lit("%")), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name))
     if date_col:
         df = df.withColumn(date_col, date_from_filename(F.col(file_col)))
     return df
@@ -52,88 +58,157 @@ def null_na_strings(df: DataFrame, na_values: Sequence[str] = CSV_NA_VALUES) ->
     ])
 
 
+def separator_of(header: str) -> str:
+    """The separator that occurs most often in a header line; a comma if none does."""
+    return max(SNIFF_SEPARATORS, key=header.count)
+
+
 def sniff_separator(spark: SparkSession, path: str) -> str:
-    """Pick the separator that occurs most often in the header line (bounded read)."""
+    """Separator of one file, from its header line (bounded read)."""
     first = spark.read.text(path).limit(1).collect()
-    header = first[0][0] if first else ""
-    counts = {sep: header.count(sep) for sep in SNIFF_SEPARATORS}
-    best = max(counts, key=counts.get)
-    return best if counts[best] > 0 else ","
+    return separator_of(first[0][0] if first else "")
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
-                   glob: str | None = None, recursive: bool = False,
-                   na_values: Sequence[str] | None = CSV_NA_VALUES) -> DataFrame:
-    """Header CSV or delimited text, every column read as text (no inference
-    pass); cleaning functions type the columns afterwards."""
-    # quotes inside quoted fields are doubled ("a ""b"" c"), as CSV writers such as pandas do
-    reader = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-              .option("quote", '"').option("escape", '"'))
+def scan_order() -> Column:
+    """Where a row stands in its source: file, split, place in the split. Unlike a row id it
+    doesn't depend on how splits are packed into tasks. Only usable right above a scan."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def delimited_groups(spark: SparkSession, path: str | Sequence[str], glob: str | None = None,
+                     recursive: bool = False) -> list[tuple[str, bool, list[str]]]:
+    """``(header line, has quoted line breaks, files)``: files of one group can be read
+    together. One distributed pass over the lines finds each file's first line and whether
+    some line holds an odd number of quotes; a row a file comes to the driver, where Spark's
+    own file listing is as well. Files without a line are left out."""
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    df = df.toDF(*[c.lstrip("\ufeff") for c in df.columns])  # a byte-order mark is not part of a header
-    df = with_provenance(df)
-    return null_na_strings(df, na_values) if na_values else df
+    lines = reader.text(path if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"), scan_order().alias("order"), "value")
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    files = lines.groupBy("file").agg(F.min_by("value", "order").alias("header"), F.max(odd).alias("broken")).collect()
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for file, header, broken in sorted(files):
+        groups.setdefault((header.lstrip("\ufeff").rstrip("\r"), broken), []).append(unquote(file))
+    return [(header, broken, paths) for (header, broken), paths in groups.items()]
+
+
+def _column_names(header: str, sep: str) -> list[str]:
+    """Names of a header line. An empty name is called by its place; of names used twice the
+    later ones get ``.1``, ``.2``, ..."""
+    names: list[str] = []
+    for at, cell in enumerate(next(csv.reader([header], delimiter=sep), [])):
+        name = plain = cell if cell.strip() else f"Unnamed: {at}"
+        k = 0
+        while name in names:
+            k += 1
+            name = f"{plain}.{k}"
+        names.append(name)
+    return names
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str | None = ",",
+                   glob: str | None = None, recursive: bool = False,
+                   na_values: Sequence[str] | None = CSV_NA_VALUES, order_col: str | None = None) -> DataFrame:
+    """Header CSV or delimited text, every column read as text (no inference pass);
+    cleaning functions type the columns afterwards.
+
+    Each file is read by its own header, and with ``sep=None`` by its own separator: files
+    are grouped by header line, a group is one scan, and groups are unioned by name. Only
+    files in which a quoted field breaks a line are read whole, one task a file; all others
+    are split. ``order_col`` adds :func:`scan_order`."""
+    frames = []
+    for header, broken, files in delimited_groups(spark, path, glob, recursive):
+        own = sep or separator_of(header)
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in _column_names(header, own)])
+        # quotes inside quoted fields are doubled ("a ""b"" c"), as CSV writers do
+        df = (spark.read.schema(schema).option("header", True).option("sep", own).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", broken).csv(files))
+        if order_col:
+            df = df.withColumn(order_col, scan_order())
+        df = with_provenance(df)
+        frames.append(null_na_strings(df, na_values) if na_values else df)
+    if not frames:
+        raise FileNotFoundError(f"no delimited file with a header in {path}")
+    return union_by_name(frames, snake=False) if len(frames) > 1 else frames[0]
+
 
+def _suffix(path: str) -> str:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return name.rsplit(".", 1)[-1].lower() if "." in name else ""
 
-def read_table_file(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """One table file chosen by suffix, with a ``source_file`` column."""
-    suffix = path.rsplit(".", 1)[-1].lower() if "." in path else ""
+
+def _plain(path: str) -> str:
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", path).rstrip("/")
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder, by the file system and not by its name."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").limit(1).collect())
+    return not listed or not _plain(listed[0][0]).endswith(_plain(path))
+
+
+def read_table_file(spark: SparkSession, path: str, sep: str | None = None, order_col: str | None = None) -> DataFrame:
+    """One table file chosen by suffix, with a ``source_file`` column. ``order_col``
+    adds :func:`scan_order`, for rules by which the last row wins."""
+    suffix = _suffix(path)
     if suffix in ("parquet", "pq"):
-        return with_provenance(spark.read.parquet(path))
-    if suffix == "csv":
-        return read_delimited(spark, path, sep or ",")
-    if suffix == "tsv":
-        return read_delimited(spark, path, sep or "\t")
-    if suffix == "txt":
-        return read_delimited(spark, path, sep or sniff_separator(spark, path))
+        df = spark.read.parquet(path)
+        return with_provenance(df.withColumn(order_col, scan_order()) if order_col else df)
+    if suffix in SEPARATORS:
+        return read_delimited(spark, path, sep or SEPARATORS[suffix], order_col=order_col)
     if suffix in ("xlsx", "xls"):
-        raise ValueError(f"Spreadsheet input is not read by this library; convert {path} to CSV or Parquet")
-    raise ValueError(f"Unsupported input file type: {path}")
+        raise ValueError(f"spreadsheets are not read by this library; convert {path} to CSV or Parquet")
+    raise ValueError(f"{path}: not one of the file types {SUPPORTED_SUFFIXES}")
+
+
+def _nothing_there(exc: Exception) -> bool:
+    return any(word in str(exc) for word in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist"))
+
 
+def _types_conflict(exc: Exception) -> bool:
+    return "CANNOT_MERGE" in str(exc) or "Failed merging schema" in str(exc)
+
+
+def _read_parquet_files(spark: SparkSession, path: str, glob: str, recursive: bool) -> list[DataFrame]:
+    """All Parquet files under ``path``: one scan if Spark can merge their schemas, else one
+    a schema. Empty if there are none."""
+    def reader():
+        r = spark.read.option("pathGlobFilter", glob)
+        return r.option("recursiveFileLookup", True) if recursive else r
 
-def _try_read(read) -> DataFrame | None:
     try:
-        return read()
-    except AnalysisException as exc:  # no file of this kind under the path
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "does not exist" in str(exc):
-            return None
-        raise
+        merged = reader().option("mergeSchema", True).parquet(path)
+        merged.schema  # noqa: B018 - forces the schema merge now
+        return [with_provenance(merged)]
+    except Exception as exc:  # noqa: BLE001 - the merge conflict is no AnalysisException
+        if _nothing_there(exc):
+            return []
+        if not _types_conflict(exc):
+            raise
+    groups = _files_by_schema(spark, reader().parquet(path).inputFiles())
+    return [with_provenance(spark.read.option("basePath", path).parquet(*files)) for files in groups]
 
 
 def read_feed_files(spark: SparkSession, path: str, txt_sep: str | None = None) -> DataFrame:
     """S3: every supported file under a directory (recursive, hidden files skipped by
-    Spark's file index), one reader per format, unioned by name with drift handling.
-    The ``.txt`` separator is ``txt_sep``, else sniffed from the first ``.txt`` file."""
+    Spark's file index), unioned by name with drift handling. Each delimited file is read by
+    its own header; a ``.txt`` file by ``txt_sep``, else by its own separator."""
     frames: list[DataFrame] = []
     for suffix in ("parquet", "pq"):
-        def reader(s=suffix):  # a fresh reader each time: .option() mutates the reader
-            return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _ci_glob(s))
+        frames += _read_parquet_files(spark, path, _ci_glob(suffix), recursive=True)
+    for suffix, sep in SEPARATORS.items():
         try:
-            df = _try_read(lambda: reader().option("mergeSchema", True).parquet(path))
-            if df is not None:
-                df.schema  # noqa: B018 - forces the schema merge now
-                frames.append(with_provenance(df))
-        except Exception as exc:  # noqa: BLE001 - type conflict between files: one read per schema
-            if "merg" not in str(exc).lower():
+            frames.append(read_delimited(spark, path, txt_sep if suffix == "txt" else sep, glob=_ci_glob(suffix), recursive=True))
+        except (AnalysisException, FileNotFoundError) as exc:
+            if isinstance(exc, AnalysisException) and not _nothing_there(exc):
                 raise
-            files = reader().parquet(path).inputFiles()
-            frames += [with_provenance(spark.read.parquet(*group)) for group in _files_by_schema(spark, files)]
-    if txt_sep is None:  # sniffed from the first .txt file (one bounded read)
-        txt_files = _try_read(lambda: spark.read.option("recursiveFileLookup", True)
-                              .option("pathGlobFilter", _ci_glob("txt")).text(path))
-        first = sorted(txt_files.inputFiles())[:1] if txt_files is not None else []
-        txt_sep = sniff_separator(spark, first[0]) if first else ","
-    for suffix, sep in (("csv", ","), ("tsv", "\t"), ("txt", txt_sep)):
-        df = _try_read(lambda s=suffix, p=sep: read_delimited(
-            spark, path, p or ",", glob=_ci_glob(s), recursive=True))
-        if df is not None:
-            frames.append(df)
     if not frames:
-        raise FileNotFoundError(f"No supported input files found in {path}")
+        raise FileNotFoundError(f"no file of the types {SUPPORTED_SUFFIXES} in {path}")
     return union_by_name(frames, snake=False)
 
 
@@ -155,8 +230,14 @@ def merge_header_spellings(df: DataFrame, rename) -> DataFrame:
 
 
 def _common_type(types: Sequence[T.DataType]) -> T.DataType:
-    numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-    if all(isinstance(t, numeric) for t in types):
+    """Type that holds all values of conflicting types: integers widen to the widest integer;
+    integers of up to 32 bits and fractions to double; 64-bit integers (ids) and fractions to
+    text, which keeps every digit; dates to timestamps; all else to text."""
+    integers = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    fractions = (T.FloatType, T.DoubleType, T.DecimalType)
+    if all(isinstance(t, integers) for t in types):
+        return max(types, key=lambda t: [isinstance(t, kind) for kind in integers].index(True))
+    if all(isinstance(t, integers[:3] + fractions) for t in types):
         return T.DoubleType()
     if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in types):
         return T.TimestampNTZType() if any(isinstance(t, T.TimestampNTZType) for t in types) else T.TimestampType()
@@ -164,8 +245,8 @@ def _common_type(types: Sequence[T.DataType]) -> T.DataType:
 
 
 def union_by_name(frames: Sequence[DataFrame], snake: bool = True) -> DataFrame:
-    """Snake-case each frame, widen conflicting column types (numbers -> double,
-    otherwise text), then ``unionByName(allowMissingColumns=True)``."""
+    """Snake-case each frame, widen conflicting column types, then
+    ``unionByName(allowMissingColumns=True)``."""
     rename = snake_case if snake else (lambda n: n)
     frames = [merge_header_spellings(df, rename) for df in frames]
     seen: dict[str, list[T.DataType]] = {}
@@ -180,39 +261,34 @@ def union_by_name(frames: Sequence[DataFrame], snake: bool = True) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 
-def _footer_signatures(batches: Iterable) -> Iterable:
-    """Executor side: read each Parquet footer and return its column signature."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        sigs = []
-        for uri in pdf["path"]:
-            fs, p = pafs.FileSystem.from_uri(uri)
-            schema = pq.read_schema(p, filesystem=fs)
-            # exact names and types: a group is read without schema merging, so files
-            # whose headers differ only in spelling must not share a group
-            sigs.append(json.dumps([[f.name, str(f.type)] for f in schema]))
-        yield pd.DataFrame({"path": pdf["path"], "sig": sigs})
-
-
 def _files_by_schema(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Group files by exact Parquet schema. Footers are read by executors (pyarrow, one
-    task per batch of files); if the executors cannot open the file system that way,
-    each footer is read through Spark's own reader instead (metadata only, no data)."""
+    """Group files by exact Parquet schema: executors read the footers, a row a file comes
+    back. Files whose headers differ only in spelling stay apart, as a group is read without
+    merging schemas."""
+    def footers(batches):
+        import json
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            signatures = []
+            for uri in batch.column(0).to_pylist():
+                fs, path = pafs.FileSystem.from_uri(uri)
+                signatures.append(json.dumps([[f.name, str(f.type)] for f in pq.read_schema(path, filesystem=fs)]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(signatures, pa.string())], names=["path", "signature"])
+
+    paths = spark.createDataFrame([(unquote(p),) for p in files], "path string").repartition(max(1, min(len(files) // 64, 1024)))
     try:
-        paths = spark.createDataFrame([(p,) for p in files], "path string")
-        groups = (paths.repartition(max(1, min(len(files) // 64, 1024)))
-                  .mapInPandas(_footer_signatures, "path string, sig string")
-                  .groupBy("sig").agg(F.collect_list("path").alias("paths")).collect())
-        return [list(g["paths"]) for g in groups]
-    except Exception:  # noqa: BLE001 - e.g. no pyarrow access to this file system
-        by_sig: dict[str, list[str]] = {}
-        for path in files:
-            sig = spark.read.parquet(path).schema.json()
-            by_sig.setdefault(sig, []).append(path)
-        return list(by_sig.values())
+        found = paths.mapInArrow(footers, "path string, signature string").collect()
+    except PythonException as exc:
+        raise OSError("Parquet files disagree on column types, and the executors can't open their footers through pyarrow; "
+                      "read folders of one schema each and union them with union_by_name") from exc
+    groups: dict[str, list[str]] = {}
+    for path, signature in sorted(found):
+        groups.setdefault(signature, []).append(path)
+    return list(groups.values())
 
 
 def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
@@ -223,24 +299,8 @@ def scan_daily(spark: SparkSession, directory: str, recursive: bool = False) ->
     the spellings coalesced. When a column's *type* differs between files (schema merge
     refuses), footers are read in parallel by executors, files are grouped by schema,
     and each group is read once and unioned with widened types."""
-    def reader():
-        r = spark.read.option("pathGlobFilter", "*.parquet")
-        return r.option("recursiveFileLookup", True) if recursive else r
-
-    try:
-        merged = reader().option("mergeSchema", True).parquet(directory)
-        merged.schema  # noqa: B018 - forces the schema merge now
-        out = merge_header_spellings(with_provenance(merged), snake_case)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            raise FileNotFoundError(f"No parquet files found in {directory}") from exc
-        out = None
-    except Exception as exc:  # noqa: BLE001 - schema merge conflict surfaces as a Spark error
-        if "merg" not in str(exc).lower():
-            raise
-        out = None
-    if out is None:
-        files = reader().parquet(directory).inputFiles()
-        frames = [with_provenance(spark.read.parquet(*paths)) for paths in _files_by_schema(spark, files)]
-        out = union_by_name(frames)
+    frames = _read_parquet_files(spark, directory, "*.parquet", recursive)
+    if not frames:
+        raise FileNotFoundError(f"no *.parquet file in {directory}")
+    out = merge_header_spellings(frames[0], snake_case) if len(frames) == 1 else union_by_name(frames)
     return out.withColumn("source_file_date", date_from_filename(F.col("source_file")))

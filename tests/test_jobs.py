@@ -1,6 +1,5 @@
 """End-to-end jobs on small files derived from the driver tables (sf0.001)."""
 
-import json
 import os
 
 from pyspark.sql import functions as F
@@ -8,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from herdfeed.plans import bindings as B
 from herdfeed.plans.jobs import load_outputs, run_feed_job, run_herd_job
+from herdfeed.sinks import read_json
 
 
 def test_herd_job_end_to_end(spark, tmp_dir):
@@ -28,7 +28,7 @@ def test_herd_job_end_to_end(spark, tmp_dir):
     tables = run_herd_job(spark, daily, out, weights_path=weights)
     assert {"table_3_1_yield_and_dim", "table_3_3_yield_group_day", "table_3_4_yield_group_month",
             "table_3_5_weight_group", "per_cow_daily_yield_summary", "cow_month_weight"} <= set(tables)
-    summary = json.load(open(os.path.join(out, "run_summary.json")))
+    summary = read_json(spark, os.path.join(out, "run_summary.json"))
     n_rows = sum(1 for _ in tables["table_3_1_yield_and_dim"].collect())
     assert summary["clean_afi_rows"] == n_rows > 0
     assert summary["afi_start_day"] == str(days[0].replace(year=days[0].year + 30))
@@ -58,7 +58,7 @@ def test_feed_job_and_loader(spark, tmp_dir):
               .filter("t > 0").collect())
     assert all(abs(r.s - 100.0) < 1e-6 for r in shares)
     written = load_outputs(spark, None, out, lambda df, name: None)
-    assert "chapter4_nutrient_error_by_formula" in written and len(written) == 6
+    assert "chapter4_nutrient_error_by_formula" in written and len(written) == 7  # six tables and the codes without nutrients
 
 
 def test_herd_job_with_dated_files_and_weights(spark, tmp_dir):
@@ -80,3 +80,23 @@ def test_herd_job_with_dated_files_and_weights(spark, tmp_dir):
     assert wg and all(r["N Animals"] >= 1 for r in wg)
     # one weight per animal-month: the daily join never multiplies daily rows
     assert deep["table_3_2_dim_weights_merged"].count() <= len(pdf)
+
+
+def test_missing_dates_are_named(spark, tmp_dir):
+    import pandas as pd
+    import pytest
+    pd.DataFrame({"cow": ["1"], "grp": ["G1"], "dim": [3.0], "milk": [4.0]}).to_parquet(os.path.join(tmp_dir, "undated.parquet"), index=False)
+    with pytest.raises(ValueError, match="date is missing"):
+        run_herd_job(spark, tmp_dir)
+
+
+def test_feed_folder_with_a_dot_and_all_missing_codes(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "feed.2024")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write("date,recipe,ingredient,dry call weight,dry actual weight\n" + "".join(f"2024-05-01,R1,{chr(65 + i // 26)}{chr(65 + i % 26)}x,1,1\n" for i in range(120)))
+    nutrient = os.path.join(tmp_dir, "n.csv")
+    open(nutrient, "w").write("ingredient,protein\nAAx,5\nAAx,\nABx,7\n")
+    out = f"file://{tmp_dir}/out"
+    run_feed_job(spark, folder, nutrient, out, formats=("parquet",))
+    assert spark.read.parquet(f"{out}/missing_nutrient_codes.parquet").count() == 119

@@ -20,7 +20,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from herdfeed.plans.registry import queries
+    assert set(queries()) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -65,16 +65,22 @@ def test_results_do_not_depend_on_session_time_zone(spark, key):
     assert seen[0] == seen[1] == seen[2]
 
 
-def test_spread_only_for_small_few_file_inputs(spark):
-    from herdfeed.operators.partitioning import spread_small_input
+def scans(plan: str, table: str) -> int:
+    return len(re.findall(rf"Scan parquet[^\n]*\n?[^\n]*{table}\.parquet|FileScan parquet[^\n]*{table}\.parquet", plan))
 
-    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    spread = lambda d: "RepartitionByExpression" in d._jdf.queryExecution().logical().toString()
-    assert spread(spread_small_input(df))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")   # the same file now counts as large
-        assert not spread(spread_small_input(df))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert not spread(spread_small_input(df, min_tasks=1))          # as many files as tasks
+
+@pytest.mark.parametrize("key", ["error_by_weight", "error_by_weight_pen", "agg_formula_weight", "agg_nutrient_sum", "nutrient_delivery",
+                                 "nutrient_error", "nutrient_error_pen", "missing_nutrients", "join_nutrient"])
+def test_feed_tables_scan_the_feed_once(spark, key):
+    assert scans(plan_of(RAW_QUERIES[key](spark, SF_SMALL)), "lineitem") == 1
+
+
+def test_two_table_form_scans_the_feed_twice(spark):
+    assert scans(plan_of(RAW_QUERIES["join_null_safe"](spark, SF_SMALL)), "lineitem") <= 2
+
+
+def test_unique_animals_are_counted_without_a_distinct_level(spark):
+    afi = herd.standardize_daily(B.b_daily(spark, SF_SMALL))
+    months = herd.animal_month_yield(afi)
+    levels = lambda unique: plan_of(herd.yield_group_month(months, assume_unique=unique)).count("HashAggregate(")
+    assert levels(True) < levels(False)

@@ -170,18 +170,11 @@ def test_scan_daily_fallback_keeps_every_spelling(spark, tmp_dir):
     assert sorted(r.cow_id for r in df.collect()) == ["1", "2", "X3"]
 
 
-def test_schema_grouping_fallback_without_pyarrow_fs(spark, tmp_dir, monkeypatch):
-    import herdfeed.sources.files as files_mod
+def test_unreachable_footers_are_a_clear_error(spark):
+    from herdfeed.sources.files import _files_by_schema
 
-    def broken(batches):
-        raise OSError("file system not reachable")
-        yield  # pragma: no cover
-
-    monkeypatch.setattr(files_mod, "_footer_signatures", broken)
-    pd.DataFrame({"cow_id": [1], "grp": ["G1"]}).to_parquet(os.path.join(tmp_dir, "a.parquet"), index=False)
-    pd.DataFrame({"cow_id": ["X"], "grp": ["G2"]}).to_parquet(os.path.join(tmp_dir, "b.parquet"), index=False)
-    df = scan_daily(spark, tmp_dir)
-    assert sorted(r.cow_id for r in df.collect()) == ["1", "X"]
+    with pytest.raises(OSError, match="executors can't open their footers"):
+        _files_by_schema(spark, ["nosuchstore://bucket/a.parquet"])
 
 
 def test_jdbc_schema_created_before_write(spark):
@@ -230,3 +223,66 @@ def test_feed_parquet_type_conflict(spark, tmp_dir):
     from herdfeed.operators import feed
     ff = feed.prepare_feed_intake(read_feed_files(spark, tmp_dir))
     assert sorted(r.dry_call_weight for r in ff.collect()) == [10.0, 1000.0]
+
+
+def test_delimited_files_by_their_own_headers(spark, tmp_dir):
+    files = {
+        "a.csv": '\ufeffdate,recipe,ingredient,dry call weight,dry actual weight,pen\n2024-05-01,R1,"Salt ""fine""",10,9,P1\n',
+        "b.csv": 'pen,dry actual weight,dry call weight,ingredient,recipe,date\nP2,8,7,"two\nlines",R1,2024-05-02\n',
+        "sub/c d.txt": 'date;recipe;ingredient;dry call weight;dry actual weight\n2024-05-03;R2;Corn, cracked;6;5\n',
+        "e.txt": 'recipe|date|ingredient|dry call weight|dry actual weight|extra\nR3|2024-05-04|Hay|4|3|x\n',
+        "f.tsv": 'date\trecipe\tingredient\tdry call weight\tdry actual weight\n2024-05-05\tR4\tOats\t2\t1\n',
+        "empty.csv": "",
+    }
+    for name, text in files.items():
+        os.makedirs(os.path.dirname(os.path.join(tmp_dir, name)), exist_ok=True)
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    got = {r["source_file"]: r for r in read_feed_files(spark, tmp_dir).collect()}
+    assert set(got) == {"a.csv", "b.csv", "c d.txt", "e.txt", "f.tsv"}
+    assert [got[f][c] for f, c in (("a.csv", "pen"), ("b.csv", "pen"), ("b.csv", "dry call weight"), ("a.csv", "dry call weight"))] == ["P1", "P2", "7", "10"]
+    assert got["a.csv"]["ingredient"] == 'Salt "fine"' and got["b.csv"]["ingredient"] == "two\nlines"
+    assert got["c d.txt"]["ingredient"] == "Corn, cracked" and got["e.txt"]["extra"] == "x" and got["f.tsv"]["pen"] is None
+
+
+def test_ids_keep_all_digits_over_types(spark, tmp_dir):
+    long = 982000123456789123
+    for k, (kind, value) in enumerate((("int32", 5), ("int64", long), ("str", str(long + 1)))):
+        folder = os.path.join(tmp_dir, "x")
+        os.makedirs(folder, exist_ok=True)
+        pd.DataFrame({"Cow ID": pd.Series([value], dtype=kind if kind != "str" else object)}).to_parquet(os.path.join(folder, f"{k}.parquet"), index=False)
+    assert sorted(r.cow_id for r in scan_daily(spark, os.path.join(tmp_dir, "x")).collect()) == ["5", str(long), str(long + 1)]
+    a = spark.createDataFrame([(5,)], "id int")
+    b = spark.createDataFrame([(long,)], "id bigint")
+    assert dict(union_by_name([a, b]).dtypes)["id"] == "bigint"
+    assert sorted(r.id for r in union_by_name([b, spark.createDataFrame([(1.5,)], "id double")]).collect()) == ["1.5", str(long)]
+
+
+def test_last_row_of_a_file_wins(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "map.csv")
+    with open(p, "w") as f:
+        f.write("raw,code\n" + "".join(f"hay,c{i}\n" for i in range(50)))
+    m = ingredient_map(read_table_file(spark, p, order_col="at"), "at").collect()
+    assert [(r.map_key, r.map_code) for r in m] == [("HAY", "C49")]
+
+
+def test_folder_is_told_by_the_file_system(spark, tmp_dir):
+    from herdfeed.sources.files import is_folder
+    folder = os.path.join(tmp_dir, "feed.2024")
+    os.makedirs(folder)
+    open(os.path.join(folder, "a.csv"), "w").write("a,b\n1,2\n")
+    assert is_folder(spark, folder) and not is_folder(spark, os.path.join(folder, "a.csv"))
+
+
+def test_json_goes_through_spark(spark, tmp_dir):
+    from herdfeed.sinks import read_json, write_json
+    path = f"file://{tmp_dir}/deep/run_summary.json"
+    write_json(spark, {"rows": 3, "day": dt.date(2024, 1, 2)}, path)
+    assert read_json(spark, path) == {"rows": 3, "day": "2024-01-02"}
+
+
+def test_cut_names_may_not_meet(spark):
+    from herdfeed.sources.headers import distinct_table_names
+    with pytest.raises(ValueError):
+        distinct_table_names(["x" * 70 + "a", "x" * 70 + "b"])
+    assert distinct_table_names(["A b", "c"], "p") == {"A b": "p_a_b", "c": "p_c"}
