@@ -161,8 +161,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
         for batch in batches:
             id_type = batch.column(0).type
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, ids, bounds in encoded_runs(encoder, texts, end_id):
+            names = batch.column(0).to_pylist()
+            for first, ids, bounds in encoded_runs(encoder, batch.column(1), end_id):
                 for i in range(len(bounds) - 1):
                     own = ids[bounds[i]:bounds[i + 1]]
                     packer.add((names[first + i], len(own)), own)

@@ -157,8 +157,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, id_col: s
 
         for batch in batches:
             id_type = batch.column(0).type
-            own, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at, ids, bounds in encoded_runs(encoder, texts, end_id):
+            own = batch.column(0).to_pylist()
+            for at, ids, bounds in encoded_runs(encoder, batch.column(1), end_id):
                 for i in range(len(bounds) - 1):
                     names.append(own[at + i])
                     parts.append(ids[bounds[i]:bounds[i + 1]])
