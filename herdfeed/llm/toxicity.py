@@ -22,7 +22,7 @@ from .linear import SparseRows, grams, letters, minimise, sampled_labels
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
-SAMPLE = 8000
+SAMPLE = 2000
 SMOOTHING = 2.0
 MIN_SIGMA = 3.0
 POSITIVE_WEIGHT = 2.0
@@ -90,9 +90,9 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
         own = shared(handle)
         for batch in batches:
             found = [own.rows(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["label", "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))], names=["label", "found"])
 
-    rows = sample.mapInArrow(reduce, "label int, found array<long>").toPandas()
+    rows = sample.mapInArrow(reduce, "label int, found array<int>").toPandas()
     scaled = []
     for at in rows["found"]:
         x = model.scale[np.asarray(at, np.int64)]
@@ -104,7 +104,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
         slope = -y * importance / (1 + np.exp(np.clip(y * (x.dot(w[:-1]) + w[-1]), -40, 40)))
         return np.concatenate((x.back(slope) + 1e-5 * w[:-1], [slope.sum()]))
 
-    w = minimise(gradient, len(model.column) + 1, 400, 0.1)
+    w = minimise(gradient, len(model.column) + 1, 200, 0.1)
     return Model(model.column, model.scale, w[:-1], float(w[-1]))
 
 
