@@ -36,8 +36,10 @@ OP8 = rf"""
 WITH t AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(text, '{_SPACE}+'), lambda x: x <> '') AS words,
   list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM t),
-win AS (SELECT k, unnest(range(1, len(words) - {WINDOW - 2})) AS p, words FROM w WHERE len(words) >= {WINDOW}),
-dup AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY k, array_to_string(words[p:p + {WINDOW - 1}], ' ')) AS c FROM win) WHERE c > 1),
+win AS (SELECT k, list_transform(range(1, len(words) - {WINDOW - 2}), lambda i: array_to_string(words[i:i + {WINDOW - 1}], ' ')) AS g
+  FROM w WHERE len(words) >= {WINDOW}),
+dup AS (SELECT k, p FROM (SELECT k, p, count(*) OVER (PARTITION BY k, g) AS c FROM (
+  SELECT k, unnest(g) AS g, unnest(range(len(g))) AS p FROM win)) WHERE c > 1),
 rep AS (SELECT k, count(DISTINCT p + o) AS n_repeat_words FROM dup, range({WINDOW}) AS r(o) GROUP BY k),
 st AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
   len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
@@ -72,8 +74,9 @@ WITH iw AS (SELECT DISTINCT item_id::VARCHAR AS item, regexp_extract_all({_LOWER
 iwin AS (SELECT DISTINCT item, least(10, len(w)) AS z, array_to_string(w[p:p + least(10, len(w)) - 1], ' ') AS g
   FROM iw, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS r(p) WHERE len(w) > 0),
 d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all({_LOWER.format('text')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
-dwin AS (SELECT k, z, p, array_to_string(w[p:p + z - 1], ' ') AS g
-  FROM d, (SELECT DISTINCT z FROM iwin), unnest(range(1, len(w) - z + 2)) AS r(p) WHERE len(w) >= z),
+dlist AS (SELECT k, z, list_transform(range(1, len(w) - z + 2), lambda i: array_to_string(w[i:i + z - 1], ' ')) AS g
+  FROM d, (SELECT DISTINCT z FROM iwin) WHERE len(w) >= z),
+dwin AS (SELECT k, z, unnest(g) AS g, unnest(range(len(g))) AS p FROM dlist),
 m AS (SELECT k, dwin.z, p, item FROM dwin JOIN iwin USING (z, g)),
 hit AS (SELECT k, count(DISTINCT p + o) AS n_hit FROM m, unnest(range(z)) AS r(o) GROUP BY k),
 its AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT k, item FROM m) GROUP BY k)
