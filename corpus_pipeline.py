@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herdfeed.llm import langid, toxicity
-from herdfeed.llm.common import id_remainder, read_table, written
+from herdfeed.llm.common import id_remainder, read_table, small_batches, written
 from herdfeed.llm.decontam import decontaminate
 from herdfeed.llm.ngram_join import ngram_jaccard_join
 from herdfeed.llm.packing import pack_documents
@@ -24,30 +24,35 @@ MIN_LANGUAGE_SCORE = 0.3
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier calls toxic."""
+    small_batches(spark)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
     return toxicity.keep_clean(docs, model)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents whose language can't be told."""
+    small_batches(spark)
     return langid.keep_known(docs, langid.train(docs, id_remainder("doc_id", 4) != 2), MIN_LANGUAGE_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one with the smallest id, one row of it. Rows
     without an id can't be named by a component and stay."""
+    small_batches(spark)
     first = ngram_jaccard_join(docs).filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).union(docs.filter("doc_id IS NULL"))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the passages of test items; ``n_chars`` follows the text."""
+    small_batches(spark)
     clean = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens."""
+    small_batches(spark)
     return pack_documents(docs, tokenizer_path())
 
 

@@ -29,6 +29,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows and bytes of an Arrow batch of texts. The JVM and the Python worker hold a batch several
+#: times over, and both keep the memory that they once had.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send texts to Python workers in small batches. Jobs call it; the
+    operators themselves leave the session's settings alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"

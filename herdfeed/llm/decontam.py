@@ -3,7 +3,7 @@ test items; training words stream through it and the longest matching length end
 word decides which spans of a text repeat a test item.
 
 The automaton is built once on the driver from the item table (a stated, bounded query set:
-``MAX_ITEM_WORDS`` words, checked) and broadcast as arrays. Documents never shuffle. A word
+``MAX_ITEM_WORDS`` words, checked) and broadcast. Documents never shuffle. A word
 that no item holds sends the automaton to its root, so only runs of item words that are as
 long as the shortest window need the stream; all other words are passed over in numpy.
 """
@@ -21,8 +21,8 @@ from .common import share, shared
 from .textbytes import ALNUM, hash_words, text_chunks, word_bounds, words_of, _LOWER
 
 WINDOW = 10
-#: Bound of the broadcast automaton (about 100 bytes a word); a larger item set is refused.
-MAX_ITEM_WORDS = 20_000_000
+#: Bound of the broadcast automaton (about 600 bytes a word in a worker); a larger set is refused.
+MAX_ITEM_WORDS = 1_000_000
 
 
 class SuffixAutomaton:

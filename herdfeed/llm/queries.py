@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import langid, oracle, rule_ensemble, toxicity
 from .chat import format_conversations, read_back
-from .common import id_remainder, read_table, shared_path
+from .common import id_remainder, read_table, shared_path, small_batches
 from .decontam import contamination
 from .packing import pack_documents
 from .ngram_join import ngram_jaccard_join
@@ -83,8 +83,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def _job(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: _job(f) for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 ORACLE = {

@@ -18,17 +18,17 @@ import pyarrow as pa
 
 from .textbytes import hash_word_list, hash_words, text_chunks, word_bounds
 
-MAX_WORDS = 2_000_000
+MAX_WORDS = 1_000_000
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _BREAKS = np.ones(256, bool)
 _BREAKS[[0x20, 0x0A]] = False
 
 
 class _Table:
-    """Hash to number, by open addressing in flat arrays; a quarter full at most."""
+    """Hash to number, by open addressing in flat arrays; half full at most."""
 
     def __init__(self, most: int) -> None:
-        size = 1 << (4 * most - 1).bit_length()
+        size = 1 << (2 * most - 1).bit_length()
         self.mask = np.uint64(size - 1)
         self.key = np.zeros(size, np.uint64)
         self.number = np.full(size, -1, np.int32)
