@@ -241,6 +241,14 @@ def standardize_weights(raw: DataFrame, afi: DataFrame | None = None, weight_yea
     return mark_non_null(out, ["animal_id", "weight", "year", "month_num"])
 
 
+def days_in_month(day: Column | str) -> Column:
+    """Number of distinct days, for groups that lie within one month: a bit for each day of the
+    month, so no distinct level is needed. 0 if every day is NULL."""
+    day = F.col(day) if isinstance(day, str) else day
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1), F.day(day) - 1))
+    return F.coalesce(F.bit_count(bits), F.lit(0)).cast("long")
+
+
 def agg_month_weight(weights: DataFrame) -> DataFrame:
     """A1: one row per animal-month: mean weight, latest weight date, most frequent
     group."""
@@ -266,7 +274,7 @@ def agg_animal_month_group(afi: DataFrame) -> DataFrame:
                  F.avg("dim").alias("avg_dim"),
                  F.min("day").alias("first_day"),
                  F.max("day").alias("last_day"),
-                 F.countDistinct("day").alias("n_afi_days"))
+                 days_in_month("day").alias("n_afi_days"))
             .withColumn("month", month_name_of("year", "month_num")))
 
 
@@ -347,7 +355,7 @@ def agg_animal_month(afi: DataFrame) -> DataFrame:
     keys = [*ANIMAL_MONTH, "group"]
     out = (drop_missing(afi, ["day", "daily_yield"] + keys).groupBy(*keys)
            .agg(F.avg("daily_yield").alias("avg_monthly_yield"),
-                F.countDistinct("day").alias("n_days"),
+                days_in_month("day").alias("n_days"),
                 F.avg("dim").alias("avg_dim"),
                 F.min("day").alias("first_day"),
                 F.max("day").alias("last_day")))
