@@ -10,7 +10,7 @@ from herdfeed.llm.decontam import contamination, decontaminate
 from herdfeed.llm.ngram_join import ngram_jaccard_join
 from herdfeed.llm.quality_rules import quality_rules
 from herdfeed.llm.queries import oracle_sql, queries
-from llm_cases import ROWS, cases, empty
+from llm_cases import LONG, ROWS, cases, empty
 from tools.check_oracle import TABLES
 
 
@@ -41,14 +41,18 @@ BENCHMARK = [(1, "quick brown fox jumps over the lazy dog and then runs"), (2, "
              (4, None), (None, "the of and"), (5, ""), (6, "one two"), (3, "one two"), (7, "ünï cödé")]
 
 
+#: DuckDB takes no NUL, and its list slices take the square of a text's length.
+SQL_ROWS = [(k, t and t[:8000], lang) for k, t, lang in ROWS if not t or "\x00" not in t]
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     c = duckdb.connect()
     c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    c.executemany("INSERT INTO documents VALUES (?, ?)", [(k, t) for k, t, _ in ROWS if not t or "\x00" not in t])
+    c.executemany("INSERT INTO documents VALUES (?, ?)", [(k, t) for k, t, _ in SQL_ROWS])
     c.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
     c.executemany("INSERT INTO benchmark VALUES (?, ?)", BENCHMARK)
-    docs = cases(spark, [r for r in ROWS if not r[1] or "\x00" not in r[1]])
+    docs = cases(spark, SQL_ROWS)
     return c, docs, spark.createDataFrame(BENCHMARK, "item_id long, text string").selectExpr("*", "'x' AS item", "1 AS words")
 
 
@@ -59,6 +63,14 @@ def test_quality_rules_odd_rows(spark, odd):
     assert quality_rules(empty(spark)).collect() == []
 
 
+def test_whole_long_texts_are_read(spark, odd):
+    docs = cases(spark, [(1, LONG + " quick brown fox jumps over the lazy dog and then runs", "en"), (2, LONG + " z", "en"), (3, LONG, "en")])
+    assert {r.doc_id: r.n_words for r in quality_rules(docs).collect()} == {1: 60_011, 2: 60_001, 3: 60_000}
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in contamination(docs, odd[2]).collect()}
+    assert got == {1: (60_011, 11), 2: (60_001, 0), 3: (60_000, 0)}
+    assert len({r.component_id for r in ngram_jaccard_join(docs).collect()}) == 1
+
+
 def test_repeated_windows_count_each_word_once(spark):
     text = "a b c d e f a b c d e g " + "x x x x x x x"
     got = quality_rules(spark.createDataFrame([(1, text), (2, "a b c d e"), (3, "a a a a a a")], "doc_id long, text string")).collect()
@@ -122,7 +134,7 @@ def brute(texts, percent=90):
     return {k: (len(sets[k]), root(k)) for k in texts}
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_ngram_join_finds_all_links_of_a_hot_group(spark, seed):
     """Near copies of one text and of each other, common passages, chains and short texts."""
     import random
