@@ -2,10 +2,12 @@
 test items; training words stream through it and the longest matching length ending at each
 word decides which spans of a text repeat a test item.
 
-The automaton is built once on the driver from the item table (a stated, bounded query set:
-``MAX_ITEM_WORDS`` words, checked) and broadcast. Documents never shuffle. A word
-that no item holds sends the automaton to its root, so only runs of item words that are as
-long as the shortest window need the stream; all other words are passed over in numpy.
+Spark hashes and counts the items' words and deals them into blocks of at most ``BLOCK_WORDS``
+words; the driver builds and broadcasts the automaton of one block after the other. A task runs
+each group of its documents against every block, so the item set may be of any size. Documents
+never shuffle. A word that no item of a block holds sends the automaton to its root, so only runs
+of item words that are as long as the shortest window need the stream; all other words are passed
+over in numpy.
 """
 
 from __future__ import annotations
@@ -14,15 +16,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import share, shared
+from .common import share, shared, written
 from .textbytes import ALNUM, hash_words, text_chunks, word_bounds, words_of, _LOWER
 
 WINDOW = 10
-#: Bound of the broadcast automaton (about 600 bytes a word in a worker); a larger set is refused.
-MAX_ITEM_WORDS = 1_000_000
+#: Words of a block of items; its automaton takes about 1.1 kB a word in a worker while it is loaded.
+BLOCK_WORDS = 250_000
+#: Bytes of texts that a task runs against one block after the other, if there are several.
+GROUP_BYTES = 32 << 20
 
 
 class SuffixAutomaton:
@@ -143,20 +148,80 @@ class ItemIndex:
         return start[long], end[long]
 
 
-def collect_items(benchmark: DataFrame, id_col: str, text_col: str) -> list[tuple[str, np.ndarray]]:
-    """Items as ``(id as text, word hashes)``; rows without an id or without words are left
-    out, repeated rows count once."""
-    table = (benchmark.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-             .select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).distinct().orderBy("item", "text").toArrow())
-    names = table["item"].to_pylist()
-    items, total = [], 0
-    for row, words in words_of(table["text"], ALNUM):
-        for i in range(words.n_texts):
-            items.append((names[row + i], words.hashes[words.first[i]:words.first[i + 1]]))
-            total += len(items[-1][1])
-    if total > MAX_ITEM_WORDS:
-        raise ValueError(f"the items hold {total} words; the broadcast automaton is bounded at {MAX_ITEM_WORDS}")
-    return items
+def item_pieces(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """Written table ``(pack, item, n_words, words)`` of the items' word hashes; rows without an
+    id or without words are left out, repeated rows count once. A task fills packs of at most a
+    sixteenth of a block. Longer items are cut into pieces that share ``width - 1`` words, so that
+    every window lies in one piece."""
+    limit = max(1, BLOCK_WORDS // 16)
+    items = (benchmark.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+             .select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).distinct())
+
+    def split(batches):
+        pack, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            for row, words in words_of(batch.column(1), ALNUM):
+                out = []
+                for i in range(words.n_texts):
+                    hashes = words.hashes[words.first[i]:words.first[i + 1]]
+                    for at in range(0, max(len(hashes) - width, 0) + 1 if len(hashes) else 0, limit):
+                        piece = hashes[at:at + limit + width - 1]
+                        if filled and filled + len(piece) > limit:
+                            pack, filled = pack + 1, 0
+                        filled += len(piece)
+                        out.append((pack, names[row + i], len(piece), piece.astype("<u8").tobytes()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.int64(), pa.binary()))],
+                    names=["pack", "item", "n_words", "words"])
+
+    return written(items.mapInArrow(split, "pack long, item string, n_words long, words binary"), "benchmark-items")
+
+
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> list[Broadcast]:
+    """Broadcast :class:`ItemIndex` of each block of a benchmark table; at least one."""
+    pieces = item_pieces(benchmark, id_col, text_col, width)
+    ranges, total = [], 0
+    for pack, n in sorted(pieces.groupBy("pack").agg(F.sum("n_words")).collect()):
+        if not ranges or total + n > BLOCK_WORDS:
+            ranges.append([pack, pack])
+            total = 0
+        ranges[-1][1] = pack
+        total += n
+    handles = []
+    for low, high in ranges or [(0, 0)]:
+        table = pieces.filter(F.col("pack").between(low, high)).select("item", "words").toArrow()
+        items = [(item, np.frombuffer(words, "<u8")) for item, words in zip(table["item"].to_pylist(), table["words"].to_pylist())]
+        handles.append(share(benchmark.sparkSession, ItemIndex(items, width)))
+    return handles
+
+
+class Blocks:
+    """A task's view of the broadcast blocks: the only one stays loaded, several come one at a time."""
+
+    def __init__(self, handles: list[Broadcast]) -> None:
+        self.handles = handles
+        self.only = shared(handles[0]) if len(handles) == 1 else None
+
+    def load(self, handle: Broadcast) -> ItemIndex:
+        if self.only is not None:
+            return self.only
+        index = shared(handle)
+        if getattr(handle, "_path", None):  # the file is read again next time
+            vars(handle).pop("_value", None)
+        return index
+
+    def groups(self, batches, at: int):
+        """Lists of batches that go through the blocks together, by the size of column ``at``."""
+        group, size = [], 0
+        for batch in batches:
+            group.append(batch)
+            size += batch.column(at).nbytes
+            if self.only is not None or size >= GROUP_BYTES:
+                yield group
+                group, size = [], 0
+        if group:
+            yield group
 
 
 def _hits(index: ItemIndex, symbols: np.ndarray) -> tuple[np.ndarray, set[str]]:
@@ -173,27 +238,45 @@ def _hits(index: ItemIndex, symbols: np.ndarray) -> tuple[np.ndarray, set[str]]:
     return np.cumsum(hit[:-1]) > 0, items
 
 
-def _chunks(index: ItemIndex, column):
-    """Per text: word starts, word ends (bytes), hit mask, items; whole chunks at a time."""
-    shortest = index.sizes[0] if index.sizes else 0
+def _split(column):
+    """Per chunk of whole texts: first row, bytes, offsets, word starts and ends (bytes), first
+    word of each text, word hashes."""
     for row, raw, offsets in text_chunks(column):
         data = _LOWER[raw]
         start, end, first = word_bounds(data, offsets, ALNUM)
-        symbols = index.symbols(hash_words(data, start, end))
-        known = np.concatenate(([0], np.cumsum(symbols >= 0)))
-        for i in range(len(offsets) - 1):
-            a, b = first[i], first[i + 1]
-            if shortest and known[b] - known[a] >= shortest:
-                mask, items = _hits(index, symbols[a:b])
-            else:
-                mask, items = None, set()
-            yield row + i, raw[offsets[i]:offsets[i + 1]], start[a:b] - offsets[i], end[a:b] - offsets[i], mask, items
-
-
-def item_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW):
-    """Broadcast :class:`ItemIndex` of a benchmark table."""
-    index = ItemIndex(collect_items(benchmark, id_col, text_col), width)
-    return share(benchmark.sparkSession, index)
+        yield row, raw, offsets, start, end, first, hash_words(data, start, end)
+
+
+def _matches(blocks: Blocks, columns: list) -> tuple[list[list[int]], list[dict[int, list]]]:
+    """Per column: words of each row, and ``[bytes, word starts, word ends, hit mask, items]`` of
+    the rows with a hit, over all blocks."""
+    words: list[list[int]] = [[] for _ in columns]
+    found: list[dict[int, list]] = [{} for _ in columns]
+    split = [_split(column) for column in columns]
+    if blocks.only is None:
+        split = [list(chunks) for chunks in split]
+    for k, handle in enumerate(blocks.handles):
+        index = blocks.load(handle)
+        for counts, rows, chunks in zip(words, found, split):
+            for row, raw, offsets, start, end, first, hashes in chunks:
+                if not k:
+                    counts.extend(np.diff(first).tolist())
+                if not index.sizes:
+                    continue
+                symbols = index.symbols(hashes)
+                known = np.concatenate(([0], np.cumsum(symbols >= 0)))
+                for i in np.flatnonzero(np.diff(known[first]) >= index.sizes[0]).tolist():
+                    a, b = first[i], first[i + 1]
+                    mask, items = _hits(index, symbols[a:b])
+                    if not items:
+                        continue
+                    if row + i in rows:
+                        rows[row + i][3] |= mask
+                        rows[row + i][4] |= items
+                    else:
+                        rows[row + i] = [raw[offsets[i]:offsets[i + 1]], start[a:b] - offsets[i], end[a:b] - offsets[i], mask, items]
+        del index  # before the next one is loaded
+    return words, found
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -204,22 +287,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A word is hit if it lies in an occurrence of a window. NULL and empty texts have no words;
     repeated rows each give a row; an empty item table hits nothing; other columns are not read.
     """
-    handle = item_index(benchmark, width=width)
+    handles = item_blocks(benchmark, width=width)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def judge(batches):
-        index = shared(handle)
-        for batch in batches:
-            words, hits, counts, digests = [], [], [], []
-            for _, _, start, _, mask, items in _chunks(index, batch.column(1)):
-                words.append(len(start))
-                hits.append(0 if mask is None else int(mask.sum()))
-                counts.append(len(items))
-                digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()),
-                 pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+        blocks = Blocks(handles)
+        nothing = hashlib.sha256(b"").hexdigest()
+        for group in blocks.groups(batches, 1):
+            for batch, words, found in zip(group, *_matches(blocks, [batch.column(1) for batch in group])):
+                hits, counts, digests = [0] * len(words), [0] * len(words), [nothing] * len(words)
+                for row, (_, _, _, mask, items) in found.items():
+                    hits[row], counts[row] = int(mask.sum()), len(items)
+                    digests[row] = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()),
+                     pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())],
+                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(judge, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
@@ -234,7 +317,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     of which more than ``max_coverage`` of the words are hit is removed. Rows without a hit keep
     their text byte for byte; NULL texts stay NULL.
     """
-    handle = item_index(benchmark, width=width)
+    handles = item_blocks(benchmark, width=width)
     schema = docs.schema
     at = docs.columns.index(text_col)
 
@@ -247,28 +330,32 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         return b"".join([*kept, raw[since:].tobytes()])
 
     def clean(batches):
-        index = shared(handle)
-        for batch in batches:
-            column = batch.column(at)
-            changed: dict[int, str] = {}
-            dropped = []
-            for row, raw, start, end, mask, _ in _chunks(index, column):
-                if mask is None or not mask.any():
-                    continue
-                if mask.mean() > max_coverage:
-                    dropped.append(row)
-                    continue
-                # Words that a cut brings together can form a window again.
-                while mask is not None and mask.any():
-                    changed[row] = cut(raw, start, end, mask).decode()
-                    _, raw, start, end, mask, _ = next(_chunks(index, pa.array([changed[row]], pa.large_string())))
-            if changed:
-                texts = column.to_pylist()
-                for row, text in changed.items():
-                    texts[row] = text
-                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
-            if dropped:
-                batch = batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), dropped)))
-            yield batch
+        blocks = Blocks(handles)
+        for group in blocks.groups(batches, at):
+            changed: list[dict[int, str]] = [{} for _ in group]
+            dropped: list[list[int]] = [[] for _ in group]
+            todo = []
+            for k, rows in enumerate(_matches(blocks, [batch.column(at) for batch in group])[1]):
+                for row, (raw, start, end, mask, _) in rows.items():
+                    if mask.mean() > max_coverage:
+                        dropped[k].append(row)
+                    else:
+                        todo.append((k, row, cut(raw, start, end, mask)))
+            # Words that a cut brings together can form a window again.
+            while todo:
+                for k, row, text in todo:
+                    changed[k][row] = text.decode()
+                again = _matches(blocks, [pa.array([text.decode() for _, _, text in todo], pa.large_string())])[1][0]
+                todo = [(*todo[i][:2], cut(raw, start, end, mask)) for i, (raw, start, end, mask, _) in again.items()]
+            for batch, texts_of, out in zip(group, changed, dropped):
+                if texts_of:
+                    column = batch.column(at)
+                    texts = column.to_pylist()
+                    for row, text in texts_of.items():
+                        texts[row] = text
+                    batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
+                if out:
+                    batch = batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), out)))
+                yield batch
 
     return docs.mapInArrow(clean, schema)

@@ -10,7 +10,7 @@ from herdfeed.llm.decontam import contamination, decontaminate
 from herdfeed.llm.ngram_join import ngram_jaccard_join
 from herdfeed.llm.quality_rules import quality_rules
 from herdfeed.llm.queries import oracle_sql, queries
-from llm_cases import LONG, ROWS, cases, empty
+from llm_cases import LONG, PLAIN, ROWS, cases, empty
 from tools.check_oracle import TABLES
 
 
@@ -101,6 +101,31 @@ def test_decontaminate_cuts_spans_and_keeps_the_rest(spark, odd):
     assert decontaminate(empty(spark), items).collect() == []
 
 
+@pytest.mark.parametrize("bound", (1, 16))
+def test_items_beyond_one_block_all_count(spark, odd, monkeypatch, bound):
+    """More item words than a block holds, one item longer than a block, one id in several blocks."""
+    from herdfeed.llm import decontam
+
+    c, docs, items = odd
+    for name in ("BLOCK_WORDS", "MAX_ITEM_WORDS"):
+        monkeypatch.setattr(decontam, name, bound, raising=False)
+    same(contamination(docs, items), c.execute(oracle.OP10))
+    monkeypatch.setattr(decontam, "GROUP_BYTES", 100)
+    same(contamination(docs, items), c.execute(oracle.OP10))
+    assert len(decontam.item_blocks(items)) > 1
+    passage = "red green blue cyan pink grey teal gold navy lime plum"
+    more = items.select("item_id", "text").union(spark.createDataFrame([(3, passage), (8, "left right")], "item_id long, text string"))
+    # Cutting the passage brings the words of item 8 together; cutting those, the words of item 3.
+    rows = [(1, f"keep one left {passage} right two these", "en"), (1, passage, "en"), (None, passage + " " + passage, "en"), (2, PLAIN, "en"),
+            (2, f"{passage} far from {PLAIN}", "en"), (3, None, "en")]
+    got = decontaminate(cases(spark, rows), more).collect()
+    hit = {(r.doc_id, r.n_words): (r.n_hit, r.n_items) for r in contamination(cases(spark, rows), more).collect()}
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 1000)
+    assert in_order(got) == in_order(decontaminate(cases(spark, rows), more).collect())
+    assert hit == {(r.doc_id, r.n_words): (r.n_hit, r.n_items) for r in contamination(cases(spark, rows), more).collect()}
+    assert ["keep", "these"] in [r.text.split() for r in got if r.text]
+
+
 def test_ngram_join_odd_rows(spark, odd):
     _, docs, _ = odd
     got = in_order(ngram_jaccard_join(docs).collect())
