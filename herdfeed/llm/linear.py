@@ -65,12 +65,24 @@ def minimise(gradient, size: int, steps: int, rate: float) -> np.ndarray:
     return w
 
 
+def usable_labels(labels: DataFrame, id_col: str, label_col: str, keep: Column) -> DataFrame:
+    """``(doc_id, label)`` of the ids labelled 0 or 1. Rows without an id or label, and ids with
+    labels that disagree, are left out; ``keep`` (over ``doc_id``) says which ids may be learnt from."""
+    return (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IN (0, 1)")
+            .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").filter(keep).select("doc_id", "label"))
+
+
 def sampled_labels(labels: DataFrame, id_col: str, label_col: str, keep: Column, bound: int) -> DataFrame:
-    """``(doc_id, label)``: at most ``bound`` labelled ids of each of the classes 0 and 1, the
-    first in the order of the id's hash. Rows without an id or label, and ids with labels that
-    disagree, are left out; ``keep`` (over ``doc_id``) says which ids may be learnt from."""
-    clean = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IN (0, 1)")
-             .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most").filter(keep))
+    """``(doc_id, label)``: at most ``bound`` :func:`usable_labels` of each of the classes 0 and 1,
+    the first in the order of the id's hash."""
+    clean = usable_labels(labels, id_col, label_col, keep)
     by_hash = F.xxhash64("doc_id")
-    part = [clean.filter(F.col("label") == k).select("doc_id", "label").orderBy(by_hash, "doc_id").limit(bound) for k in (0, 1)]
+    part = [clean.filter(F.col("label") == k).orderBy(by_hash, "doc_id").limit(bound) for k in (0, 1)]
     return part[0].union(part[1])
+
+
+def class_weights(labels: DataFrame, id_col: str, label_col: str, keep: Column, bound: int) -> np.ndarray:
+    """Usable labels that each row of class 0 and 1 of :func:`sampled_labels` stands for: 1 for a
+    class within ``bound``. With them a sample has the class mix of all usable labels."""
+    sizes = dict(usable_labels(labels, id_col, label_col, keep).groupBy("label").count().collect())
+    return np.array([max(1.0, sizes.get(k, 0) / bound) for k in (0, 1)])

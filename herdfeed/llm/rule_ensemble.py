@@ -1,6 +1,7 @@
 """Quality classifier (operator 5): a sparse rule ensemble over text statistics.
 
-Shallow trees are boosted on the statistics of a bounded labelled sample; every path from a root
+Shallow trees are boosted on the statistics of a bounded labelled sample, weighed so that the
+classes count as in all labelled rows; every path from a root
 to a node is a conjunctive rule; a logistic regression with a lasso penalty gives most rules
 weight 0; the others are compiled into one Spark column, so scoring runs without Python.
 """
@@ -13,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linear import sampled_labels
+from .linear import class_weights, sampled_labels
 from .quality_rules import STOP_WORDS
 
 SAMPLE = 6000
@@ -21,7 +22,7 @@ TREES = 24
 DEPTH = 3
 CUTS = 32
 LASSO = 2e-4
-#: A rule must hold for at least this share of the sample.
+#: A rule must hold for at least this share of the weighed sample.
 MIN_SUPPORT = 0.002
 
 # Statistics of a text as SQL over its arrays of words and lines.
@@ -81,8 +82,8 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return counted.selectExpr("doc_id", *more, *[f"{sql} AS {name}" for name, sql in FEATURES.items()])
 
 
-def _boosted_paths(x: np.ndarray, y: np.ndarray) -> list[Rule]:
-    """Rules of all nodes of ``TREES`` boosted trees; ``y`` is 0 or 1."""
+def _boosted_paths(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[Rule]:
+    """Rules of all nodes of ``TREES`` boosted trees; ``y`` is 0 or 1, ``weight`` 1 on average."""
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, CUTS + 1)[:-1])) for j in range(x.shape[1])]
     place = [np.searchsorted(c, x[:, j]) for j, c in enumerate(cuts)]  # x <= cut k  <=>  place <= k
     margin, rules = np.zeros(len(y)), {}
@@ -112,7 +113,7 @@ def _boosted_paths(x: np.ndarray, y: np.ndarray) -> list[Rule]:
 
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-        grow(np.arange(len(y)), Rule(), p - y, np.maximum(p * (1 - p), 1e-6), 0)
+        grow(np.arange(len(y)), Rule(), weight * (p - y), weight * np.maximum(p * (1 - p), 1e-6), 0)
     return sorted(rules, key=sorted)
 
 
@@ -140,11 +141,13 @@ def _lasso(z: np.ndarray, y: np.ndarray, importance: np.ndarray) -> tuple[np.nda
     return w[:-1], float(w[-1])
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
-    """Model of feature rows ``x`` and labels ``y``; of one class alone, or no rows, a constant."""
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Model:
+    """Model of feature rows ``x`` and labels ``y``, each standing for ``weight`` rows (one, if
+    None); of one class alone, or no rows, a constant."""
     if not len(y) or y.min() == y.max():
         return Model([], [], 0.0 if not len(y) else (20.0 if y[0] else -20.0))
-    rules = [r for r in _boosted_paths(x, y) if _holds(r, x).mean() >= MIN_SUPPORT]
+    weight = np.ones(len(y)) if weight is None else weight / weight.mean()
+    rules = [r for r in _boosted_paths(x, y, weight) if (_holds(r, x) * weight).mean() >= MIN_SUPPORT]
     held: dict[bytes, Rule] = {}
     for rule in rules:  # of rules that hold for the same rows, the shortest
         key = np.packbits(_holds(rule, x)).tobytes()
@@ -152,17 +155,19 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
             held[key] = rule
     rules = list(held.values())
     z = np.stack([_holds(r, x) for r in rules], axis=1).astype(np.float64) if rules else np.zeros((len(y), 0))
-    w, bias = _lasso(z, y, np.full(len(y), 1 / len(y)))
+    w, bias = _lasso(z, y, weight / len(y))
     chosen = [k for k in range(len(rules)) if w[k]]
     return Model([rules[k] for k in chosen], [float(w[k]) for k in chosen], bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """Fit on at most ``SAMPLE`` labelled rows a class whose ``doc_id`` passes ``keep``."""
+    """Fit on at most ``SAMPLE`` labelled rows a class whose ``doc_id`` passes ``keep``, weighed to
+    the class mix of all of them."""
     chosen = sampled_labels(labels, "doc_id", label_col, keep, SAMPLE)
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = statistics(labelled, "doc_id", "text", "label").toPandas().sort_values([*NAMES, "label"])
-    return fit(rows[NAMES].to_numpy(np.float64), rows["label"].to_numpy(np.float64))
+    weights = class_weights(labels, "doc_id", label_col, keep, SAMPLE)
+    return fit(rows[NAMES].to_numpy(np.float64), rows["label"].to_numpy(np.float64), weights[rows["label"].to_numpy()])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:

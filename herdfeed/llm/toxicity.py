@@ -5,7 +5,8 @@ Features are the n-grams a text holds at all, hashed to ``2 ** BITS`` columns. T
 a feature's document counts in both classes scales it; ratios within ``MIN_SIGMA`` standard
 errors of zero are noise and count 0. Logistic regression on the scaled rows, cut to unit
 length, gives the weights. The classifier is fitted on at most ``SAMPLE`` labelled rows of
-each class (see :func:`~herdfeed.llm.linear.sampled_labels`); every whole text is scored.
+each class (see :func:`~herdfeed.llm.linear.sampled_labels`), weighed so that the classes count as
+in all labelled rows; every whole text is scored.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PARTIAL_COUNTS, partial_counts, share, shared, sum_counts, written
-from .linear import SparseRows, grams, letters, minimise, sampled_labels
+from .linear import SparseRows, class_weights, grams, letters, minimise, sampled_labels
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
@@ -55,9 +56,10 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
 
 
-def _ratios(counts: np.ndarray, sizes: tuple[int, int]) -> Model:
-    """Log ratios of document counts ``counts[class, column]``."""
-    share_of = np.array(sizes, float) / max(1, sum(sizes))
+def _ratios(counts: np.ndarray, sizes: tuple[int, int], weights: np.ndarray) -> Model:
+    """Log ratios of document counts ``counts[class, column]``; a row of a class stands for
+    ``weights[class]`` rows."""
+    share_of = np.array(sizes) * weights / (np.array(sizes) @ weights)
     smooth = counts + SMOOTHING * share_of[:, None]
     ratio = np.log(smooth[1] / (sizes[1] + SMOOTHING)) - np.log(smooth[0] / (sizes[0] + SMOOTHING))
     column = np.flatnonzero(np.abs(ratio) >= MIN_SIGMA * np.sqrt((1 / smooth).sum(axis=0)))
@@ -69,6 +71,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
     """Fit on the labelled rows whose ``doc_id`` passes ``keep``. Without rows of both classes
     the model scores 0 for every text."""
     chosen = sampled_labels(labels, "doc_id", label_col, keep, SAMPLE)
+    weights = class_weights(labels, "doc_id", label_col, keep, SAMPLE)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sample = written(texts.join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxicity-sample")
     sizes = dict(sample.groupBy("label").count().collect())
@@ -83,7 +86,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
         yield from partial_counts(total.ravel())
 
     counts = sum_counts(sample.mapInArrow(count, PARTIAL_COUNTS), sample.rdd.getNumPartitions(), 2 << BITS).reshape(2, -1)
-    model = _ratios(counts, (sizes[0], sizes[1]))
+    model = _ratios(counts, (sizes[0], sizes[1]), weights)
     handle = share(docs.sparkSession, model)
 
     def reduce(batches):
@@ -98,7 +101,8 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
         x = model.scale[np.asarray(at, np.int64)]
         scaled.append((np.asarray(at, np.int64), x / max(1.0, np.sqrt(x @ x))))
     x, y = SparseRows(scaled, len(model.column)), np.where(rows["label"] == 1, 1.0, -1.0)
-    importance = np.where(y > 0, POSITIVE_WEIGHT, 1.0) / len(y)
+    weight = weights[rows["label"].to_numpy()]
+    importance = np.where(y > 0, POSITIVE_WEIGHT, 1.0) * weight / weight.sum()
 
     def gradient(w):
         slope = -y * importance / (1 + np.exp(np.clip(y * (x.dot(w[:-1]) + w[-1]), -40, 40)))

@@ -137,6 +137,23 @@ def test_toxicity_cases(spark):
     assert max(r.score for r in toxicity.score(cases(spark), nothing).collect()) < 1e-12
 
 
+@pytest.mark.parametrize("module, label, sign", [(toxicity, "toxic", 1), (rule_ensemble, "quality", 0)])
+def test_scores_keep_the_class_mix_beyond_the_sample(spark, monkeypatch, module, label, sign):
+    """A text that occurs in both classes scores by the mix of all labelled rows, not of the sample."""
+    # Rows 0-899 say one thing; of the 300 others two thirds, and a ninth of the first, say the same as each other.
+    clean, marked = "dear friend we met at the old farm", "you moron ### $$$ idiot !!! ### $$$"
+    rows = [(i, f"{marked if i % 3 else clean} {i % 7}" if i >= 900 else f"{marked if i % 9 == 0 else clean} {i % 7}", "en") for i in range(1200)]
+    docs = cases(spark, rows)
+    labels = spark.createDataFrame([(i, int((i >= 900) == sign)) for i in range(1200)], f"doc_id long, {label} int")
+    def scores():
+        model = module.train(docs, labels, F.lit(True))
+        return [r.score for r in module.score(cases(spark, [(1, clean + " 3", "en"), (2, marked + " 3", "en")]), model).collect()]
+
+    whole = scores()
+    monkeypatch.setattr(module, "SAMPLE", 200)
+    assert scores() == pytest.approx(whole, abs=0.1)
+
+
 def test_language_on_held_out_rows(spark):
     rows = {r.doc_id: r for r in queries()["op4_language_id"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
