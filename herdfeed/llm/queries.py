@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import langid, oracle, rule_ensemble, toxicity
+from .bpe import decode_ids, encode_texts
 from .chat import format_conversations, read_back
 from .common import id_remainder, read_table, shared_path, small_batches
 from .decontam import contamination
@@ -83,6 +85,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return decode_ids(encoded, tokenizer_path()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def _job(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         small_batches(spark)
