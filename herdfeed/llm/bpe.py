@@ -129,7 +129,7 @@ class ForcedBoundaryBpe:
         self.shown_size = np.array([len(x) for x in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_size) - self.shown_size
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
-        self.known = PiecePool(max_fragments)
+        self.known = PiecePool(max_fragments, np.uint32)
 
     # -- merges of fragments ---------------------------------------------------------------
 
@@ -190,10 +190,10 @@ class ForcedBoundaryBpe:
         short = size <= SHORT
         if short.any():
             flat, sizes = self.merge_side_by_side(self.first_ids[gather_runs(symbols, start[short], size[short])], size[short])
-            self.known.put(keys[short], flat.astype(np.uint32), sizes)
+            self.known.put(keys[short], (flat, sizes))
         for k in np.flatnonzero(~short):
             ids = self.merge_alone(self.first_ids[symbols[start[k]:start[k] + size[k]]])
-            self.known.put(keys[k:k + 1], ids.astype(np.uint32), np.array([len(ids)]))
+            self.known.put(keys[k:k + 1], (ids, np.array([len(ids)])))
 
     # -- texts -----------------------------------------------------------------------------
 
@@ -281,7 +281,7 @@ class ForcedBoundaryBpe:
                 self.known.empty()
                 distinct, at = np.unique(keys, return_index=True)
                 if len(distinct) > self.known.most:
-                    self.known = PiecePool(2 * len(distinct))
+                    self.known = PiecePool(2 * len(distinct), np.uint32)
             self._learn(distinct, symbols, start[at], size[at])
             numbers = self.known.find(keys)
         ids, sizes = self.known.gather(numbers)

@@ -11,42 +11,47 @@ from .tokens import _Table as HashTable
 
 
 class PiecePool:
-    """Hash of a piece to its array of numbers. At most ``most`` pieces; a caller that has more
-    empties the pool and puts the pieces that it needs again."""
+    """Hash of a piece to its arrays of numbers, one for each of ``dtypes``. At most ``most``
+    pieces; a caller that has more empties the pool and puts the pieces that it needs again."""
 
-    def __init__(self, most: int, dtype=np.uint32) -> None:
-        self.most, self.dtype = most, dtype
+    def __init__(self, most: int, *dtypes) -> None:
+        self.most, self.dtypes = most, dtypes
         self.empty()
 
     def empty(self) -> None:
         self.table = HashTable(self.most)
-        self.pieces = self.used = 0
-        self.start = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
-        self.pool = np.zeros(1 << 14, self.dtype)
+        self.pieces = 0
+        self.used = [0] * len(self.dtypes)
+        self.start = [np.zeros(1 << 12, np.int64) for _ in self.dtypes]
+        self.size = [np.zeros(1 << 12, np.int64) for _ in self.dtypes]
+        self.pool = [np.zeros(1 << 14, x) for x in self.dtypes]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of the pieces, -1 where unknown."""
         return self.table.find(keys)
 
-    def put(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
-        """Add distinct, unknown pieces; ``flat`` holds their arrays one after the other."""
-        stop, used = self.pieces + len(keys), self.used + len(flat)
-        if stop > len(self.start):
-            more = max(len(self.start), len(keys))
-            self.start, self.size = (np.concatenate((x, np.zeros(more, np.int64))) for x in (self.start, self.size))
-        if used > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros(max(len(self.pool), len(flat)), self.dtype)))
-        self.pool[self.used:used] = flat
-        self.start[self.pieces:stop] = self.used + np.cumsum(sizes) - sizes
-        self.size[self.pieces:stop] = sizes
+    def put(self, keys: np.ndarray, *columns: tuple[np.ndarray, np.ndarray]) -> None:
+        """Add distinct, unknown pieces; a column is the pieces' arrays one after the other, and
+        the size of each."""
+        stop = self.pieces + len(keys)
+        for k, (flat, sizes) in enumerate(columns):
+            used = self.used[k] + len(flat)
+            if stop > len(self.start[k]):
+                more = np.zeros(max(len(self.start[k]), len(keys)), np.int64)
+                self.start[k], self.size[k] = np.concatenate((self.start[k], more)), np.concatenate((self.size[k], more))
+            if used > len(self.pool[k]):
+                self.pool[k] = np.concatenate((self.pool[k], np.zeros(max(len(self.pool[k]), len(flat)), self.dtypes[k])))
+            self.pool[k][self.used[k]:used] = flat
+            self.start[k][self.pieces:stop] = self.used[k] + np.cumsum(sizes) - sizes
+            self.size[k][self.pieces:stop] = sizes
+            self.used[k] = used
         self.table.add(keys, np.arange(self.pieces, stop, dtype=np.int32))
-        self.pieces, self.used = stop, used
+        self.pieces = stop
 
-    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Arrays of the pieces one after the other, and the size of each."""
-        sizes = self.size[numbers]
-        return gather_runs(self.pool, self.start[numbers], sizes), sizes
+    def gather(self, numbers: np.ndarray, column: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """A column's arrays of the pieces one after the other, and the size of each."""
+        sizes = self.size[column][numbers]
+        return gather_runs(self.pool[column], self.start[column][numbers], sizes), sizes
 
 
 def gather_runs(pool: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, oracle, rule_ensemble, toxicity
+from .align import align_documents
 from .bpe import decode_ids, encode_texts
 from .chat import format_conversations, read_back
 from .common import id_remainder, read_table, shared_path, small_batches
@@ -16,6 +17,7 @@ from .decontam import contamination
 from .packing import pack_documents
 from .ngram_join import ngram_jaccard_join
 from .quality_rules import quality_rules
+from .turn_repair import repair_report
 from .url_filter import Rules, filter_urls
 from .tokenbin import read_token_files, write_token_files
 
@@ -85,6 +87,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The query contract's damage: by a checksum of id and turn, a row is dropped (``live`` is
+    false), emptied, robbed of its stops, repeated, or given to the user."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", blank)
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", blank)).alias("role"), text.alias("text"),
+        (kind != 0).alias("live"), F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damaged(read_table(spark, sf_dir, "conversations")), live=F.col("live"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_texts(read_table(spark, sf_dir, "documents"), tokenizer_path())
     return decode_ids(encoded, tokenizer_path()).select(
