@@ -21,6 +21,7 @@ hold makes a row a block, which Spark may split.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,9 @@ from .piecepool import PiecePool, gather_runs, worker_kept
 from .textbytes import hash_words, text_chunks
 from .tokens import read_tokenizer
 
-MAX_STRETCHES = 200_000
+MAX_STRETCHES = 500_000
+#: Stretches that are encoded as one text, and that are learnt at a time.
+JOINED, LEARNT = 256, 8192
 BLOCK_BYTES = 4 << 20
 _BLANK = 0x20
 _SOLID = np.zeros(256, bool)
@@ -41,6 +44,14 @@ _SOLID[0x21:0x7F] = True
 _LINK = np.dtype([("pair", np.int64), ("weight", np.int64)])
 
 
+def _solid(body: np.ndarray) -> np.ndarray:
+    """Whether a byte ends a character that is surely no white space: printable ASCII, or two
+    bytes from U+00C0 on."""
+    solid = _SOLID[body]
+    solid[1:] |= (body[:-1] >= 0xC3) & (body[:-1] < 0xE0)
+    return solid
+
+
 def coalesce(a_end: np.ndarray, a_size: np.ndarray, b_end: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Group of every A and of every B token, counted from 0. Tokens are given by the place
     where they end and their size, in the order of their text."""
@@ -97,9 +108,7 @@ class Aligner:
         some = offsets[1:] > offsets[:-1]
         body = np.insert(data, offsets[:-1][some], _BLANK)
         bounds = offsets + np.concatenate(([0], np.cumsum(some)))
-        solid = _SOLID[body]
-        # The end of a two-byte character from U+00C0 on; none of these is white space.
-        solid[1:] |= (body[:-1] >= 0xC3) & (body[:-1] < 0xE0)
+        solid = _solid(body)
         cut = np.zeros(len(body) + 1, bool)
         cut[1:-1] = (body[1:] == _BLANK) & solid[:-1]
         cut[bounds[1:][some] - 1] = False  # a blank that ends a text would be a text of its own
@@ -107,17 +116,36 @@ class Aligner:
         start = np.flatnonzero(cut)
         return body, start, np.searchsorted(start, bounds)
 
-    def _learn(self, keys: np.ndarray, body: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def _encode_a(self, texts: list[str], size: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the stretches one after the other, and how many each has. Stretches that end
+        solid are encoded ``JOINED`` at a time as one text, which is cut apart again by bytes."""
+        joins = np.flatnonzero(solid)
+        alone = np.flatnonzero(~solid)
+        groups = [joins[k:k + JOINED] for k in range(0, len(joins), JOINED)] + [alone[k:k + 1] for k in range(len(alone))]
+        encoded = self.a.encode_batch_fast(["".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        flat = np.concatenate([np.array(x.ids, np.int64) for x in encoded] or [np.zeros(0, np.int64)])
+        order = np.concatenate((joins, alone))
+        ends = np.cumsum(size[order])
+        upto = np.concatenate(([0], np.searchsorted(np.cumsum(self.sides[0][2][flat]), ends, "right")))
+        many = np.empty(len(texts), np.int64)
+        many[order] = np.diff(upto)
+        first = np.empty(len(texts), np.int64)
+        first[order] = upto[:-1]
+        return gather_runs(flat, first, many), many
+
+    def _encode_b(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self.b.encode([t[1:] for t in texts], num_threads=1)
+        many = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(many.sum())), many
+
+    def _learn(self, keys: np.ndarray, body: np.ndarray, start: np.ndarray, size: np.ndarray, solid: np.ndarray) -> None:
         n = len(keys)
         raw = body.tobytes()
         texts = [raw[a:a + k].decode() for a, k in zip(start.tolist(), size.tolist())]
-        encoded = ([x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1))
         want = gather_runs(body, start, size)
         ids, count, sizes = [], [], []
         covered = np.ones(n, bool)
-        for lists, (shown, at, width) in zip(encoded, self.sides):
-            flat = np.fromiter((i for x in lists for i in x), np.int64)
-            many = np.fromiter(map(len, lists), np.int64, n)
+        for (flat, many), (shown, at, width) in zip((self._encode_a(texts, size, solid), self._encode_b(texts)), self.sides):
             upto = np.concatenate(([0], np.cumsum(many)))
             length = np.diff(np.concatenate(([0], np.cumsum(width[flat])))[upto])
             covered &= length == size
@@ -188,7 +216,10 @@ class Aligner:
                 distinct, at = np.unique(keys, return_index=True)
                 if len(distinct) > self.known.most:
                     self.known = PiecePool(2 * len(distinct), *self.known.dtypes)
-            self._learn(distinct, body, start[at], size[at])
+            solid = _solid(body)[start[at] + size[at] - 1]
+            for k in range(0, len(distinct), LEARNT):
+                some = slice(k, k + LEARNT)
+                self._learn(distinct[some], body, start[at[some]], size[at[some]], solid[some])
             numbers = self.known.find(keys)
         stats = self.known.gather(numbers)[0].reshape(-1, 5)
         upto = np.vstack((np.zeros((1, 5), np.int64), np.cumsum(stats, axis=0)))[first]

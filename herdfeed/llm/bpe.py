@@ -165,11 +165,10 @@ class ForcedBoundaryBpe:
 
     def merge_alone(self, ids: np.ndarray) -> np.ndarray:
         """Final ids of one fragment of any length, by a heap of its merges."""
-        ids = ids.tolist()
+        ranks, ids = self._ranks_of(ids[:-1], ids[1:]), ids.tolist()
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         rank_of = lambda a, b: int(self._ranks_of(np.int64(a), np.int64(b)))
-        ranks = self._ranks_of(np.array(ids[:-1]), np.array(ids[1:]))
         heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(ranks) if r < _NEVER]
         heapq.heapify(heap)
         while heap:
