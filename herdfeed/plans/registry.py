@@ -410,17 +410,23 @@ def q_union_by_name_drift(spark, sf):
 
 
 def q_feed_files_drift(spark, sf):
-    """Delimited files of one folder that differ in suffix, separator, column order and
-    columns, with quotes and line breaks inside quoted fields."""
+    """Delimited files of one folder that differ in suffix, separator, column order, columns
+    and spelling of headers, with quotes and line breaks inside quoted fields and headers, and with
+    blank lines before the header."""
     path = scratch_path(spark, "feed-files")
     li = B.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order"), F.col("l_linenumber").alias("line"), F.concat(F.lit("by "), F.col("l_returnflag")).alias("mode"),
         F.concat(F.lit('say "'), F.col("l_returnflag"), F.lit('", then'), F.lit("\n"), F.col("l_linestatus")).alias("note"))
     forms = (("csv", ",", ["order", "line", "mode"]), ("csv", ",", ["mode", "order", "line", "note"]),
-             ("txt", ";", ["line", "order"]), ("txt", "|", ["order", "line", "note"]), ("tsv", "\t", ["line", "mode", "order"]))
+             ("txt", ";", ["line", "order"]), ("txt", "|", ["order", "line", "note"]), ("tsv", "\t", ["line", "mode", "order"]),
+             ("csv", ",", ["order AS Order", "mode AS `Mode\n`", "line AS `LINE `"]))
     for k, (suffix, sep, columns) in enumerate(forms):
-        (li.filter(F.col("line") % len(forms) == k).select(columns).write.option("header", True).option("sep", sep)
+        (li.filter(F.col("line") % 7 == k).selectExpr(*columns).write.option("header", True).option("sep", sep)
          .option("escape", '"').option("extension", suffix).csv(f"{path}/{k}"))
+    rows = li.filter(F.col("line") % 7 == 6).select((F.col("order") % 4).alias("part"), F.lit(3).alias("at"), F.concat_ws(",", "line", "order", "mode").alias("value"))
+    heads = spark.range(4).select(F.col("id").alias("part"), F.posexplode(F.array(F.lit(""), F.lit("  "), F.lit("line,order,mode"))).alias("at", "value"))
+    (rows.union(heads).repartition("part").sortWithinPartitions("part", "at").drop("at")
+     .write.partitionBy("part").option("extension", "csv").text(f"{path}/6"))
     read = read_feed_files(spark, path)
     return read.select(F.col("order").cast("long").alias("order"), F.col("line").cast("long").alias("line"), "mode", "note")
 
@@ -437,6 +443,15 @@ def q_daily_files_drift(spark, sf):
     return scan_daily(spark, path, recursive=True).select("animal_id", F.col("yield").alias("daily_yield"))
 
 
+def q_daily_files_top_level(spark, sf):
+    """Files of a folder itself, beside a sub-folder named like a partition."""
+    path = scratch_path(spark, "daily-top")
+    li = B.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("Animal ID"), F.col("l_quantity").alias("Yield"), "l_linenumber")
+    for folder, keep in (("", "l_linenumber < 5"), ("/year=2023", "l_linenumber >= 5")):
+        li.filter(keep).drop("l_linenumber").write.mode("append").parquet(f"{path}{folder}")
+    return scan_daily(spark, path).drop("source_file")
+
+
 def q_csv_tables_loaded(spark, sf):
     """Tables written as CSV folders, listed, typed and loaded."""
     path = scratch_path(spark, "csv-tables")
@@ -464,8 +479,10 @@ def q_user_map_codes(spark, sf):
     p = B.table(spark, sf, "part")
     names = p.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(
         F.concat(F.upper("p_brand"), F.lit(" -"))).alias("ingredient"))
-    raw = p.filter("p_size > 25").select(
-        F.when(F.col("p_partkey") % 2 == 0, F.lower("p_name")).otherwise(F.regexp_replace("p_brand", "[^A-Za-z0-9]", "")).alias("raw"),
+    own = F.when(F.col("p_partkey") % 2 == 0, F.lower("p_name")).otherwise(F.regexp_replace("p_brand", "[^A-Za-z0-9]", ""))
+    # Names of small parts get a key that no ingredient has: the built-in rules stay for them.
+    raw = p.select(
+        F.when(F.col("p_size") > 25, own).otherwise(F.concat(F.lit("no such "), own)).alias("raw"),
         F.concat(F.lit("u"), F.col("p_partkey").cast("string")).alias("code"), F.col("p_partkey").alias("at"))
     return apply_ingredient_map(names, "ingredient", mapping=ingredient_map(raw, ordinal_col="at"))
 

@@ -491,11 +491,13 @@ def _sources() -> dict[str, str]:
   UNION ALL SELECT 'K' || CAST(l_orderkey AS VARCHAR), l_linenumber, CAST(NULL AS DOUBLE), l_tax FROM lineitem
   WHERE l_linenumber > 3""", ["qty", "tax"])
     s["feed_files_drift"] = """SELECT l_orderkey AS "order", CAST(l_linenumber AS BIGINT) AS line,
-  CASE WHEN l_linenumber % 5 IN (0, 1, 4) THEN 'by ' || l_returnflag END AS mode,
-  CASE WHEN l_linenumber % 5 IN (1, 3) THEN 'say "' || l_returnflag || '", then' || chr(10) || l_linestatus END AS note
+  CASE WHEN l_linenumber % 7 IN (0, 1, 4, 5, 6) THEN 'by ' || l_returnflag END AS mode,
+  CASE WHEN l_linenumber % 7 IN (1, 3) THEN 'say "' || l_returnflag || '", then' || chr(10) || l_linestatus END AS note
   FROM lineitem"""
     s["daily_files_drift"] = rounded("""SELECT CAST(CASE WHEN l_linenumber % 3 = 1 THEN l_orderkey
   ELSE l_orderkey + 982000123456000000 END AS VARCHAR) AS animal_id, l_quantity AS daily_yield FROM lineitem""", ["daily_yield"])
+    s["daily_files_top_level"] = rounded("""SELECT l_orderkey AS animal_id, l_quantity AS yield, CAST(NULL AS DATE) AS source_file_date
+  FROM lineitem WHERE l_linenumber < 5""", ["yield"])
     s["csv_tables_loaded"] = """SELECT CASE o_orderstatus WHEN 'O' THEN 'own_open_orders' ELSE 'own_2_other' END AS table_name,
   o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS order_date FROM orders"""
     s["parquet_table_round_trip"] = rounded("""SELECT p_partkey, round_even(p_retailprice / 8 * 100.0, 0) / 100.0 AS eighth
@@ -504,8 +506,8 @@ def _sources() -> dict[str, str]:
   ELSE upper(p_brand) || ' -' END AS ingredient FROM part),
 k AS (SELECT *, {compact('up')} AS cp FROM (SELECT *, {upper_key('ingredient')} AS up FROM n) u),
 m AS (SELECT key, arg_max(code, ord) AS code FROM (SELECT {upper_key('raw')} AS key, left(upper(code), 10) AS code, ord FROM (
-  SELECT CASE WHEN p_partkey % 2 = 0 THEN lower(p_name) ELSE regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g') END AS raw,
-  'u' || p_partkey AS code, p_partkey AS ord FROM part WHERE p_size > 25) r) c WHERE key IS NOT NULL GROUP BY key)
+  SELECT CASE WHEN p_size > 25 THEN '' ELSE 'no such ' END || CASE WHEN p_partkey % 2 = 0 THEN lower(p_name)
+  ELSE regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g') END AS raw, 'u' || p_partkey AS code, p_partkey AS ord FROM part) r) c WHERE key IS NOT NULL GROUP BY key)
 SELECT p_partkey, ingredient, coalesce(a.code, b.code, {code_sql('up', 'cp')}) AS ingredient_code
   FROM k LEFT JOIN m a ON k.up = a.key LEFT JOIN m b ON k.cp = b.key"""
     return s

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from herdfeed.sinks import coerce_dates, list_csv_tables, load_csv_directory, round_floats, write_jdbc, write_table
-from herdfeed.sources.files import read_delimited, read_feed_files, read_table_file, scan_daily, sniff_separator, union_by_name
+from herdfeed.sources.files import read_delimited, read_feed_files, read_table_file, scan_daily, union_by_name
 from herdfeed.sources.mapping import apply_ingredient_map, ingredient_map
 
 
@@ -58,7 +58,6 @@ def test_feed_directory_all_formats(spark, tmp_dir):
     pd.DataFrame(base).to_csv(os.path.join(sub, "c.txt"), index=False, sep=";")
     pd.DataFrame(base).to_parquet(os.path.join(tmp_dir, "d.parquet"), index=False)
     pd.DataFrame(base).to_csv(os.path.join(tmp_dir, ".hidden.csv"), index=False)
-    assert sniff_separator(spark, os.path.join(sub, "c.txt")) == ";"
     raw = read_feed_files(spark, tmp_dir)  # ';' sniffed from the .txt file
     assert raw.count() == 4
     assert sorted(r.source_file for r in raw.collect()) == ["a.csv", "b.TSV", "c.txt", "d.parquet"]
@@ -170,11 +169,31 @@ def test_scan_daily_fallback_keeps_every_spelling(spark, tmp_dir):
     assert sorted(r.cow_id for r in df.collect()) == ["1", "2", "X3"]
 
 
-def test_unreachable_footers_are_a_clear_error(spark):
-    from herdfeed.sources.files import _files_by_schema
+def test_groups_of_types_are_found_by_spark_alone(spark, tmp_dir):
+    from herdfeed.sources.files import files_by_types
 
-    with pytest.raises(OSError, match="executors can't open their footers"):
-        _files_by_schema(spark, ["nosuchstore://bucket/a.parquet"])
+    kinds = ("int32", "int64", "str")
+    for k in range(9):  # neighbours never agree
+        kind = kinds[k % 3]
+        pd.DataFrame({"Cow ID": pd.Series([k]).astype(kind), f"only {k}": [1.5]}).to_parquet(os.path.join(tmp_dir, f"{k} a+b.parquet"), index=False)
+    groups = files_by_types(spark, sorted(f"file://{tmp_dir}/{f}" for f in os.listdir(tmp_dir) if f.endswith(".parquet")))
+    assert sorted(len(files) for _, files in groups) == [3, 3, 3]
+    df = scan_daily(spark, tmp_dir)
+    assert sorted(r.cow_id for r in df.collect()) == [str(k) for k in range(9)] and "only_7" in df.columns
+
+
+def test_top_level_files_only(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "x{1}[2]")
+    os.makedirs(os.path.join(folder, "year=2023"))
+    pd.DataFrame({"Cow ID": [1]}).to_parquet(os.path.join(folder, "a_20240105.parquet"), index=False)
+    pd.DataFrame({"Cow ID": [9]}).to_parquet(os.path.join(folder, ".hidden.parquet"), index=False)
+    pd.DataFrame({"Cow ID": [2]}).to_parquet(os.path.join(folder, "year=2023", "b_20240106.parquet"), index=False)
+    top = scan_daily(spark, folder)
+    assert [r.cow_id for r in top.collect()] == [1] and "year" not in top.columns
+    assert sorted(r.cow_id for r in scan_daily(spark, folder, recursive=True).collect()) == [1, 2]
+    inside = scan_daily(spark, os.path.join(folder, "year=2023"))
+    assert [r.cow_id for r in inside.collect()] == [2] and "year" not in inside.columns
+    assert [r.cow_id for r in scan_daily(spark, os.path.join(folder, "a_20240105.parquet")).collect()] == [1]
 
 
 def test_jdbc_schema_created_before_write(spark):
@@ -286,3 +305,78 @@ def test_cut_names_may_not_meet(spark):
     with pytest.raises(ValueError):
         distinct_table_names(["x" * 70 + "a", "x" * 70 + "b"])
     assert distinct_table_names(["A b", "c"], "p") == {"A b": "p_a_b", "c": "p_c"}
+
+
+def read_all(spark, tmp_dir, texts, **kw):
+    for name, text in texts.items():
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    return read_delimited(spark, tmp_dir, **kw)
+
+
+HARD = {
+    "blank first": "\n  \nAnimal,Weight\n1,2\n\n3,4\n",
+    "blank first, CRLF": "\r\nAnimal,Weight\r\n1,2\r\n",
+    "quoted header": '\n"Animal\nnumber","Weight, kg"\n1,2\n',
+    "quoted header, mark": '\ufeff"Animal\r\nnumber",Weight\r\n"a\r\nb",2\r\n',
+    "breaks": 'a,b,c\n"x\ny",1,"p ""q"" r"\n"\n\n","""","\n"""\nz,"",\n',
+    "stray quotes": 'a,b\n5" pipe,"two\nlines"\n6" pipe,7"\n"8 ""in""",9\n',
+    "quotes, no breaks": 'a,b\n"x,y","z"\n5",6"\n',
+    "looks like fields": 'a,b\n"1\n2,""3\n4"",5\n6,""\n7",8\n9,"0"\n',
+    "blank splits": "\n" * 30 + "a,b\n1,2\n",
+    "blank splits, quotes": "\n" * 30 + 'a,"b\n\n\n\n\n\n\n\n\n\n\n\n\nc"\n1,2\n',
+    "case": "Name,name,NAME,Name\n1,2,3,4\n",
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+@pytest.mark.parametrize("split", [None, 7, 20])
+def test_delimited_like_the_reference_s_reader(spark, tmp_dir, name, split):
+    import io
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = read_all(spark, tmp_dir, {"x.csv": HARD[name]})
+        got = [tuple(r) for r in df.drop("source_file").collect()]
+        want = pd.read_csv(io.StringIO(HARD[name].lstrip("\ufeff"), newline=""), dtype=str, lineterminator=None)
+        columns = list(want.columns) if name != "case" else ["Name", "name.1", "NAME.2", "Name.3"]
+        assert df.columns == [*columns, "source_file"]
+        want = sorted([tuple(None if isinstance(v, float) else v for v in r) for r in want.itertuples(index=False)], key=str)
+        assert sorted(got, key=str) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def test_large_file_with_quoted_breaks_is_split(spark, tmp_dir):
+    rows = [(str(k), "line\n" * (k % 4) + f'"{k}",', "x" * (k % 50)) for k in range(4000)]
+    pd.DataFrame(rows, columns=["k", "note\nof", "x"]).to_csv(os.path.join(tmp_dir, "x.csv"), index=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        df = read_delimited(spark, tmp_dir, order_col="at", na_values=None)
+        from pyspark.sql.functions import input_file_block_start
+        assert spark.read.text(os.path.join(tmp_dir, "x.csv")).select(input_file_block_start()).distinct().count() > 5
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert df.select(F.spark_partition_id()).distinct().count() > 1
+        got = [(r.k, r["note\nof"], r.x or "") for r in df.orderBy("at").collect()]
+        assert got == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_header_spellings_of_feed_files_are_one_column(spark, tmp_dir):
+    read_all(spark, tmp_dir, {"a.csv": "Feeding Date,Recipe\n2024-05-01,R1\n", "b.csv": "feeding_date,RECIPE\n2024-05-02,R2\n", "c.tsv": "feeding-date\trecipe\n2024-05-03\tR3\n"})
+    df = read_feed_files(spark, tmp_dir)
+    assert sorted(df.columns) == ["Feeding Date", "Recipe", "source_file"]
+    assert sorted((r["Feeding Date"], r["Recipe"]) for r in df.collect()) == [("2024-05-01", "R1"), ("2024-05-02", "R2"), ("2024-05-03", "R3")]
+    read_all(spark, tmp_dir, {"d.csv": "Feeding Date,feeding_date,Recipe\nold,2024-05-04,R4\n"})
+    assert {"Feeding Date", "feeding_date"} <= set(read_feed_files(spark, tmp_dir).columns)
