@@ -54,6 +54,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it if a column is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_remainder(id_col: str | Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``: a split that ignores row order.
     NULL ids give NULL."""

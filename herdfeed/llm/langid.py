@@ -4,7 +4,7 @@ separate the related languages.
 
 Features are relative frequencies of character n-grams over the whole text, hashed to
 ``2 ** BITS`` columns, so a text's margin is a mean of n-gram weights. The machines are fitted on
-about ``PER_LANGUAGE`` rows of each language, picked by a hash of the id.
+about ``PER_LANGUAGE`` rows of each language, picked by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ FAMILIES = {
 BITS = 15
 SIZES = (1, 2, 3)
 PER_LANGUAGE = 600
-MAX_LANGUAGES = 1000
+#: At most so many languages are learnt, those with the most rows, and from so many rows at all.
+MAX_LANGUAGES, MOST_ROWS = 100, 12_000
 #: Margins are of the order of 1 at this feature scale; the score is a logistic of margins.
 FEATURE_SCALE = 30.0
 UNDETERMINED = "und"
@@ -95,16 +96,19 @@ def _machine(x: SparseRows, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def train(docs: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on rows with text and language whose ``doc_id`` passes ``keep``."""
+    """Fit on rows with text and language whose ``doc_id`` passes ``keep``: the ``MAX_LANGUAGES``
+    languages with the most rows, about ``PER_LANGUAGE`` rows of each (fewer if they were over
+    ``MOST_ROWS`` together). Rows are picked by a hash of id and text, so repeated ids don't swell the
+    sample; rows without an id aren't learnt from; other columns are not read. An empty table gives
+    a model that knows no language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(keep)
-    held = dict(rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
-    if len(held) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    held = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
     if not held:
         return Model()
-    share_of = F.create_map(*[F.lit(v) for lang, n in sorted(held.items()) for v in (lang, min(1.0, PER_LANGUAGE / n))])
-    place = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
+    each = min(PER_LANGUAGE, MOST_ROWS // len(held))
+    share_of = F.create_map(*[F.lit(v) for lang, n in sorted(held.items()) for v in (lang, min(1.0, each / n))])
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
     sample = written(rows.filter(place < share_of[F.col("lang")]).select("lang", "text"), "language-sample")
 
     def reduce(batches):

@@ -86,3 +86,11 @@ def class_weights(labels: DataFrame, id_col: str, label_col: str, keep: Column,
     class within ``bound``. With them a sample has the class mix of all usable labels."""
     sizes = dict(usable_labels(labels, id_col, label_col, keep).groupBy("label").count().collect())
     return np.array([max(1.0, sizes.get(k, 0) / bound) for k in (0, 1)])
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, label, text)`` of the chosen ids, one row an id: of rows that repeat an id the one
+    whose text has the least hash, so there are never more rows than labels."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.text")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, oracle, rule_ensemble, toxicity
+from . import langid, oracle, rule_ensemble, toxicity, url_filter
 from .align import align_documents
 from .bpe import decode_ids, encode_texts
 from .chat import format_conversations, read_back
@@ -43,7 +43,8 @@ URL_RULES = Rules((("net/", "block"), ("example.net/en/", "allow"), ("example.co
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+    pages = read_table(spark, sf_dir, "pages")
+    return filter_urls(pages, URL_RULES, classifier=url_filter.train(pages, URL_RULES, read_table(spark, sf_dir, "documents")))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linear import class_weights, sampled_labels
+from .linear import class_weights, labelled_texts, sampled_labels
 from .quality_rules import STOP_WORDS
 
 SAMPLE = 6000
@@ -162,9 +162,10 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Model
 
 def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fit on at most ``SAMPLE`` labelled rows a class whose ``doc_id`` passes ``keep``, weighed to
-    the class mix of all of them."""
+    the class mix of all of them. NULL texts count as empty; ids without a label or with labels that
+    disagree are left out; of rows that repeat an id one is learnt from; other columns are not read."""
     chosen = sampled_labels(labels, "doc_id", label_col, keep, SAMPLE)
-    labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    labelled = labelled_texts(docs, chosen, id_col, text_col)
     rows = statistics(labelled, "doc_id", "text", "label").toPandas().sort_values([*NAMES, "label"])
     weights = class_weights(labels, "doc_id", label_col, keep, SAMPLE)
     return fit(rows[NAMES].to_numpy(np.float64), rows["label"].to_numpy(np.float64), weights[rows["label"].to_numpy()])

@@ -3,10 +3,11 @@ by naive Bayes log-count ratios, trained on labelled text.
 
 Features are the n-grams a text holds at all, hashed to ``2 ** BITS`` columns. The log ratio of
 a feature's document counts in both classes scales it; ratios within ``MIN_SIGMA`` standard
-errors of zero are noise and count 0. Logistic regression on the scaled rows, cut to unit
-length, gives the weights. The classifier is fitted on at most ``SAMPLE`` labelled rows of
-each class (see :func:`~herdfeed.llm.linear.sampled_labels`), weighed so that the classes count as
-in all labelled rows; every whole text is scored.
+errors of zero are noise and count 0 (of the others, the clearest ``MAX_FEATURES`` stay). These
+counts are over all labelled rows. Logistic regression on the scaled rows, cut to unit length,
+gives the weights. It is fitted on at most ``SAMPLE`` labelled rows of each class (see
+:func:`~herdfeed.llm.linear.sampled_labels`), weighed so that the classes count as in all labelled
+rows; every whole text is scored.
 """
 
 from __future__ import annotations
@@ -18,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import PARTIAL_COUNTS, partial_counts, share, shared, sum_counts, written
-from .linear import SparseRows, class_weights, grams, letters, minimise, sampled_labels
+from .common import PARTIAL_COUNTS, partial_counts, share, shared, sum_counts
+from .linear import SparseRows, class_weights, grams, labelled_texts, letters, minimise, sampled_labels, usable_labels
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
 SAMPLE = 2000
 SMOOTHING = 2.0
 MIN_SIGMA = 3.0
+MAX_FEATURES = 60_000
 POSITIVE_WEIGHT = 2.0
 THRESHOLD = 0.7
 
@@ -56,37 +58,46 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(margin, -40, 40))))
 
 
-def _ratios(counts: np.ndarray, sizes: tuple[int, int], weights: np.ndarray) -> Model:
-    """Log ratios of document counts ``counts[class, column]``; a row of a class stands for
-    ``weights[class]`` rows."""
-    share_of = np.array(sizes) * weights / (np.array(sizes) @ weights)
+def _ratios(counts: np.ndarray, sizes: tuple[int, int]) -> Model:
+    """Log ratios of document counts ``counts[class, column]`` among ``sizes[class]`` documents."""
+    share_of = np.array(sizes) / sum(sizes)
     smooth = counts + SMOOTHING * share_of[:, None]
     ratio = np.log(smooth[1] / (sizes[1] + SMOOTHING)) - np.log(smooth[0] / (sizes[0] + SMOOTHING))
-    column = np.flatnonzero(np.abs(ratio) >= MIN_SIGMA * np.sqrt((1 / smooth).sum(axis=0)))
+    spread = np.sqrt((1 / smooth).sum(axis=0))
+    column = np.flatnonzero(np.abs(ratio) >= MIN_SIGMA * spread)
+    # The clearest ratios, if there are more than the fit has room for.
+    column = np.sort(column[np.argsort(-np.abs(ratio[column]) / spread[column], kind="stable")[:MAX_FEATURES]])
     return Model(column, ratio[column], np.zeros(len(column)), 0.0)
 
 
 def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Fit on the labelled rows whose ``doc_id`` passes ``keep``. Without rows of both classes
-    the model scores 0 for every text."""
-    chosen = sampled_labels(labels, "doc_id", label_col, keep, SAMPLE)
-    weights = class_weights(labels, "doc_id", label_col, keep, SAMPLE)
+    """Fit on the labelled rows whose ``doc_id`` passes ``keep``: document counts behind the log
+    ratios over all of them, the linear weights on a sample. NULL texts count as empty; ids without
+    a label or with labels that disagree are left out; of a sampled id's repeated rows one is learnt
+    from, the counts take each row; other columns are not read. Without rows of both classes the
+    model scores 0 for every text."""
+    usable = usable_labels(labels, "doc_id", label_col, keep)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sample = written(texts.join(F.broadcast(chosen), "doc_id").select("label", "text"), "toxicity-sample")
-    sizes = dict(sample.groupBy("label").count().collect())
-    if not sizes.get(0) or not sizes.get(1):
-        return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), -np.inf)
+    learnt = texts.join(usable, "doc_id").select("label", "text")
 
     def count(batches):
-        total = np.zeros((2, 1 << BITS), np.int64)
+        total = np.zeros((2, (1 << BITS) + 1), np.int64)
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 total[label, np.unique(grams(letters(text), SIZES, BITS))] += 1
+                total[label, -1] += 1
         yield from partial_counts(total.ravel())
 
-    counts = sum_counts(sample.mapInArrow(count, PARTIAL_COUNTS), sample.rdd.getNumPartitions(), 2 << BITS).reshape(2, -1)
-    model = _ratios(counts, (sizes[0], sizes[1]), weights)
+    counted = learnt.mapInArrow(count, PARTIAL_COUNTS)
+    counts = sum_counts(counted, counted.rdd.getNumPartitions(), 2 * ((1 << BITS) + 1)).reshape(2, -1)
+    sizes = (int(counts[0, -1]), int(counts[1, -1]))
+    if not all(sizes):
+        return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), -np.inf)
+    chosen = sampled_labels(labels, "doc_id", label_col, keep, SAMPLE)
+    weights = class_weights(labels, "doc_id", label_col, keep, SAMPLE)
+    sample = labelled_texts(docs, chosen, id_col, text_col).select("label", "text")
+    model = _ratios(counts[:, :-1], sizes)
     handle = share(docs.sparkSession, model)
 
     def reduce(batches):

@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from herdfeed.llm import langid, rule_ensemble, toxicity
+from herdfeed.llm import langid, rule_ensemble, toxicity, url_filter
 from herdfeed.llm.common import id_remainder
 from herdfeed.llm.linear import grams, letters, sampled_labels
 from herdfeed.llm.queries import URL_RULES, queries
@@ -69,7 +71,7 @@ def test_url_rules_by_brute_force(spark):
 def test_url_query_on_all_pages(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = queries()["op3_url_filter"](spark, SF).collect()
-    own = NameClassifier(BLOCKED_NAMES, ALLOWED_NAMES)
+    own = url_filter.train(spark.read.parquet(f"{SF}/pages.parquet"), URL_RULES, spark.read.parquet(f"{SF}/documents.parquet"))
     assert len(rows) == len(pages)
     for r in rows:
         host, path = parsed(pages[r.page_id])
@@ -78,16 +80,71 @@ def test_url_query_on_all_pages(spark):
         assert r.verdict == (verdict or ("block" if own.score(host, path) >= 0.5 else "allow"))
 
 
+def counted_words(pages, texts):
+    """Word counts of URLs and texts, by their definition."""
+    urls = [parsed(u) for u in pages]
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    found = Counter(w for t in [*{h for h, _ in urls}, *[p for _, p in urls], *texts] for w in re.findall("[a-z]+", lower(t)) if 2 <= len(w) <= 20)
+    return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:url_filter.VOCABULARY])
+
+
+def test_url_score_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "VOCABULARY", 3000)
+    pages, docs = spark.read.parquet(f"{SF_SMALL}/pages.parquet"), spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    own = url_filter.train(pages, URL_RULES, docs)
+    urls = [r.url for r in pages.select("url").collect()]
+    words = Counter({w: 200 / (k + 2) for k, w in enumerate(dict.fromkeys(url_filter.COMMON_WORDS))})
+    words.update(w for name in BLOCKED_NAMES + ALLOWED_NAMES for w in name.split("-"))
+    words.update(counted_words(urls, [r.text for r in docs.select("text").collect()]))
+    total = sum(words.values())
+    assert own.segmenter.cost == pytest.approx({w: -math.log(n / total) for w, n in words.items()})
+    split = Segmenter(words).split
+
+    def tokens(host, path):
+        labels = [x for x in host.split(".")[:-1] if x not in ("www", "m", "en")]
+        return [w for t in (*labels, re.sub(r"\.[a-z]{2,5}$", "", path.lower())) for run in re.findall("[a-z]+", t) for w in split(run)]
+
+    hosts = {"block": defaultdict(set), "allow": defaultdict(set)}
+    for host, path in map(parsed, urls):
+        if ruled(host, path)[1]:
+            for w in tokens(host, path):
+                hosts[ruled(host, path)[1]][w].add(host)
+    held = []
+    for says, names in (("block", BLOCKED_NAMES), ("allow", ALLOWED_NAMES)):
+        count = Counter({w: len(h) for w, h in hosts[says].items()})
+        for name in names:
+            for w in {x for part in name.split("-") for x in split(part)}:
+                count[w] += url_filter.NAME_HOSTS
+        held.append(Counter({w: n for w, n in count.items() if len(w) >= 3}))
+    known = set(held[0]) | set(held[1])
+    share = [{w: (c[w] + 0.5) / (sum(c.values()) + 0.5 * len(known)) for w in known} for c in held]
+    for host, path in map(parsed, urls):
+        odds = 0.2 / 0.8
+        for w in tokens(host, path):
+            odds *= share[0][w] / share[1][w] if w in known else 1
+        assert own.score(host, path) == pytest.approx(odds / (1 + odds))
+    free = [own.score(*parsed(u)) for u in urls if "://" in u and not ruled(*parsed(u))[1]]
+    assert sum(abs(x - 0.2) < 1e-9 for x in free) < 0.1 * len(free)
+
+
+def test_names_run_together_are_judged_by_their_words(spark):
+    own = url_filter.train(spark.read.parquet(f"{SF}/pages.parquet"), URL_RULES, spark.read.parquet(f"{SF}/documents.parquet"))
+    assert own.tokens("cheappills.com", "/") == ["cheap", "pills"] and own.score("cheappills.com", "/") > 0.9
+    assert own.score("scienceblog.com", "/x.html") < 0.1
+    nothing = url_filter.train(spark.createDataFrame([(1, None)], "page_id long, url string"), URL_RULES)
+    assert nothing.evidence == NameClassifier().evidence
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_segmenter_is_optimal(seed):
-    from herdfeed.llm.url_filter import UNKNOWN_LETTER, UNKNOWN_START
+    from herdfeed.llm.url_filter import UNKNOWN_LETTER
 
     rng = random.Random(seed)
     words = {"".join(rng.choices("ab", k=rng.randint(1, 4))): rng.randint(1, 9) for _ in range(5)}
     segmenter, run = Segmenter(words), "".join(rng.choices("abc", k=9))
 
     def price(parts):
-        return sum(min(segmenter.cost.get(p, math.inf), UNKNOWN_START + UNKNOWN_LETTER * len(p)) for p in parts)
+        return sum(min(segmenter.cost.get(p, math.inf), segmenter.unknown_start + UNKNOWN_LETTER * len(p)) for p in parts)
 
     every = []
     for cuts in product((0, 1), repeat=len(run) - 1):
@@ -210,3 +267,88 @@ def test_quality_cases(spark):
     assert rule_ensemble.score(empty(spark), model).collect() == []
     for rows, want in ((labels.limit(0), 0.5), (labels.filter("quality = 1"), 1.0)):
         assert {round(r.score, 3) for r in rule_ensemble.score(docs, rule_ensemble.train(docs, rows, F.lit(True))).collect()} == {want}
+
+
+@pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (rule_ensemble, "quality")])
+def test_repeated_ids_don_t_swell_what_is_learnt(spark, module, label):
+    from herdfeed.llm.linear import labelled_texts
+
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(None, 1)], f"doc_id long, {label} int")
+    rows = [(i % 20, f"text {i} says {'moron idiot ###' if i % 2 else 'dear friend'}", "en") for i in range(2000)] + [(None, "no id", "en"), (3, None, "en"), (99, "not labelled", "en")]
+    docs = cases(spark, rows)
+    chosen = sampled_labels(labels, "doc_id", label, F.lit(True), 1000)
+    got = labelled_texts(docs, chosen, "doc_id", "text").collect()
+    assert sorted(r.doc_id for r in got) == list(range(20)) and all(r.label == r.doc_id % 2 for r in got)
+    assert all((r.doc_id, r.text) in {(i, t) for i, t, _ in rows} for r in got)
+    assert module.train(docs, labels, F.lit(True)) is not None
+
+
+def test_log_ratios_over_all_labelled_rows(spark, monkeypatch):
+    """Document counts by hand; a word of one toxic text in sixty is learnt though the sample is small."""
+    monkeypatch.setattr(toxicity, "SAMPLE", 30)
+    rows = [(i, ("quxword here" if i % 60 == 1 else "moron idiot here") if i % 2 else f"dear friend {i % 7}", "en") for i in range(2400)]
+    docs, labels = cases(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(2400)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.col("doc_id") % 3 != 0)
+    counts, sizes = np.zeros((2, 1 << toxicity.BITS)), [0, 0]
+    for i, text, _ in rows:
+        if i % 3:
+            counts[i % 2, np.unique(grams(letters(text), toxicity.SIZES, toxicity.BITS))] += 1
+            sizes[i % 2] += 1
+    smooth = counts + 2 * np.array(sizes)[:, None] / sum(sizes)
+    ratio = np.log(smooth[1] / (sizes[1] + 2)) - np.log(smooth[0] / (sizes[0] + 2))
+    kept = np.flatnonzero(np.abs(ratio) >= 3 * np.sqrt((1 / smooth).sum(axis=0)))
+    assert model.column.tolist() == kept.tolist() and np.allclose(model.scale, ratio[kept])
+    assert set(np.unique(grams(letters("quxword"), (5,), toxicity.BITS)).tolist()) <= set(kept.tolist())
+
+
+def test_many_languages_are_no_error(spark):
+    said = {"en": "the cat and the dog with this", "fr": "le chat et la souris avec une"}
+    rows = [(i, said[lang], lang) for i, lang in enumerate(list(said) * 10)] + [(1000 + i, f"xx{i}", f"junk{i}") for i in range(1500)]
+    model = langid.train(cases(spark, rows), F.lit(True))
+    assert {"en", "fr"} <= {x for m in model.members.values() for x in m} and sum(map(len, model.members.values())) == langid.MAX_LANGUAGES
+    got = {r.doc_id: r.lang_pred for r in langid.predict(cases(spark, rows[:20]), model).collect()}
+    assert got == {i: lang for i, _, lang in rows[:20]}
+    swollen = [(7, f"{said['en']} {i}", "en") for i in range(5000)] + rows[:20]
+    assert {r.lang_pred for r in langid.predict(cases(spark, rows[:20]), langid.train(cases(spark, swollen), F.lit(True))).collect()} == set(said)
+
+
+def test_language_decision_by_hand(spark):
+    """Margins, family and votes of every document of a whole table, text by text."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model = langid.train(docs, id_remainder("doc_id", 4) != 2)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in langid.predict(docs, model).collect():
+        text = texts[r.doc_id]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        x = np.bincount(grams(letters(text), langid.SIZES, langid.BITS), minlength=1 << langid.BITS)
+        margin = model.bias + (x / max(1, x.sum())) @ model.weights.astype(float) * langid.FEATURE_SCALE
+        logistic = lambda m: 1 / (1 + math.exp(-2 * m))
+        family = max(range(len(model.families)), key=lambda k: margin[k])
+        score = logistic(margin[family]) if len(model.families) > 1 else 1.0
+        members = model.members[model.families[family]]
+        votes = Counter({m: 0.0 for m in members})
+        for k, (of, first, second) in enumerate(model.pairs):
+            if of == model.families[family]:
+                p = logistic(margin[len(model.families) + k])
+                votes[first] += p
+                votes[second] += 1 - p
+        best = max(members, key=lambda m: (votes[m], m))
+        assert r.lang_pred == best and r.score == pytest.approx(score * (votes[best] / (len(members) - 1) if len(members) > 1 else 1), abs=1e-6)
+
+
+def test_toxicity_score_by_hand(spark):
+    docs, labels = spark.read.parquet(f"{SF_SMALL}/documents.parquet"), spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    model = toxicity.train(docs, labels, id_remainder("doc_id", 3) != 1)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    weight = np.zeros(1 << toxicity.BITS)
+    scale = np.zeros(1 << toxicity.BITS)
+    weight[model.column], scale[model.column] = model.weight, model.scale
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, model).collect()}
+    for r in toxicity.score(docs, model).collect():
+        has = np.zeros(1 << toxicity.BITS)
+        has[grams(letters(texts[r.doc_id]), toxicity.SIZES, toxicity.BITS)] = 1
+        x = has * scale
+        want = 1 / (1 + math.exp(-(model.bias + weight @ x / max(1, math.sqrt(x @ x)))))
+        assert r.score == pytest.approx(want, abs=1e-9) and r.predicted == (want >= 0.7) == (r.doc_id not in kept)

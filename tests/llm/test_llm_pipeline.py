@@ -1,5 +1,10 @@
 """The pipeline's stages on planted and odd rows, and its query end to end."""
 
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,11 +29,63 @@ def test_stage_takes_odd_rows_and_empty_tables(spark, k):
     assert P.STAGES[k][1](spark, empty(spark), SF_SMALL).count() == 0
 
 
-def test_near_duplicates_keep_one_row_of_each_group(spark):
-    out = [r.doc_id for r in P.drop_near_duplicates(spark, cases(spark), SF_SMALL).collect()]
-    # Rows 1, 1, 6 and 7 are one group, 10 and 11 another; rows without an id stay.
-    assert sorted(k for k in out if k is not None) == [1, 2, 3, 4, 5, 8, 9, 10, 12, 13]
-    assert out.count(None) == sum(k is None for k, _, _ in ROWS)
+def shingles_of(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[k:k + 3]) for k in range(max(1, len(words) - 2))} if words else set()
+
+
+def groups_of(rows):
+    """Groups of row numbers, by all pairs."""
+    sets = [shingles_of(r[1]) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    return [[k for k, x in enumerate(root) if x == r] for r in sorted(set(root))]
+
+
+@pytest.mark.parametrize("repeat", [1, 3])
+def test_near_duplicates_keep_one_row_of_each_group(spark, repeat):
+    rows = ROWS * repeat + [(1, "an unlinked text under the same id", "en"), (20, PLAIN + " so", "en"), (None, "an unlinked text without an id", "en"), (0, None, "en")]
+    got = sorted([(r.doc_id, r.text) for r in P.drop_near_duplicates(spark, cases(spark, rows), SF_SMALL).collect()], key=repr)
+    groups = groups_of(rows)
+    assert len(got) == len(groups)
+    for group in groups:
+        ids = [rows[k][0] for k in group if rows[k][0] is not None]
+        least = {(rows[k][0], rows[k][1]) for k in group if rows[k][0] == (min(ids) if ids else None)}
+        assert any(x in got for x in least)
+    assert {(1, "an unlinked text under the same id"), (None, "an unlinked text without an id")} <= set(got)
+
+
+def test_stages_on_a_whole_table_row_by_row(spark):
+    """Toxicity, language and packing stages against the models' decisions text by text."""
+    from herdfeed.llm import langid, toxicity
+    from herdfeed.llm.common import id_remainder
+    from herdfeed.llm.queries import tokenizer_path
+    from herdfeed.llm.tokens import WordEncoder, read_tokenizer
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = docs.collect()
+    model = toxicity.train(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"), id_remainder("doc_id", 3) != 1)
+    assert sorted(P.drop_toxic(spark, docs, SF_SMALL).collect()) == sorted(r for r in rows if model.score(r.text) < 0.7)
+    model = langid.train(docs, id_remainder("doc_id", 4) != 2)
+    told = {r.doc_id: model.predict(r.text) for r in rows}
+    out = P.drop_unknown_language(spark, docs, SF_SMALL).collect()
+    assert sorted(out) == sorted(r for r in rows if told[r.doc_id][0] != "und" and told[r.doc_id][1] >= 0.3)
+    assert len(out) >= 0.98 * len(rows)
+    encode = WordEncoder(read_tokenizer(tokenizer_path())).tokenizer.encode
+    ids = {r.doc_id: encode(r.text or "", add_special_tokens=False).ids + [1] for r in rows}
+    pieces = defaultdict(list)
+    for r in P.pack(spark, docs, SF_SMALL).collect():
+        pieces[r.doc_id].append((r.start, r.length, r.ids_crc32))
+    for doc_id, own in ids.items():
+        at = 0
+        for start, length, crc in sorted(pieces[doc_id]):
+            assert start == at and crc == zlib.crc32(np.array(own[at:at + length], "<u4").tobytes())
+            at += length
+        assert at == len(own)
 
 
 def test_benchmark_passages_go_and_clean_rows_stay(spark):
