@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .groups import map_literal, sql_literal
+from .groups import map_literal
 from .text import clean_text, col_of
 
 # Fixed values that must equal the reference's behaviour: ordered phrase rules
@@ -63,25 +63,20 @@ def compact_key(upper_text: Column) -> Column:
     return F.regexp_replace(upper_text, "[^A-Z0-9]", "")
 
 
-def _rules_literal() -> Column:
-    structs = ", ".join(
-        f"named_struct('phrase', {sql_literal(text)}, 'compact', {sql_literal(re.sub('[^A-Z0-9]', '', text))}, "
-        f"'code', {sql_literal(code)})"
-        for text, code in DEFAULT_INGREDIENT_CODE_RULES)
-    return F.expr(f"array({structs})")
-
-
 def rule_code(upper_text: Column, compact: Column) -> Column:
     """Alias lookups, phrase rules, then the first three characters.
 
-    The phrase rules are one ``filter`` over a literal array of rules (first hit in rule
-    order), so the text columns are referenced once, not once per rule; this keeps the
-    expression small when the optimizer inlines it into pushed-down filters."""
+    A text that holds a phrase holds the phrase's compact form in its own, so the rules look at
+    the compact text alone: one plain search each, compiled with the rest of the projection."""
     aliases = map_literal(DEFAULT_CODE_ALIASES, "string")
     first_three = F.substring(compact, 1, 3)
-    hits = F.filter(_rules_literal(),
-                    lambda r: F.contains(upper_text, r["phrase"]) | F.contains(compact, r["compact"]))
-    phrase = F.try_element_at(hits, F.lit(1))["code"]
+    phrases: dict[str, str] = {}
+    for text, code in DEFAULT_INGREDIENT_CODE_RULES:
+        phrases.setdefault(re.sub("[^A-Z0-9]", "", text), code)
+    phrase = None
+    for text, code in phrases.items():
+        hit = F.contains(compact, F.lit(text))
+        phrase = F.when(hit, code) if phrase is None else phrase.when(hit, code)
     return F.when(upper_text.isNotNull(), F.coalesce(
         F.try_element_at(aliases, compact),
         F.try_element_at(aliases, first_three),

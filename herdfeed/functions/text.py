@@ -73,9 +73,12 @@ _EXPONENT = r"^[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d+$"
 
 
 def parse_number_text(c: Column | str) -> Column:
-    """Guarded text -> double: NULL unless the trimmed text is a plain decimal number
-    (one regex, one parse)."""
-    return F.regexp_extract(strip_ws(c), _NUMBER_CAPTURE, 1).try_cast("double")
+    """Guarded text -> double: NULL unless the trimmed text is a plain decimal number that a
+    double can hold (one regex, one parse; ``1e400`` would be infinite)."""
+    parsed = F.array(F.regexp_extract(strip_ws(c), _NUMBER_CAPTURE, 1).try_cast("double"))
+    for endless in (float("inf"), float("-inf")):
+        parsed = F.array_remove(parsed, F.lit(endless))
+    return F.try_element_at(parsed, F.lit(1))
 
 
 def to_double(c: Column | str, dtype: T.DataType | None = None) -> Column:

@@ -53,11 +53,36 @@ def mode_lowest(c: Column | str) -> Column:
     return F.mode(c, deterministic=True)
 
 
+# The mode as a state that merges: values are counted by a plain aggregate over (keys, value); then
+# one number a value, its count above the value's distance from the largest int, names the mode by
+# its maximum. Both levels stay hash aggregates on fixed-width buffers. Counts stay under 2**31.
+_LARGEST = 2147483647
+
+
+def mode_rank(value: str, n: str) -> Column:
+    """Rank of an int ``value`` that stands in ``n`` rows; NULL for a NULL value."""
+    return F.shiftleft(F.col(n), 32) + (F.lit(_LARGEST).cast("long") - F.col(value))
+
+
+def mode_of(rank: Column) -> Column:
+    """The value of the largest :func:`mode_rank`: A11's :func:`mode_lowest` of its rows."""
+    return (F.lit(_LARGEST).cast("long") - rank.bitwiseAND(F.lit(0xFFFFFFFF))).cast("int")
+
+
 def sd_samp(c: Column | str) -> Column:
     """Sample standard deviation (NULL for a single value)."""
     return F.stddev_samp(c)
 
 
+def pooled_sd(n: str, mean: str, spread: str) -> Column:
+    """Sample standard deviation of values that come as parts with count, mean and population
+    variance; NULL for a single value. Parts of equal means add nothing between them, exactly."""
+    total = F.sum(n)
+    between = F.sum(F.col(n) * F.col(mean) * F.col(mean)) - F.pow(F.sum(F.col(n) * F.col(mean)), F.lit(2)) / total
+    squares = F.sum(F.col(n) * F.col(spread)) + F.when(F.min(mean) == F.max(mean), 0.0).otherwise(F.greatest(between, F.lit(0.0)))
+    return F.when(total > 1, F.sqrt(squares / (total - 1)))
+
+
 # Column-metadata flag for columns a standardising step guarantees to be non-NULL. Later
 # null filters skip them: re-filtering would be pushed down to the scan with the
 # cleaning expressions inlined, evaluating them again for every row.
@@ -241,21 +266,31 @@ def standardize_weights(raw: DataFrame, afi: DataFrame | None = None, weight_yea
     return mark_non_null(out, ["animal_id", "weight", "year", "month_num"])
 
 
-def days_in_month(day: Column | str) -> Column:
-    """Number of distinct days, for groups that lie within one month: a bit for each day of the
-    month, so no distinct level is needed. 0 if every day is NULL."""
+def day_bits(day: Column | str) -> Column:
+    """A bit for each day of the month that a group holds; NULL if every day is NULL."""
     day = F.col(day) if isinstance(day, str) else day
-    bits = F.bit_or(F.call_function("shiftleft", F.lit(1), F.day(day) - 1))
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), F.day(day) - 1))
+
+
+def count_bits(bits: Column) -> Column:
     return F.coalesce(F.bit_count(bits), F.lit(0)).cast("long")
 
 
+def days_in_month(day: Column | str) -> Column:
+    """Number of distinct days, for groups that lie within one month: no distinct level is needed.
+    0 if every day is NULL."""
+    return count_bits(day_bits(day))
+
+
 def agg_month_weight(weights: DataFrame) -> DataFrame:
     """A1: one row per animal-month: mean weight, latest weight date, most frequent
     group."""
-    return (weights.groupBy(*ANIMAL_MONTH)
-            .agg(F.avg("weight").alias("weight"),
+    by_group = weights.groupBy(*ANIMAL_MONTH, "weight_group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").alias("total"), F.count("weight").alias("weighed"), F.max("weight_date").alias("weight_date"))
+    return (by_group.groupBy(*ANIMAL_MONTH)
+            .agg((F.sum("total") / F.nullif(F.sum("weighed"), F.lit(0))).alias("weight"),
                  F.max("weight_date").alias("weight_date"),
-                 mode_lowest("weight_group").alias("weight_group"))
+                 mode_of(F.max(mode_rank("weight_group", "n"))).alias("weight_group"))
             .withColumn("month", month_name_of("year", "month_num")))
 
 
@@ -269,12 +304,15 @@ def agg_animal_month_group(afi: DataFrame) -> DataFrame:
     """A2: one row per animal-month from the daily data: most frequent group, mean DIM,
     first/last day and number of distinct days."""
     require_columns(afi, ["animal_id", "year", "month_num", "group", "dim"], "afi")
-    return (drop_missing(afi, ANIMAL_MONTH).groupBy(*ANIMAL_MONTH)
-            .agg(mode_lowest("group").alias("group"),
-                 F.avg("dim").alias("avg_dim"),
-                 F.min("day").alias("first_day"),
-                 F.max("day").alias("last_day"),
-                 days_in_month("day").alias("n_afi_days"))
+    by_group = drop_missing(afi, ANIMAL_MONTH).groupBy(*ANIMAL_MONTH, "group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("dim").alias("total_dim"), F.count("dim").alias("n_dim"),
+        F.min("day").alias("first_day"), F.max("day").alias("last_day"), day_bits("day").alias("days"))
+    return (by_group.groupBy(*ANIMAL_MONTH)
+            .agg(mode_of(F.max(mode_rank("group", "n"))).alias("group"),
+                 (F.sum("total_dim") / F.nullif(F.sum("n_dim"), F.lit(0))).alias("avg_dim"),
+                 F.min("first_day").alias("first_day"),
+                 F.max("last_day").alias("last_day"),
+                 count_bits(F.bit_or("days")).alias("n_afi_days"))
             .withColumn("month", month_name_of("year", "month_num")))
 
 
@@ -436,19 +474,23 @@ def agg_per_animal(afi: DataFrame) -> DataFrame:
     """Duplicate animal-days collapsed first (mean yield, mean DIM, most frequent
     group), then per animal: most frequent group, mean DIM, days, mean/sd of daily
     yield, first/last day."""
-    daily = (drop_missing(afi, ["animal_id", "day", "daily_yield"])
-             .groupBy("animal_id", "day")
-             .agg(F.avg("daily_yield").alias("daily_yield"),
-                  F.avg("dim").alias("dim"),
-                  mode_lowest("group").alias("group")))
-    return (daily.groupBy("animal_id")
-            .agg(mode_lowest("group").alias("group"),
-                 F.avg("dim").alias("avg_dim"),
-                 F.count("day").alias("n_days"),
-                 F.avg("daily_yield").alias("avg_daily_yield"),
-                 sd_samp("daily_yield").alias("yield_std"),
-                 F.min("day").alias("first_day"),
-                 F.max("day").alias("last_day")))
+    by_group = drop_missing(afi, ["animal_id", "day", "daily_yield"]).groupBy("animal_id", "day", "group").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("daily_yield").alias("total"), F.sum("dim").alias("total_dim"), F.count("dim").alias("n_dim"))
+    daily = by_group.groupBy("animal_id", "day").agg(
+        (F.sum("total") / F.sum("n")).alias("daily_yield"), (F.sum("total_dim") / F.nullif(F.sum("n_dim"), F.lit(0))).alias("dim"),
+        mode_of(F.max(mode_rank("group", "n"))).alias("group"))
+    # Days of an animal by group, with their yields' count, mean and sum of squared deviations.
+    groups = daily.groupBy("animal_id", "group").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("daily_yield").alias("mean"), F.var_pop("daily_yield").alias("spread"),
+        F.sum("dim").alias("total_dim"), F.count("dim").alias("n_dim"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    return groups.groupBy("animal_id").agg(
+        mode_of(F.max(mode_rank("group", "n"))).alias("group"),
+        (F.sum("total_dim") / F.nullif(F.sum("n_dim"), F.lit(0))).alias("avg_dim"),
+        F.sum("n").alias("n_days"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("avg_daily_yield"),
+        pooled_sd("n", "mean", "spread").alias("yield_std"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"))
 
 
 def per_cow_yield(afi: DataFrame, confidence_level: float = 0.80) -> DataFrame:

@@ -135,7 +135,8 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
         release(cleaned)
     nutrient = feed.prepare_nutrient_table(read_table_file(spark, nutrient_path, order_col="__at").drop("source_file"),
                                            ingredient_mapping=mapping, ordinal_col="__at")
-    delivery = feed.nutrient_delivery(filtered, nutrient)
+    # three tables read the joined rows: they are joined once
+    delivery = materialize(feed.nutrient_delivery(filtered, nutrient), keep)
     missing = feed.missing_nutrients(delivery)
     if n_missing := missing.count():
         LOG.warning("%d ingredient code(s) have no nutrient value; the table %s names all of them", n_missing, MISSING_CODES)
@@ -161,7 +162,7 @@ def run_feed_job(spark: SparkSession, feed_path: str, nutrient_path: str, output
         for name, df in tables.items():
             write_catalog(df, TABLE_NAMES.get(name, name), jdbc_if_exists, catalog_database)
     if output_dir or jdbc or catalog_database:
-        release(filtered)
+        release(filtered, delivery)
     return tables
 
 

@@ -149,3 +149,8 @@ def test_user_map_keys_with_quotes_and_backslashes(spark):
     assert one_col(spark, vals, lambda c: clean_group(c, None, mapping)) == [3, 4, 5, None]
     codes = one_col(spark, ["o'brien mix"], lambda c: ingredient_code(c, None, {"O'BRIEN MIX": "ob'1"}))
     assert codes == ["OB'1"]
+
+
+def test_numbers_beyond_a_double_are_missing(spark):
+    values = ["1e400", "-1e400", "1e308", "-2.5", "9" * 400, "", None, "1e-400"]
+    assert one_col(spark, values, clean_numeric) == [None, None, 1e308, -2.5, None, None, None, 0.0]

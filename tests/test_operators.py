@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from herdfeed.operators import feed, herd
@@ -177,3 +178,35 @@ def test_weight_year_needs_explicit_year_when_daily_spans_years(spark):
     assert (r.year, r.month_num, r.weight) == (2024, 1, 600.0)
     with_year = spark.createDataFrame([("1", "600", "Jan", "2023")], "cow string, weight string, month string, yr string")
     assert herd.monthly_weights(with_year, afi=afi).first().year == 2023
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_modes_and_deviations_by_hand(spark, seed):
+    """A1, A2 and A7 against pandas: ties, NULL groups, repeated animal-days, equal values."""
+    import random
+
+    import pandas as pd
+
+    rng = random.Random(seed)
+    rows = [(f"c{rng.randint(0, 6)}", dt.date(2024, rng.randint(1, 2), rng.randint(1, 9)), rng.choice([None, 1, 2, 3, -4]), rng.choice([None, 1.0, 7.5]),
+             rng.choice([20.0, 20.0, 31.5])) for _ in range(250)] + [("one", dt.date(2024, 1, 1), None, None, 5.0)] + [("same", dt.date(2024, 1, k), k % 2, 1.0, 0.1) for k in range(1, 8)]
+    df = spark.createDataFrame(rows, "animal_id string, day date, group int, dim double, daily_yield double")
+    df = df.withColumns({"year": F.year("day"), "month_num": F.month("day")})
+    p = pd.DataFrame(rows, columns=["animal_id", "day", "group", "dim", "daily_yield"])
+    mode = lambda x: x.mode().min() if x.notna().any() else None
+    daily = p.groupby(["animal_id", "day"]).agg(y=("daily_yield", "mean"), dim=("dim", "mean"), group=("group", mode)).reset_index()
+    want = daily.groupby("animal_id").agg(group=("group", mode), dim=("dim", "mean"), n=("day", "count"), mean=("y", "mean"), sd=("y", "std"))
+    for r in herd.agg_per_animal(df).collect():
+        w = want.loc[r.animal_id]
+        assert (r.group, r.n_days) == (None if pd.isna(w.group) else w.group, w.n)
+        for got, exact in ((r.avg_dim, w.dim), (r.avg_daily_yield, w["mean"]), (r.yield_std, w.sd)):
+            assert (got is None and pd.isna(exact)) or got == pytest.approx(exact, abs=1e-9)
+    assert [r.yield_std for r in herd.agg_per_animal(df).collect() if r.animal_id == "same"] == [pytest.approx(0, abs=1e-12)]
+    p["ym"] = [d.year * 100 + d.month for d in p.day]
+    want = p.groupby(["animal_id", "ym"]).agg(group=("group", mode), dim=("dim", "mean"), days=("day", "nunique"), first=("day", "min"), last=("day", "max"))
+    got = herd.agg_animal_month_group(df).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want.loc[(r.animal_id, r.year * 100 + r.month_num)]
+        assert (r.group, r.n_afi_days, r.first_day, r.last_day) == (None if pd.isna(w.group) else w.group, w.days, w["first"], w["last"])
+        assert (r.avg_dim is None and pd.isna(w.dim)) or r.avg_dim == pytest.approx(w.dim)

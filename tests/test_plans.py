@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from herdfeed.operators import feed, herd
@@ -84,3 +85,16 @@ def test_unique_animals_are_counted_without_a_distinct_level(spark):
     months = herd.animal_month_yield(afi)
     levels = lambda unique: plan_of(herd.yield_group_month(months, assume_unique=unique)).count("HashAggregate(")
     assert levels(True) < levels(False)
+
+
+@pytest.mark.parametrize("key", ["cow_month_weight", "per_cow_yield", "weight_group"])
+def test_modes_are_plain_hash_aggregates(spark, key):
+    plan = plan_of(RAW_QUERIES[key](spark, SF_SMALL))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_phrase_rules_are_compiled(spark):
+    from herdfeed.functions.ingredients import ingredient_code
+
+    plan = plan_of(spark.range(3).select(ingredient_code(F.concat(F.lit("corn silage "), F.col("id").cast("string")))))
+    assert "lambda" not in plan.lower()

@@ -380,3 +380,37 @@ def test_header_spellings_of_feed_files_are_one_column(spark, tmp_dir):
     assert sorted((r["Feeding Date"], r["Recipe"]) for r in df.collect()) == [("2024-05-01", "R1"), ("2024-05-02", "R2"), ("2024-05-03", "R3")]
     read_all(spark, tmp_dir, {"d.csv": "Feeding Date,feeding_date,Recipe\nold,2024-05-04,R4\n"})
     assert {"Feeding Date", "feeding_date"} <= set(read_feed_files(spark, tmp_dir).columns)
+
+
+def test_dates_are_typed_without_a_full_pass(spark, tmp_dir):
+    """The first split decides: rows behind it that can't be read at all are never looked at."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 4000, 1, 40).select(
+        F.when(F.col("id") < 4000, F.lit("2024-01-02")).alias("feeding_date"),
+        F.when(F.col("id") >= 3, F.when(F.col("id") >= 200, F.raise_error(F.lit("read too far")).cast("string")).otherwise("2024-03-05 10:00")).alias("Run Date"),
+        F.lit("n/a").alias("notes"))
+    out = coerce_dates(df)
+    assert dict(out.dtypes) == {"feeding_date": "timestamp_ntz", "Run Date": "timestamp_ntz", "notes": "string"}
+    never = coerce_dates(spark.range(50).select(F.lit("x").alias("date"), F.lit("2024-01-02").alias("day")))
+    assert dict(never.dtypes) == {"date": "string", "day": "timestamp_ntz"}
+    assert dict(coerce_dates(df.limit(0)).dtypes)["feeding_date"] == "string"
+
+
+def test_a_failed_run_leaves_the_published_tables(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from herdfeed.sinks import publish_tables, published_tables
+
+    read = lambda: {k: spark.read.parquet(p).collect() for k, p in published_tables(spark, tmp_dir).items()}
+    assert published_tables(spark, tmp_dir) == {}
+    good = {"a": spark.range(3), "b": spark.range(2)}
+    publish_tables(good, tmp_dir, formats=("parquet",))
+    first = read()
+    assert {k: len(v) for k, v in first.items()} == {"a.parquet": 3, "b.parquet": 2}
+    bad = {"a": spark.range(7), "b": spark.range(5).select(F.raise_error(F.lit("stop")).cast("long").alias("id"))}
+    with pytest.raises(Exception, match="stop"):
+        publish_tables(bad, tmp_dir, formats=("parquet",))
+    assert read() == first
+    publish_tables({"a": spark.range(4)}, tmp_dir, formats=("parquet",))
+    assert {k: len(v) for k, v in read().items()} == {"a.parquet": 4}
