@@ -84,3 +84,67 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (k) LEFT JOIN its USING (k)
 """
+
+
+_BLANKS = r"\x20\x09-\x0D"
+
+
+def _edited(state: str, cost: int, initials: str, kept: bool = False) -> str:
+    """A state of OP12's search, ten digits of cost and the edits so far, after one more piece; an
+    undeleted row costs more if it is truncated."""
+    more = f"{cost} + CASE x.f WHEN 'truncated' THEN 3 ELSE 0 END" if kept else str(cost)
+    return f"(lpad(CAST(CAST(left({state}, 10) AS BIGINT) + {more} AS VARCHAR), 10, '0') || substr({state}, 11) || '{initials}')"
+
+
+OP12 = rf"""
+WITH keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+checked AS (  -- crc32 of the key, bit by bit
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, CAST(i AS INTEGER), 1)) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM checked WHERE kind <> 0),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_BLANKS}]') THEN 'blank' WHEN again THEN 'duplicate'
+    WHEN regexp_extract(text, '([^{_BLANKS}])[{_BLANKS}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS place,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again), 1) || left(role, 1) AS two FROM seen),
+figures AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal,
+    list({{'s': CAST([] AS VARCHAR[]), 'r': left(role, 1), 'f': fault}} ORDER BY place) AS turns FROM faults GROUP BY conv_id),
+-- Least "cost, edits so far" for each state of the repaired part: empty, after s, after u, after a.
+searched AS (
+  SELECT *, list_reduce(list_prepend({{'s': ['0000000000', NULL, NULL, NULL], 'r': '', 'f': ''}}, turns), lambda done, x: {{
+    's': list_transform([[done.s[1], done.s[2],
+        list_min([done.s[3], {_edited('done.s[1]', 3, 'I')}, {_edited('done.s[2]', 3, 'I')}, {_edited('done.s[4]', 3, 'I')}]),
+        list_min([done.s[4], {_edited('done.s[1]', 6, 'II')}, {_edited('done.s[2]', 6, 'II')}, {_edited('done.s[3]', 3, 'I')}])]],
+      lambda p: [{_edited('p[1]', 4, 'D')},
+        list_min([{_edited('p[2]', 4, 'D')}, CASE WHEN x.r = 's' AND x.f IN ('', 'truncated') THEN {_edited('p[1]', 0, 'K', True)} END]),
+        list_min(list_concat([{_edited('p[3]', 4, 'D')}], CASE WHEN x.f IN ('', 'truncated') THEN list_concat([{_edited('p[1]', 3, 'R', True)}, {_edited('p[2]', 3, 'R', True)}, {_edited('p[4]', 3, 'R', True)}],
+          CASE WHEN x.r = 'u' THEN [{_edited('p[1]', 0, 'K', True)}, {_edited('p[2]', 0, 'K', True)}, {_edited('p[4]', 0, 'K', True)}] ELSE [] END) ELSE [] END)),
+        list_min(list_concat([{_edited('p[4]', 4, 'D')}], CASE WHEN x.f IN ('', 'truncated') THEN list_concat([{_edited('p[3]', 3, 'R', True)}],
+          CASE WHEN x.r = 'a' THEN [{_edited('p[3]', 0, 'K', True)}] ELSE [] END) ELSE [] END))])[1],
+    'r': x.r, 'f': x.f}}).s AS ends FROM figures),
+least AS (SELECT *, list_min([ends[1], {_edited('ends[2]', 6, 'II')}, {_edited('ends[3]', 3, 'I')}, ends[4]]) AS best FROM searched),
+edits AS (
+  SELECT conv_id, unnest(range(1, length(best) - 9)) AS pos, substr(best, 11) AS audit, substr(audit, CAST(pos AS INTEGER), 1) AS edit FROM least),
+numbered AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER w AS place, count(*) FILTER (edit <> 'D') OVER w AS shown FROM edits
+    WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+placed AS (
+  SELECT n.conv_id, n.pos, n.edit, n.shown, f.role, f.text, max(CASE WHEN n.shown = 1 AND n.edit = 'K' AND left(f.role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY n.conv_id) AS begun
+    FROM numbered n LEFT JOIN faults f ON n.conv_id IS NOT DISTINCT FROM f.conv_id AND n.place = f.place),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (shown - begun) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS whole
+    FROM placed WHERE edit <> 'D' GROUP BY conv_id)
+SELECT o.conv_id, coalesce(l.gaps, 0) AS gaps, coalesce(l.blank, 0) AS blank, coalesce(l.duplicate, 0) AS duplicate, coalesce(l.truncated, 0) AS truncated,
+  coalesce(l.illegal, 0) AS illegal, coalesce(CAST(left(l.best, 10) AS BIGINT), 0) AS cost, coalesce(substr(l.best, 11), '') AS audit, sha256(coalesce(r.whole, '')) AS repaired_sha256
+  FROM (SELECT DISTINCT conv_id FROM conversations) o
+  LEFT JOIN least l ON o.conv_id IS NOT DISTINCT FROM l.conv_id LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+"""

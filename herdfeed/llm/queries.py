@@ -136,6 +136,7 @@ ORACLE = {
     "op7_chat_format": oracle.OP7,
     "op8_quality_rules": oracle.OP8,
     "op10_decontamination": oracle.OP10,
+    "op12_turn_repair": oracle.OP12,
 }
 
 
