@@ -62,6 +62,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def bitmap_of(hashes: DataFrame, bits: int) -> np.ndarray:
+    """``2 ** bits`` bits as unsigned 64-bit words, with the slot ``hash mod 2 ** bits`` of every row
+    of the one column set. Spark puts the words together; the driver gets them alone."""
+    h = F.col(hashes.columns[0])
+    slot = F.pmod(h, F.lit(1 << bits))
+    words = (hashes.groupBy(F.shiftright(slot, 6).alias("word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).toArrow())
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slot of each (64-bit) hash is set."""
+    at = hashes.view(np.uint64) & np.uint64(64 * len(bitmap) - 1)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def id_remainder(id_col: str | Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``: a split that ignores row order.
     NULL ids give NULL."""

@@ -4,9 +4,12 @@ bounded labelled samples."""
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bitmap_of, in_bitmap
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -39,19 +42,46 @@ def grams(points: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
 
 
 class SparseRows:
-    """Rows of ``(column, value)`` entries."""
+    """Rows of ``(column, value)`` entries, held flat in 32 bits; products go through some rows at a
+    time, so they need little more room than the rows themselves."""
+
+    ENTRIES = 1 << 18
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], columns: int) -> None:
-        self.row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
-        self.column = np.concatenate([i for i, _ in rows] or [np.zeros(0, np.int64)]).astype(np.int64)
-        self.value = np.concatenate([v for _, v in rows] or [np.zeros(0)])
-        self.shape = (len(rows), columns)
+        bounds = np.concatenate(([0], np.cumsum([len(i) for i, _ in rows], dtype=np.int64)))
+        self._hold(bounds, np.concatenate([np.asarray(i, np.int32) for i, _ in rows] or [np.zeros(0, np.int32)]),
+                   np.concatenate([np.asarray(v, np.float32) for _, v in rows] or [np.zeros(0, np.float32)]), columns)
+
+    @classmethod
+    def flat(cls, bounds: np.ndarray, column: np.ndarray, value: np.ndarray, columns: int) -> SparseRows:
+        """Rows ``bounds[i]:bounds[i + 1]`` of the entries."""
+        own = cls.__new__(cls)
+        own._hold(bounds, column.astype(np.int32), value.astype(np.float32), columns)
+        return own
+
+    def _hold(self, bounds, column, value, columns) -> None:
+        self.bounds, self.column, self.value = bounds, column, value
+        self.shape = (len(bounds) - 1, columns)
+        self.blocks, at = [], 0
+        while at < self.shape[0]:
+            stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + self.ENTRIES, "right")) - 1)
+            self.blocks.append((at, stop))
+            at = stop
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * w[self.column], self.shape[0])
+        out = np.zeros(self.shape[0])
+        for first, stop in self.blocks:
+            a, b = self.bounds[first], self.bounds[stop]
+            upto = np.concatenate(([0.0], np.cumsum(self.value[a:b] * w[self.column[a:b]])))
+            out[first:stop] = np.diff(upto[self.bounds[first:stop + 1] - a])
+        return out
 
     def back(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.column, self.value * g[self.row], self.shape[1])
+        out = np.zeros(self.shape[1])
+        for first, stop in self.blocks:
+            a, b = self.bounds[first], self.bounds[stop]
+            out += np.bincount(self.column[a:b], self.value[a:b] * np.repeat(g[first:stop], np.diff(self.bounds[first:stop + 1])), self.shape[1])
+        return out
 
 
 def minimise(gradient, size: int, steps: int, rate: float) -> np.ndarray:
@@ -94,3 +124,24 @@ def labelled_texts(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: st
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
     return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.text")
+
+
+def _room(n: int) -> int:
+    """Bits (as a power of two) of a bitmap for ``n`` ids: 16 and more an id, 2 kB to 32 MB."""
+    return min(28, max(14, (16 * n).bit_length()))
+
+
+def texts_of_labels(docs: DataFrame, usable: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(label, text)`` of every row with a usable label. A bitmap of the labelled ids drops nearly
+    all other rows where they are read, so the texts that are shuffled are those that count."""
+    bits = _room(usable.count())
+    held = docs.sparkSession.sparkContext.broadcast(bitmap_of(usable.select(F.xxhash64("doc_id")), bits))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("hash", F.xxhash64("doc_id"))
+
+    def pick(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(held.value, batch.column(2).to_numpy()))).select([0, 1])
+
+    picked = texts.mapInArrow(pick, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, text string")
+    # The hint keeps the plan the same at every size.
+    return picked.join(usable.hint("merge"), "doc_id").select("label", "text")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PARTIAL_COUNTS, partial_counts, share, shared, sum_counts
-from .linear import SparseRows, class_weights, grams, labelled_texts, letters, minimise, sampled_labels, usable_labels
+from .linear import SparseRows, class_weights, grams, labelled_texts, letters, minimise, sampled_labels, texts_of_labels, usable_labels
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
@@ -78,8 +78,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
     from, the counts take each row; other columns are not read. Without rows of both classes the
     model scores 0 for every text."""
     usable = usable_labels(labels, "doc_id", label_col, keep)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    learnt = texts.join(usable, "doc_id").select("label", "text")
+    learnt = texts_of_labels(docs, usable, id_col, text_col)
 
     def count(batches):
         total = np.zeros((2, (1 << BITS) + 1), np.int64)
@@ -89,8 +88,9 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
                 total[label, -1] += 1
         yield from partial_counts(total.ravel())
 
-    counted = learnt.mapInArrow(count, PARTIAL_COUNTS)
-    counts = sum_counts(counted, counted.rdd.getNumPartitions(), 2 * ((1 << BITS) + 1)).reshape(2, -1)
+    # The join's tasks: as many as a shuffle has, or a few more where Spark splits one.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = sum_counts(learnt.mapInArrow(count, PARTIAL_COUNTS), tasks, 2 * ((1 << BITS) + 1)).reshape(2, -1)
     sizes = (int(counts[0, -1]), int(counts[1, -1]))
     if not all(sizes):
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), -np.inf)
@@ -106,13 +106,17 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
             found = [own.rows(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(np.int32) for x in found], pa.list_(pa.int32()))], names=["label", "found"])
 
-    rows = sample.mapInArrow(reduce, "label int, found array<int>").toPandas()
-    scaled = []
-    for at in rows["found"]:
-        x = model.scale[np.asarray(at, np.int64)]
-        scaled.append((np.asarray(at, np.int64), x / max(1.0, np.sqrt(x @ x))))
-    x, y = SparseRows(scaled, len(model.column)), np.where(rows["label"] == 1, 1.0, -1.0)
-    weight = weights[rows["label"].to_numpy()]
+    rows = sample.mapInArrow(reduce, "label int, found array<int>").toArrow()
+    label = rows["label"].to_numpy()
+    found = rows["found"].combine_chunks()
+    column = found.flatten().to_numpy()
+    bounds = np.concatenate(([0], np.cumsum(found.value_lengths().to_numpy(), dtype=np.int64)))
+    value = model.scale[column].astype(np.float32)
+    length = np.sqrt(np.diff(np.concatenate(([0.0], np.cumsum(value.astype(np.float64) ** 2)))[bounds]))
+    value /= np.repeat(np.maximum(1.0, length), np.diff(bounds)).astype(np.float32)
+    x, y = SparseRows.flat(bounds, column, value, len(model.column)), np.where(label == 1, 1.0, -1.0)
+    del rows, found, column, value
+    weight = weights[label]
     importance = np.where(y > 0, POSITIVE_WEIGHT, 1.0) * weight / weight.sum()
 
     def gradient(w):
