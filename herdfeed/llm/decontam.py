@@ -3,31 +3,35 @@ test items; training words stream through it and the longest matching length end
 word decides which spans of a text repeat a test item.
 
 Spark hashes and counts the items' words and deals them into blocks of at most ``BLOCK_WORDS``
-words; the driver builds and broadcasts the automaton of one block after the other. A task runs
-each group of its documents against every block, so the item set may be of any size. Documents
-never shuffle. A word that no item of a block holds sends the automaton to its root, so only runs
-of item words that are as long as the shortest window need the stream; all other words are passed
-over in numpy.
+words, so the item set may be of any size. A bitmap of the hashes of all windows of all blocks picks
+the texts that may hold one; all others are done with, without a shuffle. The picked texts are
+written once and run against the automaton of one block after the other, which is the only one that
+a task holds; what the blocks find is put together by row. A word that no item of a block holds sends
+the automaton to its root, so only runs of item words that are as long as the shortest window need
+the stream.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import share, shared, written
-from .textbytes import ALNUM, hash_words, text_chunks, word_bounds, words_of, _LOWER
+from .common import bitmap_of, free_name, in_bitmap, share, shared, written
+from .textbytes import ALNUM, hash_words, mix, shingles, text_chunks, word_bounds, words_of, _LOWER
 
 WINDOW = 10
-#: Words of a block of items; its automaton takes about 1.1 kB a word in a worker while it is loaded.
+#: Words of a block of items; its automaton takes about 1.1 kB a word in a worker.
 BLOCK_WORDS = 250_000
-#: Bytes of texts that a task runs against one block after the other, if there are several.
-GROUP_BYTES = 32 << 20
+#: Bits of the bitmap of windows: 48 and more a window, within these sizes (8 kB to 32 MB), and bits
+#: that a window sets. With that room one in 400,000 other windows is taken for one of an item.
+LEAST_BITS, MOST_BITS, PROBES = 16, 28, 6
 
 
 class SuffixAutomaton:
@@ -178,50 +182,71 @@ def item_pieces(benchmark: DataFrame, id_col: str, text_col: str, width: int) ->
     return written(items.mapInArrow(split, "pack long, item string, n_words long, words binary"), "benchmark-items")
 
 
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> list[Broadcast]:
-    """Broadcast :class:`ItemIndex` of each block of a benchmark table; at least one."""
-    pieces = item_pieces(benchmark, id_col, text_col, width)
-    ranges, total = [], 0
-    for pack, n in sorted(pieces.groupBy("pack").agg(F.sum("n_words")).collect()):
-        if not ranges or total + n > BLOCK_WORDS:
-            ranges.append([pack, pack])
-            total = 0
-        ranges[-1][1] = pack
-        total += n
-    handles = []
-    for low, high in ranges or [(0, 0)]:
-        table = pieces.filter(F.col("pack").between(low, high)).select("item", "words").toArrow()
-        items = [(item, np.frombuffer(words, "<u8")) for item, words in zip(table["item"].to_pylist(), table["words"].to_pylist())]
-        handles.append(share(benchmark.sparkSession, ItemIndex(items, width)))
-    return handles
-
-
-class Blocks:
-    """A task's view of the broadcast blocks: the only one stays loaded, several come one at a time."""
-
-    def __init__(self, handles: list[Broadcast]) -> None:
-        self.handles = handles
-        self.only = shared(handles[0]) if len(handles) == 1 else None
-
-    def load(self, handle: Broadcast) -> ItemIndex:
-        if self.only is not None:
-            return self.only
-        index = shared(handle)
-        if getattr(handle, "_path", None):  # the file is read again next time
-            vars(handle).pop("_value", None)
-        return index
-
-    def groups(self, batches, at: int):
-        """Lists of batches that go through the blocks together, by the size of column ``at``."""
-        group, size = [], 0
-        for batch in batches:
-            group.append(batch)
-            size += batch.column(at).nbytes
-            if self.only is not None or size >= GROUP_BYTES:
-                yield group
-                group, size = [], 0
-        if group:
-            yield group
+class Items:
+    """Blocks of a benchmark table's items, and the bitmap of all their windows."""
+
+    def __init__(self, benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WINDOW) -> None:
+        self.spark, self.width = benchmark.sparkSession, width
+        self.pieces = item_pieces(benchmark, id_col, text_col, width)
+        self.ranges: list[list[int]] = []
+        total = 0
+        for pack, n in sorted(self.pieces.groupBy("pack").agg(F.sum("n_words")).collect()):
+            if not self.ranges or total + n > BLOCK_WORDS:
+                self.ranges.append([pack, pack])
+                total = 0
+            self.ranges[-1][1] = pack
+            total += n
+        self.windows = WindowFilter(self.pieces, width)
+        self._handles: dict[int, Broadcast] = {}
+
+    def blocks(self):
+        """Broadcast :class:`ItemIndex` of one block after the other."""
+        for k, (low, high) in enumerate(self.ranges):
+            if k not in self._handles:
+                table = self.pieces.filter(F.col("pack").between(low, high)).select("item", "words").toArrow()
+                items = [(item, np.frombuffer(words, "<u8")) for item, words in zip(table["item"].to_pylist(), table["words"].to_pylist())]
+                self._handles[k] = share(self.spark, ItemIndex(items, self.width))
+            yield self._handles[k]
+            if len(self.ranges) > 1:
+                self._handles[k].unpersist()
+
+
+def _probe(hashes: np.ndarray, k: int) -> np.ndarray:
+    return mix(hashes + np.uint64(k)) if k else hashes
+
+
+class WindowFilter:
+    """Tells the texts that may hold a window of an item; no text that holds one is missed."""
+
+    def __init__(self, pieces: DataFrame, width: int) -> None:
+        size = F.least(F.col("n_words"), F.lit(width))
+        found = pieces.groupBy(size.alias("size")).agg(F.sum(F.col("n_words") - size + 1).alias("n")).collect()
+        self.sizes = sorted(int(r["size"]) for r in found)
+        bits = min(MOST_BITS, max(LEAST_BITS, (48 * sum(int(r["n"]) for r in found)).bit_length()))
+
+        def hashes(batches):
+            for batch in batches:
+                for words in batch.column(0).to_pylist():
+                    own = shingles(np.frombuffer(words, "<u8").astype(np.uint64), width)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([_probe(own, k) for k in range(PROBES)]).view(np.int64))], names=["hash"])
+
+        self.bitmap = bitmap_of(pieces.select("words").mapInArrow(hashes, "hash long"), bits)
+
+    def judge(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """Words of each text, and whether it may hold a window."""
+        counts, flags = [], []
+        for _, words in words_of(column, ALNUM):
+            may = np.zeros(words.n_texts, bool)
+            for size in self.sizes:
+                if len(words.hashes) >= size:
+                    runs = shingles(words.hashes, size)
+                    at = np.arange(len(runs))
+                    for k in range(PROBES):
+                        at = at[in_bitmap(self.bitmap, _probe(runs[at], k))]
+                    text = np.searchsorted(words.first, at, "right") - 1
+                    may[text[at + size <= words.first[text + 1]]] = True
+            counts.append(np.diff(words.first)), flags.append(may)
+        return np.concatenate(counts or [np.zeros(0, np.int64)]), np.concatenate(flags or [np.zeros(0, bool)])
 
 
 def _hits(index: ItemIndex, symbols: np.ndarray) -> tuple[np.ndarray, set[str]]:
@@ -238,6 +263,16 @@ def _hits(index: ItemIndex, symbols: np.ndarray) -> tuple[np.ndarray, set[str]]:
     return np.cumsum(hit[:-1]) > 0, items
 
 
+def _without(raw: np.ndarray, start: np.ndarray, end: np.ndarray, mask: np.ndarray) -> bytes:
+    """The text without its hit words, each run of them cut from its first to its last byte."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
+    kept, since = [], 0
+    for a, b in zip(edge[::2], edge[1::2]):
+        kept.append(raw[since:start[a]].tobytes())
+        since = end[b - 1]
+    return b"".join([*kept, raw[since:].tobytes()])
+
+
 def _split(column):
     """Per chunk of whole texts: first row, bytes, offsets, word starts and ends (bytes), first
     word of each text, word hashes."""
@@ -247,36 +282,54 @@ def _split(column):
         yield row, raw, offsets, start, end, first, hash_words(data, start, end)
 
 
-def _matches(blocks: Blocks, columns: list) -> tuple[list[list[int]], list[dict[int, list]]]:
-    """Per column: words of each row, and ``[bytes, word starts, word ends, hit mask, items]`` of
-    the rows with a hit, over all blocks."""
-    words: list[list[int]] = [[] for _ in columns]
-    found: list[dict[int, list]] = [{} for _ in columns]
-    split = [_split(column) for column in columns]
-    if blocks.only is None:
-        split = [list(chunks) for chunks in split]
-    for k, handle in enumerate(blocks.handles):
-        index = blocks.load(handle)
-        for counts, rows, chunks in zip(words, found, split):
-            for row, raw, offsets, start, end, first, hashes in chunks:
-                if not k:
-                    counts.extend(np.diff(first).tolist())
-                if not index.sizes:
-                    continue
-                symbols = index.symbols(hashes)
-                known = np.concatenate(([0], np.cumsum(symbols >= 0)))
-                for i in np.flatnonzero(np.diff(known[first]) >= index.sizes[0]).tolist():
-                    a, b = first[i], first[i + 1]
-                    mask, items = _hits(index, symbols[a:b])
-                    if not items:
-                        continue
-                    if row + i in rows:
-                        rows[row + i][3] |= mask
-                        rows[row + i][4] |= items
-                    else:
-                        rows[row + i] = [raw[offsets[i]:offsets[i + 1]], start[a:b] - offsets[i], end[a:b] - offsets[i], mask, items]
-        del index  # before the next one is loaded
-    return words, found
+def _matches(index: ItemIndex, column):
+    """``(row, hit mask over its words, items)`` of each text of the column with a hit."""
+    for row, _, _, _, _, first, hashes in _split(column):
+        symbols = index.symbols(hashes)
+        known = np.concatenate(([0], np.cumsum(symbols >= 0)))
+        for i in np.flatnonzero(np.diff(known[first]) >= index.sizes[0]).tolist():
+            mask, items = _hits(index, symbols[first[i]:first[i + 1]])
+            if items:
+                yield row + i, mask, items
+
+
+def _hits_by_row(texts: DataFrame, items: Items, key: str) -> DataFrame:
+    """``key, mask, items`` of the rows of ``(key, text)`` with a hit in any block: the hit words as
+    packed bits. One block's automaton is in use at a time."""
+    schema = f"`{key}` long, mask binary, items array<string>"
+
+    def match(handle):
+        def work(batches):
+            index = shared(handle)
+            for batch in batches:
+                found = list(_matches(index, batch.column(1)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array([r for r, _, _ in found], pa.int64())), pa.array([np.packbits(m).tobytes() for _, m, _ in found], pa.binary()),
+                     pa.array([sorted(i) for _, _, i in found], pa.list_(pa.string()))], names=[key, "mask", "items"])
+        return work
+
+    def merge(table: pa.Table) -> pa.Table:
+        masks = [np.frombuffer(m, np.uint8) for m in table["mask"].to_pylist()]
+        names = sorted({i for own in table["items"].to_pylist() for i in own})
+        return pa.table({key: table[key][:1], "mask": pa.array([np.bitwise_or.reduce(masks).tobytes()], pa.binary()), "items": pa.array([names], pa.list_(pa.string()))})
+
+    parts = [written(texts.mapInArrow(match(handle), schema), "benchmark-hits") for handle in items.blocks()]
+    if not parts:
+        return texts.sparkSession.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else reduce(DataFrame.union, parts).groupBy(key).applyInArrow(merge, schema)
+
+
+def _suspects(docs: DataFrame, items: Items, text_col: str, key: str) -> DataFrame:
+    """Written table of the rows that may hold a window, with a row number."""
+    windows = share(docs.sparkSession, items.windows)
+    at = docs.columns.index(text_col)
+
+    def pick(batches):
+        own = shared(windows)
+        for batch in batches:
+            yield batch.filter(pa.array(own.judge(batch.column(at))[1]))
+
+    return written(docs.mapInArrow(pick, docs.schema).withColumn(key, F.monotonically_increasing_id()), "benchmark-suspects")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -287,25 +340,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A word is hit if it lies in an occurrence of a window. NULL and empty texts have no words;
     repeated rows each give a row; an empty item table hits nothing; other columns are not read.
     """
-    handles = item_blocks(benchmark, width=width)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-
-    def judge(batches):
-        blocks = Blocks(handles)
-        nothing = hashlib.sha256(b"").hexdigest()
-        for group in blocks.groups(batches, 1):
-            for batch, words, found in zip(group, *_matches(blocks, [batch.column(1) for batch in group])):
-                hits, counts, digests = [0] * len(words), [0] * len(words), [nothing] * len(words)
-                for row, (_, _, _, mask, items) in found.items():
-                    hits[row], counts[row] = int(mask.sum()), len(items)
-                    digests[row] = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()),
-                     pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())],
-                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    items = Items(benchmark, width=width)
+    windows = share(docs.sparkSession, items.windows)
+    nothing = hashlib.sha256(b"").hexdigest()
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(judge, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    schema = f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+    def batch_of(ids, words, hits, counts, digests):
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(words, pa.int64()), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_())],
+            names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+    def clean(batches):
+        own = shared(windows)
+        for batch in batches:
+            words, may = own.judge(batch.column(1))
+            n = int((~may).sum())
+            yield batch_of(batch.column(0).filter(pa.array(~may)), words[~may], [0] * n, [0] * n, [nothing] * n)
+
+    def report(batches):
+        own = shared(windows)
+        for batch in batches:
+            masks, names = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            hits = [int(np.unpackbits(np.frombuffer(m, np.uint8)).sum()) if m else 0 for m in masks]
+            digests = [hashlib.sha256(",".join(sorted(x or ())).encode()).hexdigest() for x in names]
+            yield batch_of(batch.column(0), own.judge(batch.column(1))[0], hits, [len(x or ()) for x in names], digests)
+
+    suspects = _suspects(rows, items, "text", "row")
+    found = suspects.join(_hits_by_row(suspects.select("row", "text"), items, "row"), "row", "left").select("doc_id", "text", "mask", "items")
+    return rows.mapInArrow(clean, schema).union(found.mapInArrow(report, schema))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", width: int = WINDOW,
@@ -317,45 +381,48 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     of which more than ``max_coverage`` of the words are hit is removed. Rows without a hit keep
     their text byte for byte; NULL texts stay NULL.
     """
-    handles = item_blocks(benchmark, width=width)
-    schema = docs.schema
-    at = docs.columns.index(text_col)
-
-    def cut(raw, start, end, mask) -> bytes:
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
-        kept, since = [], 0
-        for a, b in zip(edge[::2], edge[1::2]):
-            kept.append(raw[since:start[a]].tobytes())
-            since = end[b - 1]
-        return b"".join([*kept, raw[since:].tobytes()])
+    items = Items(benchmark, width=width)
+    windows = share(docs.sparkSession, items.windows)
+    columns, at = docs.columns, docs.columns.index(text_col)
+    key, mask, changed = (free_name(docs, name) for name in ("row", "mask", "changed"))
 
     def clean(batches):
-        blocks = Blocks(handles)
-        for group in blocks.groups(batches, at):
-            changed: list[dict[int, str]] = [{} for _ in group]
-            dropped: list[list[int]] = [[] for _ in group]
-            todo = []
-            for k, rows in enumerate(_matches(blocks, [batch.column(at) for batch in group])[1]):
-                for row, (raw, start, end, mask, _) in rows.items():
-                    if mask.mean() > max_coverage:
-                        dropped[k].append(row)
-                    else:
-                        todo.append((k, row, cut(raw, start, end, mask)))
-            # Words that a cut brings together can form a window again.
-            while todo:
-                for k, row, text in todo:
-                    changed[k][row] = text.decode()
-                again = _matches(blocks, [pa.array([text.decode() for _, _, text in todo], pa.large_string())])[1][0]
-                todo = [(*todo[i][:2], cut(raw, start, end, mask)) for i, (raw, start, end, mask, _) in again.items()]
-            for batch, texts_of, out in zip(group, changed, dropped):
-                if texts_of:
-                    column = batch.column(at)
-                    texts = column.to_pylist()
-                    for row, text in texts_of.items():
-                        texts[row] = text
-                    batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
-                if out:
-                    batch = batch.take(pa.array(np.setdiff1d(np.arange(batch.num_rows), out)))
-                yield batch
-
-    return docs.mapInArrow(clean, schema)
+        own = shared(windows)
+        for batch in batches:
+            yield batch.filter(pa.array(~own.judge(batch.column(at))[1]))
+
+    def cut(first_round: bool):
+        def work(batches):
+            for batch in batches:
+                masks, texts = batch.column(len(columns) + 1).to_pylist(), batch.column(at).to_pylist()
+                dropped = np.zeros(batch.num_rows, bool)
+                hit = [i for i, m in enumerate(masks) if m]
+                for row, raw, offsets, start, end, first, _ in _split(batch.column(at).take(pa.array(hit, pa.int64()))):
+                    for k in range(len(offsets) - 1):
+                        i, a, b = hit[row + k], first[k], first[k + 1]
+                        own = np.unpackbits(np.frombuffer(masks[i], np.uint8), count=b - a).astype(bool)
+                        if first_round and own.mean() > max_coverage:
+                            dropped[i] = True
+                        else:
+                            texts[i] = _without(raw[offsets[k]:offsets[k + 1]], start[a:b] - offsets[k], end[a:b] - offsets[k], own).decode()
+                out = pa.RecordBatch.from_arrays(
+                    [*[pa.array(texts, batch.column(at).type) if k == at else batch.column(k) for k in range(len(columns))], pa.array([bool(m) for m in masks], pa.bool_())],
+                    names=[*columns, changed])
+                yield out.filter(pa.array(~dropped))
+        return work
+
+    flagged = T.StructType([*docs.schema.fields, T.StructField(changed, T.BooleanType())])
+    done = [docs.mapInArrow(clean, docs.schema)]
+    rest, first_round = docs, True
+    while True:
+        suspects = _suspects(rest, items, text_col, key)
+        hits = _hits_by_row(suspects.select(key, F.col(text_col).alias("text")), items, key).select(key, F.col("mask").alias(mask))
+        both = suspects.join(hits, key, "left").select(*columns, key, mask)
+        out = written(both.mapInArrow(cut(first_round), flagged), "benchmark-cut")
+        # A written table has lost which columns are never NULL; the schema says it again.
+        done.append(out.filter(~F.col(changed)).select(columns).mapInArrow(lambda batches: batches, docs.schema))
+        # Words that a cut brings together can form a window again.
+        rest, first_round = out.filter(changed).select(columns), False
+        if rest.isEmpty():
+            return reduce(DataFrame.union, done)
+        done.append(rest.mapInArrow(clean, docs.schema))

@@ -110,9 +110,7 @@ def test_items_beyond_one_block_all_count(spark, odd, monkeypatch, bound):
     for name in ("BLOCK_WORDS", "MAX_ITEM_WORDS"):
         monkeypatch.setattr(decontam, name, bound, raising=False)
     same(contamination(docs, items), c.execute(oracle.OP10))
-    monkeypatch.setattr(decontam, "GROUP_BYTES", 100)
-    same(contamination(docs, items), c.execute(oracle.OP10))
-    assert len(decontam.item_blocks(items)) > 1
+    assert len(decontam.Items(items).ranges) > 1
     passage = "red green blue cyan pink grey teal gold navy lime plum"
     more = items.select("item_id", "text").union(spark.createDataFrame([(3, passage), (8, "left right")], "item_id long, text string"))
     # Cutting the passage brings the words of item 8 together; cutting those, the words of item 3.
@@ -126,6 +124,28 @@ def test_items_beyond_one_block_all_count(spark, odd, monkeypatch, bound):
     assert ["keep", "these"] in [r.text.split() for r in got if r.text]
 
 
+def test_window_filter_misses_no_window(spark):
+    """Every window of every item, long or short, alone and inside a text, is told; few others are."""
+    import numpy as np
+    import pyarrow as pa
+
+    from herdfeed.llm import decontam
+
+    rng = np.random.default_rng(4)
+    items = [(f"i{k}", " ".join(f"w{x}" for x in rng.integers(0, 400, n))) for k, n in enumerate([1, 3, 9, 10, 11, 40, 400])]
+    own = decontam.Items(spark.createDataFrame([*items, ("none", None), ("empty", "..."), (None, "w1 w2")], "item_id string, text string")).windows
+    assert own.sizes == [1, 3, 9, 10]
+    own.sizes = [3, 9, 10]
+    texts = [None, "", "zz"]
+    for _, text in items[1:]:
+        words = text.split()
+        texts += ["zz yy " + " ".join(words[k:k + 10]) + " xx" for k in range(max(1, len(words) - 9))]
+    texts += [" ".join(f"w{x}" for x in rng.integers(400, 800, 30)) for _ in range(200)]
+    counts, may = own.judge(pa.array(texts))
+    assert counts.tolist() == [len((t or "").split()) for t in texts]
+    assert not may[:3].any() and may[3:-200].all() and may[-200:].mean() < 0.05
+
+
 def test_ngram_join_odd_rows(spark, odd):
     _, docs, _ = odd
     got = in_order(ngram_jaccard_join(docs).collect())
