@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PARTIAL_COUNTS, partial_counts, sum_counts, written
+from .common import PARTIAL_COUNTS, bitmap_of, in_bitmap, partial_counts, sum_counts, written
 from .components import connected_components
 from .textbytes import NON_SPACE, mix, shingles, words_of
 
 COUNTER_BITS = 20
-BITMAP_BITS = 24
+#: Bits of the bitmap of wanted texts: 16 and more a text, within these sizes (2 kB to 32 MB).
+LEAST_BITS, MOST_BITS = 14, 28
 SUFFIX_PARTS = 64
 
 
@@ -107,30 +108,31 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
 
 
 def _whole_sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -> DataFrame:
-    """``(cls, shingles)`` of the wanted ``(cls, text_hash)``, one row each. Texts are picked by
-    a bitmap of fixed size over the text hash, so only they are split again; the classes that
-    it lets through by chance go in the join that follows."""
-    slot = F.pmod(F.col("text_hash"), F.lit(1 << BITMAP_BITS))
-    words = (wanted.groupBy(F.shiftright(slot, 6).alias("word"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(text_hash, {1 << BITMAP_BITS}) & 63 as int))")).alias("bits")).toArrow())
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    """``(cls, shingles)`` of the wanted ``(cls, text_hash)``, one row each. A bitmap over the text
+    hash, with room for the wanted texts up to ``MOST_BITS``, drops nearly all other texts where they
+    are read; a semi-join on the hash drops the rest. Only wanted texts are split into sets."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * wanted.count()).bit_length()))
+    bitmap = bitmap_of(wanted.select("text_hash"), bits)
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap)
     rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
 
     def pick(batches):
-        bits = bitmap.value
+        held = bitmap.value
         for batch in batches:
-            at = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) & ((1 << BITMAP_BITS) - 1)
-            found = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            found = np.flatnonzero(in_bitmap(held, batch.column(1).to_numpy()))
             if len(found):
-                seen: dict[bytes, np.ndarray] = {}
-                for s in _sets(batch.column(0).take(pa.array(found)), width):
-                    if len(s):
-                        seen.setdefault(_set_key(s), s)
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), _lists(list(seen.values()))], names=["cls", "shingles"])
+                yield batch.take(pa.array(found))
 
-    found = rows.mapInArrow(pick, "cls binary, shingles array<long>")
+    def split(batches):
+        for batch in batches:
+            seen: dict[bytes, np.ndarray] = {}
+            for s in _sets(batch.column(0), width):
+                if len(s):
+                    seen.setdefault(_set_key(s), s)
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), _lists(list(seen.values()))], names=["cls", "shingles"])
+
+    picked = rows.mapInArrow(pick, "text string, text_hash long").join(wanted.select("text_hash").distinct(), "text_hash", "left_semi")
+    found = picked.select("text").mapInArrow(split, "cls binary, shingles array<long>")
     return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 
