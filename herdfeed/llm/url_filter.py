@@ -2,8 +2,8 @@
 host and path by a unigram Viterbi search, scored by multinomial naive Bayes.
 
 Both models are learnt from the data. Word counts behind the segmentation come from the words of
-texts and from the tokens between marks in hosts and paths, by one aggregate; the ``VOCABULARY`` most
-frequent words are kept. The classifier learns from the URLs that the rules decide: in how many
+texts and from the tokens between marks in hosts and paths, by one aggregate; the most frequent words,
+at most ``VOCABULARY``, are kept. The classifier learns from the URLs that the rules decide: in how many
 hosts of either verdict a word stands, so that a host counts once however many URLs it has. Fixed
 tables of frequent words and labelled names are added to these counts as a prior. Everything else
 is judged URL by URL, so nothing but counts is shuffled.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import share, shared
+from .common import share, shared, written
 
 # Frequent words of host names and paths, most frequent first.
 COMMON_WORDS = (
@@ -174,22 +174,34 @@ def _counted(words: Column) -> Column:
     return F.char_length(words).between(*WORD_LENGTHS)
 
 
+def _most_frequent(counts: DataFrame, n: str) -> list:
+    """The rows of the largest ``n``, at most ``VOCABULARY``: rows are counted by steps of 5 % of
+    ``n``, and the steps that fit are collected whole. So no task or driver holds more than them."""
+    counts = written(counts.withColumn("step", F.floor(F.log(F.col(n)) / math.log(1.05))), "words")
+    fits, least = 0, None
+    for step, rows in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        fits += rows
+        if fits > VOCABULARY:
+            break
+        least = step
+    return counts.filter(F.col("step") >= least).drop("step").collect() if least is not None else []
+
+
 def word_counts(urls: DataFrame, texts: DataFrame | None, text_col: str = "text") -> dict[str, int]:
-    """How often the ``VOCABULARY`` most frequent runs of letters a-z (ties: the least in order)
-    stand in the texts and in the distinct hosts and paths of ``urls``. Only these words come to
-    the driver."""
+    """How often the most frequent runs of letters a-z, at most ``VOCABULARY``, stand in the texts,
+    in the distinct hosts and in the paths of ``urls``. Only these words come to the driver."""
     lower = lambda c: F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     runs = lambda df, c: df.select(F.explode(F.split(lower(F.coalesce(c, F.lit(""))), "[^a-z]+")).alias("word"))
     words = runs(urls.select("host").distinct(), F.col("host")).union(runs(urls, F.col("path")))
     if texts is not None:
         words = words.union(runs(texts, F.col(text_col).cast("string")))
     counts = words.filter(_counted(F.col("word"))).groupBy("word").agg(F.count("*").alias("n"))
-    return dict(counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect())
+    return dict(_most_frequent(counts, "n"))
 
 
 def hosts_by_word(urls: DataFrame, classifier: NameClassifier) -> dict[str, tuple[int, int]]:
     """In how many hosts of blocked and of allowed URLs (those that a rule decides) each word of
-    their segmented hosts and paths stands; the ``VOCABULARY`` words of most hosts."""
+    their segmented hosts and paths stands; the words of most hosts, at most ``VOCABULARY``."""
     ruled = urls.filter("ruled IS NOT NULL").select("ruled", "host", "path")
 
     def split(batches):
@@ -201,7 +213,8 @@ def hosts_by_word(urls: DataFrame, classifier: NameClassifier) -> dict[str, tupl
 
     words = ruled.mapInArrow(split, "ruled string, host string, word string").distinct()
     counts = words.groupBy("word").agg(F.count_if(F.col("ruled") == "block").alias("blocked"), F.count_if(F.col("ruled") == "allow").alias("allowed"))
-    return {w: (b, a) for w, b, a in counts.orderBy(F.desc(F.col("blocked") + F.col("allowed")), "word").limit(VOCABULARY).collect()}
+    rows = _most_frequent(counts.withColumn("hosts", F.col("blocked") + F.col("allowed")), "hosts")
+    return {r.word: (r.blocked, r.allowed) for r in rows}
 
 
 def host_and_path(url: str | Column) -> tuple[Column, Column]:

@@ -85,7 +85,14 @@ def counted_words(pages, texts):
     urls = [parsed(u) for u in pages]
     lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
     found = Counter(w for t in [*{h for h, _ in urls}, *[p for _, p in urls], *texts] for w in re.findall("[a-z]+", lower(t)) if 2 <= len(w) <= 20)
-    return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:url_filter.VOCABULARY])
+    steps = Counter(math.floor(math.log(n) / math.log(1.05)) for n in found.values())
+    least, fits = math.inf, 0
+    for step in sorted(steps, reverse=True):
+        fits += steps[step]
+        if fits > url_filter.VOCABULARY:
+            break
+        least = step
+    return {w: n for w, n in found.items() if math.floor(math.log(n) / math.log(1.05)) >= least}
 
 
 def test_url_score_by_hand(spark, monkeypatch):
