@@ -41,6 +41,14 @@ def grams(points: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
+def distinct(values: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+    """The values, each once, in the order of their last places; ``scratch`` has room for each value
+    and may hold anything. Unlike a sort it takes time in proportion."""
+    at = np.arange(len(values), dtype=scratch.dtype)
+    scratch[values] = at
+    return values[scratch[values] == at]
+
+
 class SparseRows:
     """Rows of ``(column, value)`` entries, held flat in 32 bits; products go through some rows at a
     time, so they need little more room than the rows themselves."""

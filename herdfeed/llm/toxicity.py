@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import PARTIAL_COUNTS, partial_counts, share, shared, sum_counts
-from .linear import SparseRows, class_weights, grams, labelled_texts, letters, minimise, sampled_labels, texts_of_labels, usable_labels
+from .linear import SparseRows, class_weights, distinct, grams, labelled_texts, letters, minimise, sampled_labels, texts_of_labels, usable_labels
 
 BITS = 20
 SIZES = (3, 4, 5, 6)
@@ -43,13 +43,14 @@ class Model:
     bias: float
 
     def __post_init__(self) -> None:
-        self.kept = np.zeros(1 << BITS, bool)
-        self.kept[self.column] = True
+        self.place = np.full(1 << BITS, -1, np.int32)
+        self.place[self.column] = np.arange(len(self.column))
+        self.scratch = np.zeros(len(self.column), np.int32)
 
     def rows(self, text: str | None) -> np.ndarray:
-        """Positions (in ``column``) of the text's kept features."""
-        found = grams(letters(text), SIZES, BITS)
-        return np.searchsorted(self.column, np.unique(found[self.kept[found]]))
+        """Positions (in ``column``) of the text's kept features, each once."""
+        found = self.place[grams(letters(text), SIZES, BITS)]
+        return distinct(found[found >= 0], self.scratch)
 
     def score(self, text: str | None) -> float:
         at = self.rows(text)
@@ -81,10 +82,10 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_i
     learnt = texts_of_labels(docs, usable, id_col, text_col)
 
     def count(batches):
-        total = np.zeros((2, (1 << BITS) + 1), np.int64)
+        total, scratch = np.zeros((2, (1 << BITS) + 1), np.int64), np.zeros(1 << BITS, np.int32)
         for batch in batches:
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[label, np.unique(grams(letters(text), SIZES, BITS))] += 1
+                total[label, distinct(grams(letters(text), SIZES, BITS), scratch)] += 1
                 total[label, -1] += 1
         yield from partial_counts(total.ravel())
 
