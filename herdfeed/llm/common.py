@@ -34,11 +34,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
     """Let this session send texts to Python workers in small batches. Jobs call it; the
     operators themselves leave the session's settings alone."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
