@@ -20,13 +20,16 @@ from herdfeed.llm.queries import tokenizer_path
 
 #: A text is rejected if its language is undetermined or told with a lower score.
 MIN_LANGUAGE_SCORE = 0.3
+#: Rows and bytes of an Arrow batch: workers and executors keep what each stage once took, so the
+#: stages of one job get by with less than a query alone.
+BATCH = (300, 1 << 20)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier calls toxic. NULL and empty texts have the base
     rate and stay unless most labelled texts are toxic; repeated rows are judged alike; other
     columns pass through. Without labels of both classes nothing goes."""
-    small_batches(spark)
+    small_batches(spark, *BATCH)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), id_remainder("doc_id", 3) != 1)
     return toxicity.keep_clean(docs, model)
 
@@ -35,7 +38,7 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Without the documents whose language can't be told: NULL texts, texts without a letter, and
     those told with a lower score than ``MIN_LANGUAGE_SCORE``. Repeated rows are judged alike; other
     columns pass through. Without any known language every document goes."""
-    small_batches(spark)
+    small_batches(spark, *BATCH)
     return langid.keep_known(docs, langid.train(docs, id_remainder("doc_id", 4) != 2), MIN_LANGUAGE_SCORE)
 
 
@@ -43,7 +46,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of each component: that with the smallest ``doc_id`` (rows without one come last),
     ties by the row's place. Every row is compared, whether its id is missing, repeated or not;
     NULL and empty texts link with nothing and stay."""
-    small_batches(spark)
+    small_batches(spark, *BATCH)
     key = free_name(docs, "row")
     keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows")
     places = ngram_jaccard_join(keyed, id_col=key).select(F.col("doc_id").alias(key), "component_id")
@@ -55,7 +58,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the passages of test items; ``n_chars`` follows the text. A text that is nothing else
     goes; NULL and empty texts stay; repeated rows are cut alike; other columns pass through."""
-    small_batches(spark)
+    small_batches(spark, *BATCH)
     clean = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
@@ -63,7 +66,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 tokens. NULL and empty texts are their end id alone; repeated
     rows are packed each; an empty table gives no pieces."""
-    small_batches(spark)
+    small_batches(spark, *BATCH)
     return pack_documents(docs, tokenizer_path())
 
 
