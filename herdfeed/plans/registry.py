@@ -19,7 +19,7 @@ from ..functions import (
 from ..functions.dates import calendar_parts
 from ..functions.stats import add_t_interval
 from ..operators import feed, herd
-from ..session import scratch_path
+from ..session import compiled_methods, scratch_path
 from ..sinks import (
     coerce_dates, load_csv_directory, round_floats, run_profile, sort_nulls_last, with_position, write_tables,
 )
@@ -590,6 +590,14 @@ RAW_QUERIES: dict[str, Query] = {
 }
 
 
+def _checked(fn: Query) -> Query:
+    def run(spark, sf):
+        compiled_methods(spark)
+        return round_for_check(fn(spark, sf))
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     """Every registered query, with float columns rounded for the oracle check."""
-    return {name: (lambda spark, sf, _fn=fn: round_for_check(_fn(spark, sf))) for name, fn in RAW_QUERIES.items()}
+    return {name: _checked(fn) for name, fn in RAW_QUERIES.items()}

@@ -14,6 +14,8 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+HUGE_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
 # Settings every session used with this library should have. ANSI stays on (Spark 4
 # default); all parsing goes through try_* functions instead.
 RECOMMENDED_CONF = {
@@ -21,9 +23,18 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method of more bytecode than this. Wide cleaning and rounding
+    # projections exceed it when fused into one method; run apart, their code is compiled.
+    HUGE_METHOD_LIMIT: "8000",
 }
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Let this session run no generated method that the JVM would only interpret. The registered
+    queries call it; the operators themselves leave the session's settings alone."""
+    spark.conf.set(HUGE_METHOD_LIMIT, RECOMMENDED_CONF[HUGE_METHOD_LIMIT])
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "herdfeed") -> SparkSession:
     """A local session for tests and benchmarks (UI off, loopback driver host)."""
     builder = (

@@ -49,10 +49,13 @@ def apply_ingredient_map(df: DataFrame, source_col: str, out_col: str = "ingredi
     ``drop_missing`` drops rows whose code would be NULL. It filters on the equivalent
     cheap test (a user-map hit or a non-empty compact key) *before* the rule chain is
     built: a filter on the finished code would be pushed below the projections with
-    the whole rule chain inlined into it."""
+    the whole rule chain inlined into it. The rows left all have a code, and the column says
+    so (it is not nullable): joins on it then add no such filter by themselves."""
     keyed = df.withColumn("__upper", name_key(source_col, df.schema[source_col].dataType))
     keyed = keyed.withColumn("__compact", compact_key(F.col("__upper")))
     rules = rule_code(F.col("__upper"), F.col("__compact"))
+    if drop_missing:
+        rules = F.coalesce(rules, F.lit(""))
     has_key = F.col("__compact").isNotNull() & (F.col("__compact") != "")
     if mapping is None or (not isinstance(mapping, DataFrame) and not mapping):
         out = keyed.filter(has_key) if drop_missing else keyed

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from herdfeed.operators import feed, herd
 from herdfeed.plans import bindings as B
-from herdfeed.plans.registry import RAW_QUERIES
+from herdfeed.plans.registry import RAW_QUERIES, queries
 
 PYTHON_NODES = re.compile(r"BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF")
 
@@ -29,6 +29,38 @@ def test_nutrient_dimension_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
 
 
+def test_nutrient_join_adds_no_filter_on_finished_codes(spark):
+    raw = spark.createDataFrame([("corn silage", 1.0, "2024-01-01"), ("old hay", 2.0, None), ("--", 3.0, None)], "ingredient string, protein double, date string")
+    fed = spark.createDataFrame([("2024-01-01", "r", "Corn Silage x", 1.0, 2.0), ("2024-01-01", "r", "wheat", 1.0, 2.0)],
+                                "date string, recipe string, ingredient string, dry_call_weight double, dry_actual_weight double")
+    ff, nt = feed.clean_feed_intake(fed), feed.prepare_nutrient_table(raw)
+    joined = feed.join_nutrient(ff, nt)
+    rules = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("keys: [CSL")
+    assert rules(joined) == rules(ff) + rules(nt)
+    assert sorted(tuple(r) for r in joined.select("ingredient_code", "protein_pct").collect()) == [("CSL", 1.0), ("WHE", None)]
+    missing = feed.missing_nutrients(feed.nutrient_delivery(ff, nt))
+    assert rules(missing) == rules(ff) + rules(nt) and [r[0] for r in missing.collect()] == ["WHE"]
+
+
+def test_nutrient_table_of_built_in_codes_is_broadcast_whatever_its_source(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ff = feed.clean_feed_intake(B.b_feed(spark, SF_SMALL))
+        nt = lambda **kw: feed.prepare_nutrient_table(B.b_nutrient(spark, SF_SMALL), ordinal_col="ordinal", **kw)
+        own = spark.createDataFrame([("RED", "r")], "map_key string, map_code string")
+        assert "BroadcastHashJoin" in plan_of(feed.join_nutrient(ff, nt()))
+        assert "BroadcastHashJoin" not in plan_of(feed.join_nutrient(ff, nt(ingredient_mapping=own)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_queries_run_no_method_too_large_to_compile(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(limit)
+    queries()["nutrient_delivery"](spark, SF_SMALL)
+    assert spark.conf.get(limit) == "8000"
+
+
 def test_fused_formula_error_has_no_join_of_its_own(spark):
     ff = feed.prepare_feed_intake(B.b_feed(spark, SF_SMALL), group_by_pen=True)
     nt = feed.prepare_nutrient_table(B.b_nutrient(spark, SF_SMALL), ordinal_col="ordinal")
