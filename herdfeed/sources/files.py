@@ -92,8 +92,8 @@ def header_lines(spark: SparkSession, path: str | Sequence[str], sep: str | None
     lines = reader.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("file"), scan_order().alias("order"), F.regexp_replace("value", "^\\ufeff", "").alias("value"))
     line = F.col("value")
-    odd = F.contains(line, F.lit('"')) & (F.length(F.regexp_replace(line, '[^"]', "")) % 2 == 1)
-    shown = F.when(F.regexp_replace(line, r"\s", "") != "", F.col("order"))
+    odd = F.contains(line, F.lit('"')) & ((F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1)
+    shown = F.when(F.rlike(line, F.lit(r"\S")), F.col("order"))
     files = lines.groupBy("file").agg(F.min_by("value", shown).alias("header"), F.max(odd | ends_open(line, (sep,) if sep else SNIFF_SEPARATORS)).alias("broken"), F.min(shown).alias("first"))
     # Spark's reader looks for a header in a file's first split only.
     files = files.select("file", "header", (F.col("broken") | (F.col("first.at") > 0)).alias("broken"))

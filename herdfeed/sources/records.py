@@ -49,6 +49,18 @@ def _put_together(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return df.withColumns({"sets_before": F.lag("sets").over(rows), "turns_before": F.coalesce(F.lag("turns").over(rows), F.lit(False))}).drop("turned", "turned_then")
 
 
+def _lines(spark: SparkSession, files: Sequence[str], first_splits: bool) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "^\\ufeff", "").alias("value"))
+    return lines.filter("at = 0") if first_splits else lines
+
+
+def _shown() -> Column:
+    """The row of a line that is not blank."""
+    return F.when(F.rlike(F.col("value"), F.lit(r"\S")), F.col("row"))
+
+
 def quoted_records(spark: SparkSession, files: Sequence[str], seps: Sequence[str], first_splits: bool = False) -> DataFrame:
     """``file, file_name, order, record, is_header, is_open``: all records of the files, or those of
     each file's first split. The header is the first record with a line that is not blank; ``is_open``
@@ -57,11 +69,7 @@ def quoted_records(spark: SparkSession, files: Sequence[str], seps: Sequence[str
     Line breaks inside quotes are kept as they are. A quote that is never closed makes the rest of
     its file one record, as for any reader of such files.
     """
-    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "^\\ufeff", "").alias("value"))
-    if first_splits:
-        lines = lines.filter("at = 0")
+    lines = _lines(spark, files, first_splits)
     opened, open_still = ends_open(F.col("value"), seps), stays_open(F.col("value"), seps)
     lines = lines.withColumns({"sets": F.when(opened == open_still, opened), "turns": opened & ~open_still})
     lines = _put_together(lines, ["file", "at"], "row")
@@ -72,7 +80,7 @@ def quoted_records(spark: SparkSession, files: Sequence[str], seps: Sequence[str
     splits = lines.groupBy("file", "at").agg(
         F.max_by(F.struct("sets", "turns"), "row").alias("effect"), F.max(F.when(begins(F.lit(False)), F.col("row"))).alias("last_if_closed"),
         F.max(F.when(begins(F.lit(True)), F.col("row"))).alias("last_if_open"),
-        F.min(F.when(F.regexp_replace("value", r"\s", "") != "", F.col("row"))).alias("shown"))
+        F.min(_shown()).alias("shown"))
     splits = _put_together(splits.select("file", "at", "effect.*", "last_if_closed", "last_if_open", "shown"), ["file"], "at")
     is_open = F.coalesce("sets_before", "turns_before")
     before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -96,12 +104,18 @@ def quoted_records(spark: SparkSession, files: Sequence[str], seps: Sequence[str
 
 def header_records(spark: SparkSession, files: Sequence[str], seps: Sequence[str], as_path: Callable[[str], str] = str) -> list[tuple[str, str]]:
     """``(file, header record)`` of each file that has one, by its first split; all splits are read
-    only of files whose header goes further. A row a file comes to the driver."""
-    found: dict[str, str] = {}
+    only of files whose header goes further. A row a file comes to the driver.
+
+    Blank lines hold no quote, so the first line that is not blank begins outside of quotes. Where it
+    ends outside of them as well it is the header, without putting any other line in its record."""
+    paths = lambda: [*map(as_path, files)]
+    heads = _lines(spark, paths(), True).groupBy("file").agg(F.min_by("value", _shown()).alias("line"))
+    heads = heads.filter("line IS NOT NULL").filter(~ends_open(F.col("line"), seps)).select("file", F.regexp_replace("line", "\r$", "").alias("record"))
+    found: dict[str, str] = dict(map(tuple, heads.collect()))
     for first_splits in (True, False):
-        rows = quoted_records(spark, [*map(as_path, files)], seps, first_splits).filter("is_header").select("file", "record", "is_open").collect()
-        found |= {file: record for file, record, is_open in rows if not (first_splits and is_open)}
         files = [f for f in files if f not in {unquote(file) for file in found}]
         if not files:
             break
+        rows = quoted_records(spark, paths(), seps, first_splits).filter("is_header").select("file", "record", "is_open").collect()
+        found |= {file: record for file, record, is_open in rows if not (first_splits and is_open)}
     return sorted(found.items())

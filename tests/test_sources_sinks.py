@@ -414,3 +414,18 @@ def test_a_failed_run_leaves_the_published_tables(spark, tmp_dir):
     assert read() == first
     publish_tables({"a": spark.range(4)}, tmp_dir, formats=("parquet",))
     assert {k: len(v) for k, v in read().items()} == {"a.parquet": 4}
+
+
+def test_one_line_headers_are_found_without_putting_records_together(spark, tmp_dir, monkeypatch):
+    from herdfeed.sources import records
+
+    texts = {"a.csv": '\ufeff\n  \n"x, y",z\r\n1,"a\nb"\n', "b.csv": 'x,"z\nz"\n1,2\n', "c c.csv": '"p","q"\n"1\n\n",2\n', "d.csv": "\n \n"}
+    for name, text in texts.items():
+        with open(f"{tmp_dir}/{name}", "w", newline="") as f:
+            f.write(text)
+    asked, whole = [], records.quoted_records
+    monkeypatch.setattr(records, "quoted_records", lambda s, files, *a: asked.append([os.path.basename(f) for f in files]) or whole(s, files, *a))
+    files = [f"file:{tmp_dir}/{name}" for name in texts]
+    found = {file.rsplit("/", 1)[1]: record for file, record in records.header_records(spark, files, (",",))}
+    assert found == {"a.csv": '"x, y",z', "b.csv": 'x,"z\nz"', "c%20c.csv": '"p","q"'}
+    assert [sorted(names) for names in asked] == [["b.csv", "d.csv"], ["d.csv"]]
