@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .piecepool import PiecePool, gather_runs, worker_kept
+from .common import packed, unpacked, written
+from .piecepool import PiecePool, gather_runs, give_back, worker_kept
 from .textbytes import hash_words, text_chunks
 from .tokens import read_tokenizer
 
-MAX_STRETCHES = 500_000
+MAX_STRETCHES = 200_000
 #: Stretches that are encoded as one text, and that are learnt at a time.
 JOINED, LEARNT = 256, 8192
 BLOCK_BYTES = 4 << 20
@@ -279,12 +279,13 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc
                 row[name] = pa.array([joined["stats"][:, k]], pa.list_(pa.int64()))
             row["shas"] = pa.array([held["shas"]], pa.list_(pa.string()))
             row["bounds"] = np.searchsorted(joined["doc"], np.arange(n_docs + 1)).astype("<i8").tobytes()
-            row["at"], row["weights"] = at.astype("<i4").tobytes(), joined["weight"].astype("<i8").tobytes()
+            row["at"], row["weights"] = packed(at), packed(joined["weight"])
             row["pairs"], row["n_docs"] = pairs.astype("<i8").tobytes(), np.bincount(at, minlength=len(pairs)).astype("<i8").tobytes()
             row = {k: pa.array([v], pa.binary()) if isinstance(v, bytes) else v for k, v in row.items()}
             if with_groups:
                 row["groups"] = pa.array([held["groups"]], pa.list_(pa.string()))
             held.clear()
+            give_back()
             block, size, n_docs = block + 1, 0, 0
             return pa.RecordBatch.from_pydict(row)
 
@@ -348,14 +349,14 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
     blocks = aligned_blocks(docs, a_path, b_path, id_col, text_col, with_groups)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     answers = _block_pairs(blocks).select("block", "pair").join(link_counts(blocks), "pair").select("block", "pair", "n_docs", "is_best")
-    asked = blocks.drop("n_docs")
+    asked = blocks.drop("pairs", "n_docs")
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {c: left[c][0] for c in left.column_names}
         pair, n, best = (right[c].to_numpy() for c in ("pair", "n_docs", "is_best"))
         order = np.argsort(pair)
         n, best = n[order].astype(np.int64), best[order].astype(np.int64)
-        bounds, at, weights = (np.frombuffer(row[c].as_py(), t) for c, t in (("bounds", "<i8"), ("at", "<i4"), ("weights", "<i8")))
+        bounds, at, weights = np.frombuffer(row["bounds"].as_py(), "<i8"), unpacked(row["at"].as_py()), unpacked(row["weights"].as_py())
         sums = [np.diff(np.concatenate(([0], np.cumsum(weights * x[at])))[bounds]) for x in (best, n)]
         out = {"doc_id": row["doc_ids"].values} | {c: row[c].values for c in ("n_a", "n_b", "n_groups", "n_links")}
         out |= {"n_best": pa.array(sums[0], pa.int64()), "count_sum": pa.array(sums[1], pa.int64()), "groups_sha256": row["shas"].values}

@@ -127,5 +127,16 @@ def sum_counts(df: DataFrame, n_parts: int, size: int) -> np.ndarray:
     return out[:size]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, each in as few bytes (1, 2, 4 or 8) as the largest takes."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return b"%d" % kind.itemsize + numbers.astype(kind.newbyteorder("<")).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """The numbers of :func:`packed` (int64)."""
+    return np.frombuffer(raw, f"<u{int(raw[:1])}", offset=1).astype(np.int64)
+
+
 def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<i4" if raw[:1] == b"4" else "<i8", offset=1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 
@@ -22,8 +23,8 @@ class PiecePool:
         self.table = HashTable(self.most)
         self.pieces = 0
         self.used = [0] * len(self.dtypes)
+        # Pieces lie one after the other: a piece ends where the next one starts.
         self.start = [np.zeros(1 << 12, np.int64) for _ in self.dtypes]
-        self.size = [np.zeros(1 << 12, np.int64) for _ in self.dtypes]
         self.pool = [np.zeros(1 << 14, x) for x in self.dtypes]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -36,22 +37,29 @@ class PiecePool:
         stop = self.pieces + len(keys)
         for k, (flat, sizes) in enumerate(columns):
             used = self.used[k] + len(flat)
-            if stop > len(self.start[k]):
-                more = np.zeros(max(len(self.start[k]), len(keys)), np.int64)
-                self.start[k], self.size[k] = np.concatenate((self.start[k], more)), np.concatenate((self.size[k], more))
-            if used > len(self.pool[k]):
-                self.pool[k] = np.concatenate((self.pool[k], np.zeros(max(len(self.pool[k]), len(flat)), self.dtypes[k])))
+            self.start[k] = _with_room(self.start[k], self.pieces + 1, stop + 1)
+            self.pool[k] = _with_room(self.pool[k], self.used[k], used)
             self.pool[k][self.used[k]:used] = flat
-            self.start[k][self.pieces:stop] = self.used[k] + np.cumsum(sizes) - sizes
-            self.size[k][self.pieces:stop] = sizes
+            self.start[k][self.pieces + 1:stop + 1] = self.used[k] + np.cumsum(sizes)
             self.used[k] = used
         self.table.add(keys, np.arange(self.pieces, stop, dtype=np.int32))
         self.pieces = stop
 
     def gather(self, numbers: np.ndarray, column: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """A column's arrays of the pieces one after the other, and the size of each."""
-        sizes = self.size[column][numbers]
-        return gather_runs(self.pool[column], self.start[column][numbers], sizes), sizes
+        first = self.start[column][numbers]
+        sizes = self.start[column][numbers + 1] - first
+        return gather_runs(self.pool[column], first, sizes), sizes
+
+
+def _with_room(held: np.ndarray, used: int, needed: int) -> np.ndarray:
+    """``held``, or its first ``used`` numbers in an array of half as much again, for ``needed`` ones.
+    New room is memory only once it is written to."""
+    if needed <= len(held):
+        return held
+    more = np.zeros(max(len(held) * 3 // 2, needed), held.dtype)
+    more[:used] = held[:used]
+    return more
 
 
 def gather_runs(pool: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -66,3 +74,10 @@ def worker_kept(name: str, make):
     if name not in kept:
         kept[name] = make()
     return kept[name]
+
+
+def give_back() -> None:
+    """Give memory that this worker has freed back to the system, where the C library does so."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

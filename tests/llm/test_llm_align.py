@@ -11,11 +11,12 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 from herdfeed.llm import align
 from herdfeed.llm.align import Aligner, align_documents, aligned_blocks, coalesce, link_counts
-from herdfeed.llm.common import read_table
+from herdfeed.llm.common import packed, read_table, unpacked
+from herdfeed.llm.piecepool import PiecePool
 from herdfeed.llm.queries import queries
 from herdfeed.llm.textbytes import text_chunks
 from conftest import SF_SMALL
-from llm_cases import ROWS, cases, empty
+from llm_cases import PLAIN, ROWS, cases, empty
 
 A_PATH, B_PATH = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -140,3 +141,52 @@ def test_link_counts(spark, brute):
     got = link_counts(aligned_blocks(cases(spark, rows), A_PATH, B_PATH, block_bytes=100)).collect()
     assert {(r.pair >> 32, r.pair & 0xFFFFFFFF): r.n_docs for r in got} == dict(count) and len(got) == len(count)
     assert all(r.is_best == (r.n_docs == max(n for (a, _), n in count.items() if a == r.pair >> 32)) for r in got)
+
+
+def test_a_block_holds_few_bytes_for_each_pair(spark, brute):
+    texts = [PLAIN, PLAIN + " and on", " the" * 400, "the " * 70_000, None]
+    df = cases(spark, [(k, t, None) for k, t in enumerate(texts)]).coalesce(1)
+    blocks = aligned_blocks(df, A_PATH, B_PATH).collect()
+    n = sum(len({(a, b) for ga, gb in brute.groups(t) or () for a in ga for b in gb}) for t in texts)
+    assert sum(len(r["at"]) - 1 for r in blocks) == n
+    small = aligned_blocks(df.filter("doc_id < 2"), A_PATH, B_PATH).collect()
+    assert all(len(r["weights"]) == len(r["at"]) for r in small) and max(unpacked(bytes(r["weights"])).max() for r in blocks) > 65_535
+    rows = list(enumerate(texts))
+    assert rows_of(align_documents(df, A_PATH, B_PATH)) == wanted(brute, rows)
+
+
+@pytest.mark.parametrize("most,width", [(0, 1), (255, 1), (256, 2), (65_535, 2), (65_536, 4), (1 << 32, 8)])
+def test_numbers_in_few_bytes(most, width):
+    numbers = np.array([0, most, 1], np.int64)
+    raw = packed(numbers)
+    assert len(raw) == 1 + 3 * width and unpacked(raw).tolist() == numbers.tolist() and unpacked(raw).dtype == np.int64
+    assert unpacked(packed(numbers[:0])).tolist() == []
+
+
+def test_piece_pool_gives_what_was_put_and_holds_little_more():
+    rng, pool, want = np.random.default_rng(3), PiecePool(40_000, np.int64, np.uint8), {}
+    for _ in range(40):
+        keys = rng.integers(1, 1 << 62, 1000, dtype=np.uint64)
+        columns = [(rng.integers(0, 200, int(n.sum())).astype(t), n) for t in (np.int64, np.uint8) for n in [rng.integers(0, 9, 1000)]]
+        pool.put(keys, *columns)
+        cut = [np.split(flat, np.cumsum(n)[:-1]) for flat, n in columns]
+        want |= {k: [c[i].tolist() for c in cut] for i, k in enumerate(keys.tolist())}
+    keys = rng.permutation(np.array(list(want), np.uint64))
+    for c in range(2):
+        flat, sizes = pool.gather(pool.find(keys), c)
+        assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [want[k][c] for k in keys.tolist()]
+    held = sum(x.nbytes for x in (*pool.start, *pool.pool))
+    assert held <= 1.5 * (2 * 8 * (pool.pieces + 1) + 8 * pool.used[0] + pool.used[1])
+
+
+def test_stretches_of_a_worker_take_bounded_memory():
+    rng = np.random.default_rng(5)
+    text = " ".join(np.char.add("w", rng.integers(0, 1 << 40, 260_000).astype(str)).tolist())
+    with open(A_PATH, encoding="utf-8") as a, open(B_PATH, "rb") as b:
+        own = Aligner(a.read(), b.read())
+    for at in range(0, len(text), 1 << 18):
+        data = np.frombuffer(text[at:at + (1 << 18)].encode(), np.uint8)
+        own.align(data, np.array([0, len(data)]))
+    pool = own.known
+    arrays = [*[v for v in vars(pool).values() if isinstance(v, list)], [pool.table.key, pool.table.number]]
+    assert sum(x.nbytes for held in arrays for x in held if isinstance(x, np.ndarray)) < 110e6
