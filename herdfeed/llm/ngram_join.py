@@ -132,7 +132,8 @@ def _whole_sets(docs: DataFrame, text_col: str, width: int, wanted: DataFrame) -
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), _lists(list(seen.values()))], names=["cls", "shingles"])
 
     picked = rows.mapInArrow(pick, "text string, text_hash long").join(wanted.select("text_hash").distinct(), "text_hash", "left_semi")
-    found = picked.select("text").mapInArrow(split, "cls binary, shingles array<long>")
+    # Written, as a task that picks and splits would hold two Python workers, which stay with their executor.
+    found = written(picked.select("text"), "ngram-texts").mapInArrow(split, "cls binary, shingles array<long>")
     return found.groupBy("cls").agg(F.first("shingles").alias("shingles"))
 
 

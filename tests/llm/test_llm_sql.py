@@ -2,12 +2,13 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from herdfeed.llm import oracle
 from herdfeed.llm.chat import escape, format_turns, parse, unescape
 from herdfeed.llm.decontam import contamination, decontaminate
-from herdfeed.llm.ngram_join import ngram_jaccard_join
+from herdfeed.llm.ngram_join import _whole_sets, ngram_jaccard_join
 from herdfeed.llm.quality_rules import quality_rules
 from herdfeed.llm.queries import oracle_sql, queries
 from llm_cases import LONG, PLAIN, ROWS, cases, empty
@@ -235,3 +236,12 @@ def test_chat_cases(spark):
     assert {k: r.n_turns for k, r in got.items()} == {1: 3, None: 1, 2: 2}
     assert {k: r.loss_chars for k, r in got.items()} == {1: 0, None: 1, 2: 200_004}
     assert read_back(format_conversations(rows.limit(0))).collect() == []
+
+
+def test_ngram_join_whole_sets_take_one_python_worker_a_task(spark, capsys):
+    docs = spark.createDataFrame([(k, f"text number {k} of a few") for k in range(50)], "doc_id long, text string")
+    wanted = docs.filter("doc_id < 5").select(F.xxhash64("text").alias("text_hash"))
+    sets = _whole_sets(docs, "text", 3, wanted)
+    assert sets.count() == 5
+    sets.explain()
+    assert capsys.readouterr().out.split("== Initial Plan ==")[0].count("MapInArrow") == 1
